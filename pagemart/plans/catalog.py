@@ -160,11 +160,13 @@ def features_of(names: str, values: str) -> Column:
     return C.last_wins_map(F.filter(pairs, lambda p: p["k"] != ""))
 
 
-def wb_product_page(pages: DataFrame, skip_images: bool = False, rules: list[Rule] = PRODUCT_RULES) -> DataFrame:
+def wb_product_page(
+    pages: DataFrame, skip_images: bool = False, rules: list[Rule] = PRODUCT_RULES, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Product records of detail pages, with the page's variant and review links."""
     own, _ = links.resolve_canonical(pages, links.canonical_href(F.col("body")))
     wanted = rules if skip_images else [*rules, IMAGE_RULE]
-    read = html_rules.extract_rules(own, wanted, keep=("page_id", "url", "fetched_at"))
+    read = html_rules.extract_rules(own, wanted, keep=("page_id", "url", "fetched_at", *keep))
     read = read.withColumns(
         {
             "features": features_of("params", "param_values"),
@@ -182,6 +184,7 @@ def wb_product_page(pages: DataFrame, skip_images: bool = False, rules: list[Rul
 
     return read.select(
         "page_id",
+        *keep,
         F.col("fetched_at").alias("parse_date"),
         F.lit(K.WB).alias("marketplace"),
         F.col("url").alias("product_url"),
@@ -206,26 +209,23 @@ def wb_product_page(pages: DataFrame, skip_images: bool = False, rules: list[Rul
     )
 
 
-def variant_edges(products: DataFrame, parents_only: Column | None = None) -> DataFrame:
+def variant_edges(products: DataFrame) -> DataFrame:
     """(from_page, to_url, parent_id) edges from products to their variants.
 
-    Products that are variants themselves give none; pass the test as ``parents_only``.
+    Pages that were themselves reached as a variant (``kind``) give none.
     """
-    source = products if parents_only is None else products.where(parents_only)
-    return source.select(
+    return products.where(F.col("kind") != "variant").select(
         F.col("page_id").alias("from_page"), F.explode("variant_urls").alias("to_url"), F.col("wb_id").alias("parent_id")
     )
 
 
 def with_parent(products: DataFrame, edges: DataFrame) -> DataFrame:
-    """Products with their parent's id; a page that several products list takes the lowest page's."""
-    parents = (
-        edges.groupBy(F.col("to_url").alias("product_url"))
-        .agg(F.min_by("parent_id", F.struct("from_page", "parent_id")).alias("wb_parent_id"))
+    """Products with the id of the product that lists them as a variant, of several the lowest page's."""
+    parents = edges.groupBy(F.col("to_url").alias("product_url")).agg(
+        F.min_by("parent_id", F.struct("from_page", "parent_id")).alias("_parent")
     )
-    joined = products.join(parents, "product_url", "left")
-    own = F.col("wb_parent_id") == F.col("wb_id")
-    return joined.withColumn("wb_parent_id", F.when(~F.coalesce(own, F.lit(False)), F.col("wb_parent_id")))
+    parent = F.when(F.col("kind") == "variant", F.col("_parent"))
+    return products.join(parents, "product_url", "left").withColumn("wb_parent_id", parent).drop("_parent")
 
 
 def wb_products(
@@ -235,14 +235,16 @@ def wb_products(
     """The full feed: product pages with category context, parent id and review dates.
 
     ``edges`` are listing edges (to_url, position, from_page, category_url, category_name),
-    ``reviews`` dated rows (product_url, created_at).
+    ``reviews`` dated rows (product_url, created_at). Pages have the kind product or variant.
     """
-    products = wb_product_page(pages, skip_images)
-    products = with_parent(products, variant_edges(products))
+    wanted = pages.where(F.col("kind") != "variant") if skip_variants else pages
+    products = wb_product_page(wanted, skip_images, keep=("kind",))
     if skip_variants:
-        products = products.where(F.col("wb_parent_id").isNull())
-    listed = edges.withColumnRenamed("to_url", "product_url").select(
-        "product_url", "from_page", "position",
+        products = products.withColumn("wb_parent_id", F.lit(None).cast("bigint"))
+    else:
+        products = with_parent(products, variant_edges(products))
+    listed = edges.select(
+        F.col("to_url").alias("product_url"), "from_page", "position",
         F.col("category_url").alias("wb_category_url"), F.col("category_name").alias("wb_category_name"),
         F.col("position").alias("wb_category_position"),
     )
