@@ -20,8 +20,8 @@ COLUMN_RULES = [
     Rule("menu_id", "::self(data-menu-id)", at="parent"),
     Rule("menu_class", "::self(class)", at="parent"),
     Rule("own_class", "::self(class)"),
-    Rule("title", "::text", each="a"),
-    Rule("title_href", "::self(href)", each="a"),
+    Rule("title", "::text", each="> a"),
+    Rule("title_href", "::self(href)", each="> a"),
     Rule("names", "::text", each="ul li a"),
     Rule("hrefs", "::self(href)", each="ul li a"),
     Rule("flat_names", "::text", each="li a"),
@@ -75,11 +75,11 @@ def carry_titles(columns: DataFrame) -> DataFrame:
     window never holds more than a page does.
     """
     reset = has_class("classes", *K.SKIPPED_COLUMNS, K.FLAT_COLUMN)
-    titled = has_class("classes", K.TITLED_COLUMN)
-    mark = F.when(reset, F.lit("")).when(titled, F.coalesce("own_title", F.lit("")))
+    titled = ~reset & has_class("classes", K.TITLED_COLUMN) & F.col("own_title").isNotNull()
+    mark = F.when(reset, F.lit("")).when(titled, F.col("own_title"))
     order = Window.partitionBy("page_id", "menu_id").orderBy("column_no")
     return columns.withColumns(
-        {"level_2": F.coalesce(F.last(mark, ignorenulls=True).over(order), F.lit("")), "titled": titled & ~reset}
+        {"level_2": F.coalesce(F.last(mark, ignorenulls=True).over(order), F.lit("")), "titled": titled}
     )
 
 
@@ -90,7 +90,7 @@ def category_tree(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Da
     keyed = columns.withColumn("key", F.struct("page_id", "menu_id")).drop("page_id", "menu_id")
     known, unknown = joins.menu_lookup(keyed, tops, "key")
     level_1 = known.select("page_id", "level_1", "link").distinct()
-    level_2 = known.where(F.col("titled") & F.col("own_title").isNotNull()).select(
+    level_2 = known.where("titled").select(
         "page_id", "level_1", F.col("own_title").alias("level_2"), F.col("own_href").alias("link")
     )
     flat = has_class("classes", K.FLAT_COLUMN)

@@ -254,10 +254,10 @@ def menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = fill("<a href='/n/{}'>{}</a>", "n_nationkey", "n_name")
     column = (
         F.when(place == 0, fill("<li class='topmenus-column category'>{}<ul>{}</ul></li>", title, "pieces"))
-        .when(place == 1, fill("<li class='topmenus-column'><ul>{}</ul></li>", "pieces"))
+        .when(place == 1, fill("<li class='topmenus-column category'><ul>{}</ul></li>", "pieces"))
         .when(place == 2, fill("<li class='topmenus-column menu-banner'><ul>{}</ul></li>", "pieces"))
-        .when(place == 3, fill("<li class='topmenus-column'><ul>{}</ul></li>", "pieces"))
-        .otherwise(fill("<li class='topmenus-column categories'><div>{}</div></li>", "pieces"))
+        .when(place == 3, fill("<li class='topmenus-column category'><ul>{}</ul></li>", "pieces"))
+        .otherwise(fill("<li class='topmenus-column categories'>{}</li>", F.regexp_replace("pieces", "</?li>", "")))
     )
     columns = links.join(nation, links.s_nationkey == nation.n_nationkey)
     menus = gather(columns, ["block", "n_regionkey"], "n_nationkey", column).drop("page_id", "n")
