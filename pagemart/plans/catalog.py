@@ -19,6 +19,7 @@ from pagemart.functions import urls as U
 from pagemart.operators import html_rules, joins, links
 from pagemart.operators.html_rules import Rule, first_of
 from pagemart.plans import positions
+from pagemart.session import materialise
 
 Cleaners = dict[str, Callable[[Column], Column]]
 
@@ -242,6 +243,7 @@ def wb_products(
     if skip_variants:
         products = products.withColumn("wb_parent_id", F.lit(None).cast("bigint"))
     else:
+        products = materialise(products, "products")
         products = with_parent(products, variant_edges(products))
     listed = edges.select(
         F.col("to_url").alias("product_url"), "from_page", "position",

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagemart import constants as K
+from pagemart.functions import collections as C
 from pagemart.functions import text as X
-from pagemart.operators import html_rules, joins
+from pagemart.operators import html_rules
 from pagemart.operators.html_rules import Rule, first_of
 
+TOP = "#top-menu > ul > li"
 TOP_RULES = [
-    Rule("menu_id", "::self(data-menu-id)"),
-    Rule("title", "::text", each="a"),
-    Rule("href", "::self(href)", each="a"),
+    Rule("top_ids", "::self(data-menu-id)", each=TOP, at="page"),
+    Rule("top_names", "a::text", each=TOP, at="page"),
+    Rule("top_links", "a::attr(href)", each=TOP, at="page"),
 ]
 COLUMN_RULES = [
     Rule("menu_id", "::self(data-menu-id)", at="parent"),
@@ -33,16 +35,10 @@ def classes(rule: str) -> Column:
     return F.split(X.strip(F.coalesce(first_of(rule), F.lit(""))), r"\s+")
 
 
-def top_menus(pages: DataFrame) -> DataFrame:
-    read = html_rules.extract_rules(pages, TOP_RULES, "#top-menu > ul > li", keep=("page_id",))
-    return read.select(
-        "page_id", first_of("menu_id").alias("menu_id"), first_of("title").alias("level_1"), first_of("href").alias("link")
-    )
-
-
-def menu_columns(pages: DataFrame) -> DataFrame:
-    """One row per submenu column: menu, number within the page, classes, titles and links."""
-    read = html_rules.extract_rules(pages, COLUMN_RULES, "#submenu > ul > *", keep=("page_id",))
+def menu_columns(pages: DataFrame, rules: list[Rule] = COLUMN_RULES + TOP_RULES) -> DataFrame:
+    """One row per submenu column: menu, number within the page, classes, titles, links and the
+    page's top menus. A page is parsed once for all of it."""
+    read = html_rules.extract_rules(pages, rules, "#submenu > ul > *", keep=("page_id",))
     return read.select(
         "page_id",
         first_of("menu_id").alias("menu_id"),
@@ -51,7 +47,8 @@ def menu_columns(pages: DataFrame) -> DataFrame:
         classes("own_class").alias("classes"),
         first_of("title").alias("own_title"),
         first_of("title_href").alias("own_href"),
-        "names", "hrefs", "flat_names", "flat_hrefs",
+        *(r.name for r in rules if r.name in ("names", "hrefs", "flat_names", "flat_hrefs")),
+        *(r.name for r in rules if r in TOP_RULES),
     )
 
 
@@ -78,37 +75,68 @@ def carry_titles(columns: DataFrame) -> DataFrame:
     titled = ~reset & has_class("classes", K.TITLED_COLUMN) & F.col("own_title").isNotNull()
     mark = F.when(reset, F.lit("")).when(titled, F.col("own_title"))
     order = Window.partitionBy("page_id", "menu_id").orderBy("column_no")
+    first = F.row_number().over(order) == 1
     return columns.withColumns(
-        {"level_2": F.coalesce(F.last(mark, ignorenulls=True).over(order), F.lit("")), "titled": titled}
+        {"level_2": F.coalesce(F.last(mark, ignorenulls=True).over(order), F.lit("")), "titled": titled, "first_column": first}
     )
 
 
-def category_tree(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(level 1, level 2, level 3, columns whose menu id is unknown)."""
-    columns = drop_banners(carry_titles(drop_banner_menus(menu_columns(pages))))
-    tops = top_menus(pages).withColumn("key", F.struct("page_id", "menu_id"))
-    keyed = columns.withColumn("key", F.struct("page_id", "menu_id")).drop("page_id", "menu_id")
-    known, unknown = joins.menu_lookup(keyed, tops, "key")
-    level_1 = known.select("page_id", "level_1", "link").distinct()
-    level_2 = known.where("titled").select(
-        "page_id", "level_1", F.col("own_title").alias("level_2"), F.col("own_href").alias("link")
-    )
+def with_top_menu(columns: DataFrame) -> DataFrame:
+    """Columns with their top menu's name and link, looked up by menu id in the page's own list.
+
+    Of equal ids the last counts; ``level_1`` is NULL where the id is unknown.
+    """
+    tops = C.pairs("top_ids", F.arrays_zip(F.col("top_names").alias("name"), F.col("top_links").alias("link")))
+    found = F.try_element_at(C.last_wins_map(tops), F.col("menu_id"))
+    return columns.withColumn("_top", found).withColumns(
+        {"level_1": F.col("_top.name"), "top_link": F.col("_top.link"), "known": F.col("_top").isNotNull()}
+    ).drop("_top", "top_ids", "top_names", "top_links")
+
+
+def category_rows(pages: DataFrame) -> DataFrame:
+    """(page_id, level, level_1, level_2, level_3, link, known) of all three levels in one pass.
+
+    Columns whose menu id is unknown have ``known`` false.
+    """
+    columns = carry_titles(drop_banner_menus(with_top_menu(menu_columns(pages))))
+    kept = ~has_class("classes", *K.SKIPPED_COLUMNS)
     flat = has_class("classes", K.FLAT_COLUMN)
     names = F.when(flat, F.col("flat_names")).otherwise(F.col("names"))
     hrefs = F.when(flat, F.col("flat_hrefs")).otherwise(F.col("hrefs"))
-    level_3 = known.select(
-        "page_id", "level_1", "level_2", F.explode(F.arrays_zip(names.alias("name"), hrefs.alias("link"))).alias("x")
-    ).select("page_id", "level_1", "level_2", F.col("x.name").alias("level_3"), F.col("x.link").alias("link"))
-    return level_1, level_2, level_3, unknown
-
-
-def category_records(level_1: DataFrame, level_2: DataFrame, level_3: DataFrame) -> DataFrame:
-    """All three tables as one, with the level that the shop's own category record leaves empty."""
-    parts = [
-        table.select(
-            F.lit(K.WB).alias("marketplace"), F.col(f"level_{n}").alias("wb_category_name"),
-            F.col("link").alias("wb_category_url"), F.lit(n).alias("wb_category_level"),
+
+    def row(level: int, second: Column, third: Column, link: Column) -> Column:
+        return F.struct(
+            F.lit(level).alias("level"), second.alias("level_2"), third.alias("level_3"), link.alias("link")
         )
-        for n, table in enumerate((level_1, level_2, level_3), 1)
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    none = F.lit(None).cast("string")
+    nothing = F.array().cast("array<struct<level:int,level_2:string,level_3:string,link:string>>")
+    rows = F.concat(
+        F.when(F.col("first_column"), F.array(row(1, none, none, F.col("top_link")))).otherwise(nothing),
+        F.when(kept & F.col("titled"), F.array(row(2, F.col("own_title"), none, F.col("own_href")))).otherwise(nothing),
+        F.when(
+            kept, F.zip_with(names, hrefs, lambda name, link: row(3, F.col("level_2"), name, link))
+        ).otherwise(nothing),
+    )
+    return columns.select("page_id", "level_1", "known", F.explode(rows).alias("r")).select(
+        "page_id", "r.level", "level_1", "r.level_2", "r.level_3", "r.link", "known"
+    )
+
+
+def category_tree(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three tables as they are written: (L1, link), (L1, L2, link), (L1, L2, L3, link)."""
+    known = rows.where("known")
+    return (
+        known.where("level = 1").select("level_1", "link"),
+        known.where("level = 2").select("level_1", "level_2", "link"),
+        known.where("level = 3").select("level_1", "level_2", "level_3", "link"),
+    )
+
+
+def category_records(rows: DataFrame) -> DataFrame:
+    """Category records with the level that the shop's own record leaves empty."""
+    name = F.when(F.col("level") == 1, F.col("level_1")).when(F.col("level") == 2, F.col("level_2")).otherwise(F.col("level_3"))
+    return rows.where("known").select(
+        "page_id", F.lit(K.WB).alias("marketplace"), name.alias("wb_category_name"),
+        F.col("link").alias("wb_category_url"), F.col("level").alias("wb_category_level"),
+    )

@@ -1,6 +1,8 @@
 """Positions of cards within their category.
 
 Two methods give different numbers when pages differ in size, so records carry a ``method`` tag.
+Both read the cards twice, so the cards are written once first: parsing page bodies is the costly
+part, and the cards are small next to them.
 """
 
 from __future__ import annotations
@@ -9,10 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemart.operators import joins, scans
+from pagemart.session import materialise
 
 
 def by_offset(cards: DataFrame, category: str = "wb_category_url", out: str = "wb_category_position") -> DataFrame:
     """(page - 1) x cards on the category's first page + position on the page."""
+    cards = materialise(cards, "cards")
     first = cards.where(F.col("page_no") == 1).groupBy(category).agg(F.max("position").alias("_first"))
     placed = joins.salted_lookup(cards, first, category, F.col("page_id"))
     return placed.withColumns(
@@ -22,6 +26,7 @@ def by_offset(cards: DataFrame, category: str = "wb_category_url", out: str = "w
 
 def running(cards: DataFrame, category: str = "wb_category_url", out: str = "wb_category_position") -> DataFrame:
     """Cards of all earlier pages of the category + position on the page."""
+    cards = materialise(cards, "cards")
     pages = cards.groupBy(category, "page_id").agg(F.min("page_no").alias("page_no"), F.count("*").alias("_n"))
     before = scans.running(pages, [category], "page_no", "page_id", _upto=("sum", F.col("_n"))).select(
         "page_id", (F.col("_upto") - F.col("_n")).alias("_before")

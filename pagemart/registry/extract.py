@@ -193,9 +193,7 @@ TREE_SQL = f"""WITH {MENU_SQL}
 
 @query("ext9_category_tree", TREE_SQL)
 def _(spark, sf):
-    level_1, level_2, level_3, _ = menu.category_tree(R.menu_pages(spark, sf))
-    whole = level_1.unionByName(level_2, True).unionByName(level_3, True)
-    return whole.withColumnRenamed("page_id", "block")
+    return menu.category_rows(R.menu_pages(spark, sf)).drop("level", "known").withColumnRenamed("page_id", "block")
 
 
 SUPP = """supp AS (SELECT *, s_suppkey // 50 AS block, CASE WHEN s_suppkey % 7 <> 0 THEN 'Street ' || (s_suppkey % 90) END AS street,
