@@ -422,6 +422,10 @@ def tree_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fetch_log_of(table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type"))
+
+
+def fetch_log_of(events: DataFrame) -> DataFrame:
     """``events`` as a log: users are endpoints, errors are bans of four kinds."""
     event = F.col("event_id")
     error, kind = F.col("event_type") == "error", event % 4
@@ -438,7 +442,7 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(event % 3 == 0, K.IGNORED_EXCEPTION).when(event % 3 == 1, "core.TimeoutError").otherwise("core.ConnectionLost"),
     )
     user = F.col("user_id")
-    return table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type").select(
+    return events.select(
         event.alias("request_id"),
         fill("https://shop.example/p/{}", user * 10 + event % 10).alias("url"),
         fill("http://u:p@10.0.{}.{}:8080", F.floor(user / 256), user % 256).alias("proxy"),

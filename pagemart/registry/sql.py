@@ -43,19 +43,19 @@ JUDGED = LOG + """, judged AS (
   FROM log)"""
 
 # The newest moment of the log is the "now" of the state queries.
-STATES = JUDGED + """, asof AS (SELECT max(ts) AS now FROM log), oks AS (
+STATES = JUDGED + """, newest AS (SELECT max(ts) AS now FROM log), oks AS (
   SELECT proxy, max(ts) FILTER (WHERE NOT ban) AS ok_at, max(ts) AS last_at FROM judged GROUP BY proxy
 ), fails AS (
   SELECT j.proxy, count(*) AS n FROM judged j JOIN oks o ON o.proxy = j.proxy
   WHERE j.ban AND (o.ok_at IS NULL OR j.ts > o.ok_at) GROUP BY j.proxy
 ), waits AS (
   SELECT o.proxy, coalesce(f.n, 0) AS failed_attempts, o.last_at,
-    CASE WHEN f.n > 0 THEN least(3600.0, 300.0 * pow(2.0, least(f.n - 1, 60))) END AS backoff
+    CASE WHEN f.n > 0 THEN least(172800.0, 7200.0 * pow(2.0, least(f.n - 1, 60))) END AS backoff
   FROM oks o LEFT JOIN fails f ON f.proxy = o.proxy
 ), states AS (
   SELECT proxy, CASE WHEN failed_attempts = 0 THEN 'good' WHEN next_check <= now THEN 'unchecked' ELSE 'dead' END AS state,
     failed_attempts, backoff, next_check
-  FROM (SELECT *, last_at + to_seconds(CAST(backoff AS BIGINT)) AS next_check FROM waits), asof
+  FROM (SELECT *, last_at + to_seconds(CAST(backoff AS BIGINT)) AS next_check FROM waits), newest
 )"""
 
 # White space of every kind, for trimming.
