@@ -12,12 +12,12 @@ FLATTENING = 1 / 298.257223563
 
 
 def with_distance(
-    df: DataFrame, here: tuple[Column, Column], there: tuple[Column, Column], out: str, rounds: int = 6
+    df: DataFrame, here: tuple[Column, Column], there: tuple[Column, Column], out: str, rounds: int = 5
 ) -> DataFrame:
     """Add the distance in km, 2 decimals, between two (lat, lon) points in degrees.
 
     Vincenty's inverse formula with a fixed number of rounds: each shrinks the error about 300
-    times, so 6 settle the result except for nearly opposite points, where the formula has no
+    times, so 5 settle the result except for nearly opposite points, where the formula has no
     limit. Every step is a projection of its own, so shared terms are computed once, in codegen.
     """
     c = F.col

@@ -17,7 +17,7 @@ import bisect
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -34,10 +34,23 @@ BLOCKS = set(
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
-    **{tag: {"p"} for tag in BLOCKS - {"li", "td", "th", "tr", "tbody", "body", "html"}},
+    **dict.fromkeys(BLOCKS - {"li", "td", "th", "tr", "tbody", "body", "html"}, {"p"}),
 }
+P_FENCE = BLOCKS - {"p"}
 FENCES = {"li": {"ul", "ol"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}}
+RAW_TEXT = {
+    tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in ("script", "style", "title", "textarea")
+}
 
+# A comment's start, a start or end tag with its attributes, or a declaration. The parts are
+# possessive, so broken markup is passed over in linear time.
+_TOKEN = re.compile(
+    r"""<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>=][^\s/>=]*+"""
+    r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+|=)*+)>|[!?][^>]*+>)"""
+)
+_ATTRIBUTE = re.compile(
+    r"""([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+))?+)?+"""
+)
 _STEP = re.compile(
     r'\s*(>?)\s*([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+|\[[\w-]+(?:=(?:"[^"]*"|[^\]"]*))?\]'
     r'|:nth-of-type\(\d+\)|:first-of-type|:last-child|:contains\("[^"]*"\))*)'
@@ -101,116 +114,152 @@ def _parse_selector(selector: str) -> tuple[list[Step], str, str]:
     return steps, what, name
 
 
-class _Tree(HTMLParser):
-    """Elements of a page in document order, as parallel lists."""
+class _Tree:
+    """Elements of a page in document order, as parallel lists.
+
+    Attributes stay raw text until a rule asks for them, except on elements with a class or an id.
+    """
 
     def __init__(self, source: str):
-        super().__init__(convert_charrefs=True)
         self.source = source
-        self.tag, self.attr, self.classes, self.parent = [], [], [], []
-        self.end, self.nth, self.start_at, self.end_at = [], [], [], []
-        self.last_child: dict[int, int] = {}
-        self.count: dict = defaultdict(int)
+        self.tag: list[str] = []
+        self.raw: list[str] = []
+        self.parent: list[int] = []
+        self.end: list[int] = []
+        self.start_at: list[int] = []
+        self.end_at: list[int] = []
+        self.classes: dict[int, list[str]] = {}
+        self.index: dict[str, list[int]] = defaultdict(list)
         self.texts: list[tuple[int, str]] = []
         self.own: dict[int, list[str]] = defaultdict(list)
-        self.index: dict[str, list[int]] = defaultdict(list)
+        self._attributes: dict[int, dict[str, str]] = {}
+        self._places: tuple[list[int], dict[int, int]] | None = None
         self.open: list[int] = []
-        self.joined = False
-        self.lines = [0]
-        for line in re.finditer("\n", source):
-            self.lines.append(line.end())
-        self.feed(source)
-        self.close()
+        self._read()
         while self.open:
             self._pop(len(source))
 
-    def _here(self) -> int:
-        line, column = self.getpos()
-        return self.lines[line - 1] + column
+    def _read(self) -> None:
+        source, at, size = self.source, 0, len(self.source)
+        while at < size:
+            found = _TOKEN.search(source, at)
+            stop = found.start() if found else size
+            if stop > at:
+                self._text(source[at:stop])
+            if not found:
+                return
+            at = found.end()
+            closing, name = found[2], found[3]
+            if found[1]:
+                after = source.find("-->", at)
+                at = size if after < 0 else after + 3
+            elif name and closing:
+                self._end(name.lower(), stop, at)
+            elif name:
+                tag = name.lower()
+                self._start(tag, found[4], stop, at)
+                if tag in RAW_TEXT:
+                    after = RAW_TEXT[tag].search(source, at)
+                    stop = after.start() if after else size
+                    if stop > at:
+                        self._text(source[at:stop], plain=tag in ("script", "style"))
+                    at = stop
 
     def _pop(self, at: int) -> None:
         node = self.open.pop()
         self.end[node], self.end_at[node] = len(self.tag), at
 
-    def handle_starttag(self, tag, attrs):
-        at = self._here()
-        self.joined = False
-        ends, fence = CLOSES.get(tag, ()), FENCES.get(tag, BLOCKS - {"p"} - set(CLOSES.get(tag, ())))
-        for depth in range(len(self.open) - 1, -1, -1):
-            name = self.tag[self.open[depth]]
-            if name in ends:
-                while len(self.open) > depth:
-                    self._pop(at)
-            elif name in fence:
-                break
-        node, parent = len(self.tag), self.open[-1] if self.open else -1
-        values = {}
-        for key, value in attrs:
-            values.setdefault(key, value or "")
-        words = values.get("class", "").split()
+    def _start(self, tag: str, raw: str, at: int, after: int) -> None:
+        ends = CLOSES.get(tag)
+        if ends:
+            fence = FENCES.get(tag, P_FENCE)
+            for depth in range(len(self.open) - 1, -1, -1):
+                name = self.tag[self.open[depth]]
+                if name in ends:
+                    while len(self.open) > depth:
+                        self._pop(at)
+                elif name in fence:
+                    break
+        node = len(self.tag)
         self.tag.append(tag)
-        self.attr.append(values)
-        self.classes.append(words)
-        self.parent.append(parent)
+        self.raw.append(raw)
+        self.parent.append(self.open[-1] if self.open else -1)
         self.end.append(node + 1)
         self.start_at.append(at)
-        self.end_at.append(at + len(self.get_starttag_text() or ""))
-        self.count[parent, tag] += 1
-        self.nth.append(self.count[parent, tag])
-        self.last_child[parent] = node
+        self.end_at.append(after)
         self.index[tag].append(node)
-        for word in dict.fromkeys(words):
-            self.index["." + word].append(node)
-        if "id" in values:
-            self.index["#" + values["id"]].append(node)
+        if raw:
+            if "class" in raw:
+                words = self.attributes(node).get("class", "").split()
+                self.classes[node] = words
+                for word in words if len(words) < 2 else dict.fromkeys(words):
+                    self.index["." + word].append(node)
+            if "id" in raw and "id" in self.attributes(node):
+                self.index["#" + self.attributes(node)["id"]].append(node)
         if tag not in VOID:
             self.open.append(node)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        self.joined = False
+    def _end(self, tag: str, at: int, after: int) -> None:
         for depth in range(len(self.open) - 1, -1, -1):
             name = self.tag[self.open[depth]]
             if name == tag:
-                close = self.source.find(">", self._here())
-                after = len(self.source) if close < 0 else close + 1
                 while len(self.open) > depth:
-                    self._pop(after if len(self.open) == depth + 1 else self._here())
+                    self._pop(after if len(self.open) == depth + 1 else at)
                 return
             if name in BLOCKS and tag not in BLOCKS:
                 return
 
-    def handle_data(self, data):
+    def _text(self, data: str, plain: bool = False) -> None:
+        if "&" in data and not plain:
+            data = unescape(data)
         node = self.open[-1] if self.open else -1
-        if self.joined and self.texts and self.texts[-1][0] == node:
-            data = self.texts.pop()[1] + data
-            self.own[node].pop()
         self.texts.append((node, data))
         self.own[node].append(data)
-        self.joined = True
 
-    def handle_comment(self, data):
-        self.joined = False
+    def attributes(self, node: int) -> dict[str, str]:
+        """Attributes of an element; of equal names the first counts."""
+        values = self._attributes.get(node)
+        if values is None:
+            values = {}
+            for name, double, single, bare in _ATTRIBUTE.findall(self.raw[node]):
+                value = double or single or bare
+                values.setdefault(name.lower(), unescape(value) if "&" in value else value)
+            self._attributes[node] = values
+        return values
+
+    def _siblings(self) -> tuple[list[int], dict[int, int]]:
+        """(number of each element among its siblings of the same tag, last child of each element)."""
+        if self._places is None:
+            count: dict = defaultdict(int)
+            nth, last = [], {}
+            for node, place in enumerate(zip(self.parent, self.tag, strict=True)):
+                count[place] += 1
+                nth.append(count[place])
+                last[place[0]] = node
+            self._places = nth, last
+        return self._places
 
     def _is(self, node: int, step: Step) -> bool:
         if step.tag and self.tag[node] != step.tag:
             return False
-        values = self.attr[node]
-        if any(values.get("id") != word for word in step.ids):
-            return False
-        if any(word not in self.classes[node] for word in step.classes):
-            return False
+        if step.classes:
+            words = self.classes.get(node, ())
+            for word in step.classes:
+                if word not in words:
+                    return False
+        for word in step.ids:
+            if self.attributes(node).get("id") != word:
+                return False
         for name, wanted in step.attrs:
-            if name not in values or (wanted is not None and values[name] != wanted):
+            value = self.attributes(node).get(name)
+            if value is None or (wanted is not None and value != wanted):
                 return False
         for test, argument in step.tests:
-            if test == "nth-of-type" and self.nth[node] != int(argument):
+            if test == "nth-of-type" and self._siblings()[0][node] != int(argument):
                 return False
-            if test == "first-of-type" and self.nth[node] != 1:
+            if test == "first-of-type" and self._siblings()[0][node] != 1:
                 return False
-            if test == "last-child" and self.last_child[self.parent[node]] != node:
+            if test == "last-child" and self._siblings()[1][self.parent[node]] != node:
                 return False
             if test == "contains" and argument not in "".join(self.own[node]):
                 return False
@@ -246,12 +295,12 @@ class _Tree(HTMLParser):
             first, last = (-1, len(self.tag)) if scope < 0 else (scope, self.end[scope])
             return [text for node, text in self.texts if first <= node < last]
         if what == "self":
-            return [self.attr[scope][name]] if scope >= 0 and name in self.attr[scope] else []
+            return [self.attributes(scope)[name]] if scope >= 0 and name in self.attributes(scope) else []
         nodes = self.select(steps, scope)
         if what == "text":
             return [text for node in nodes for text in self.own.get(node, ())]
         if what == "attr":
-            return [self.attr[node][name] for node in nodes if name in self.attr[node]]
+            return [self.attributes(node)[name] for node in nodes if name in self.attributes(node)]
         return [self.source[self.start_at[node] : self.end_at[node]] for node in nodes]
 
 

@@ -97,19 +97,22 @@ def dedupe_pages(
     return keyed.join(winners.select(F.col("w.page_id").alias("page_id")), "page_id", "left_semi")
 
 
+def canonical_href(body: Column) -> Column:
+    """href of the canonical link, whatever the order of its attributes; '' if there is none."""
+    return F.regexp_extract(
+        body, r"""<link\s(?=[^>]*\brel=["']?canonical\b)[^>]*?\bhref=["']([^"']*)["']""", 1
+    )
+
+
 def resolve_canonical(pages: DataFrame, canonical: Column) -> tuple[DataFrame, DataFrame]:
     """(pages that stand for themselves, edges from the others to their canonical URL).
 
-    A page without a canonical link stands for itself. The edge keeps the page's context columns.
+    A page without a canonical link (NULL or '') stands for itself. Edges keep the page's context
+    columns. The test names ``canonical`` once only, so a body is searched once although the filter
+    moves below the projection; it runs before any parsing.
     """
-    target = U.absolutize_keep_query(canonical, F.col("url"))
-    marked = pages.withColumn("canonical_url", F.coalesce(target, F.col("url")))
-    same = F.col("canonical_url") == F.col("url")
-    edges = marked.where(~same).withColumn("to_url", U.strip_query(F.col("canonical_url")))
-    return marked.where(same).drop("canonical_url"), edges.drop("canonical_url", "body")
-
-
-def canonical_href(body: Column) -> Column:
-    """href of the canonical link, whatever the order of its attributes."""
-    tag = F.regexp_extract(body, r"""<link\s[^>]*rel=["']?canonical["']?[^>]*>""", 0)
-    return F.nullif(F.regexp_extract(tag, r"""href=["']([^"']*)["']""", 1), F.lit(""))
+    url = F.col("url")
+    own_path = F.substr(url, F.length(F.coalesce(U.origin(url), F.lit(""))) + 1)
+    same = F.coalesce(canonical, F.lit("")).isin(F.lit(""), url, own_path)
+    edges = pages.where(~same).withColumn("to_url", U.strip_query(U.absolutize_keep_query(canonical, url)))
+    return pages.where(same), edges.drop("body")

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagemart.sources.readers import spread_few_files
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -25,3 +27,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     source = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return source.select(*columns) if columns else source
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str, *columns: str) -> DataFrame:
+    """A table whose rows become pages to parse."""
+    return spread_few_files(table(spark, sf_dir, name, key, *columns), key)

@@ -10,7 +10,7 @@ from pagemart.operators import html_rules, joins
 from pagemart.operators.html_rules import Rule
 from pagemart.plans import catalog, flagship, menu, positions, producers, reviews, shops
 from pagemart.registry import render as R
-from pagemart.registry.base import query, table
+from pagemart.registry.base import query, spread_table, table
 from pagemart.registry.sql import PROD, SITE, stamp
 
 NAV_RULES = [Rule("heading", "article h1::text"), Rule("name", "nav li a::text"), Rule("href", "nav li > a::attr(href)")]
@@ -26,7 +26,7 @@ NAV_RULES = [Rule("heading", "article h1::text"), Rule("name", "nav li a::text")
     UNION ALL SELECT page_id, 1, 'name', CAST(ord AS INTEGER), regexp_extract(link, '>([^<]*)</a>', 1) FROM l""",
 )
 def _(spark, sf):
-    pages = table(spark, sf, "pages", "page_id", "html")
+    pages = spread_table(spark, sf, "pages", "page_id", "html")
     read = html_rules.extract_rules(pages, NAV_RULES, keep=("page_id",), body="html")
     return html_rules.rule_values(read, NAV_RULES, keep=("page_id",))
 
@@ -171,7 +171,7 @@ def _(spark, sf):
       regexp_extract(link, 'href="([^"]*)"', 1) AS wb_category_url FROM l""",
 )
 def _(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", F.col("html").alias("body"), R.moment("page_id").alias("fetched_at"))
+    pages = spread_table(spark, sf, "pages", "page_id", "html").select("page_id", F.col("html").alias("body"), R.moment("page_id").alias("fetched_at"))
     return catalog.menu_categories(pages).drop("parse_date", "wb_category_level")
 
 
@@ -218,7 +218,7 @@ def _(spark, sf):
 OFFICE = (55.751999, 37.617734)
 
 
-def vincenty_sql(source: str, keys: str, rounds: int = 6) -> str:
+def vincenty_sql(source: str, keys: str, rounds: int = 5) -> str:
     """Check SQL for the ellipsoid distance: CTEs that end in ``dist(keys, producer_distance)``."""
     f = "(1 / 298.257223563)"
     a, b = "6378.137", "6356.752314245"

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemart import constants as K
-from pagemart.registry.base import table
+from pagemart.registry.base import spread_table, table
 
 BLOCK = 240
 SITE = "https://www.wildberries.ru"
@@ -36,8 +36,8 @@ def moment(key: str) -> Column:
     return F.timestamp_seconds(F.lit(1704067200) + F.col(key))
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``part`` with the raw texts a page would show."""
+def products(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """``part`` with the raw texts a page would show; ``spread`` where each row becomes a page."""
     key = F.col("p_partkey")
     price = F.col("p_retailprice").cast("decimal(12,2)").cast("string")
     gap = K.NO_BREAK_SPACE
@@ -48,7 +48,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(price)
     )
     word = F.when(key % 3 == 0, "отзыв").when(key % 3 == 1, "отзыва").otherwise("отзывов")
-    part = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+    source = spread_table if spread else table
+    part = source(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
     return part.withColumns(
         {
             "page_no": (F.floor(key / BLOCK) + 1).cast("int"),
@@ -62,9 +63,15 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gather(rows: DataFrame, keys: list[str], order: str, piece: Column, glue: str = "") -> DataFrame:
-    """Pieces of one page joined in order, with their number; ``page_id`` is the lowest key."""
+    """Pieces of one page joined in order, with their number; ``page_id`` is the lowest key.
+
+    The number of partitions is set, as small pages would else be merged into one task, and parsing
+    them is the costly part.
+    """
+    session = rows.sparkSession
+    parts = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
     pieces = F.array_sort(F.collect_list(F.struct(F.col(order).alias("k"), piece.alias("p"))))
-    return rows.groupBy(*keys).agg(
+    return rows.repartition(parts, *keys).groupBy(*keys).agg(
         F.min(order).alias("page_id"), F.count("*").alias("n"),
         F.array_join(F.transform(pieces, lambda x: x["p"]), glue).alias("pieces"),
     )
@@ -132,7 +139,7 @@ def catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
-    rows = products(spark, sf_dir).withColumn("page_id", key)
+    rows = products(spark, sf_dir, spread=True).withColumn("page_id", key)
     own = fill(SITE + "/catalog/{}/detail.aspx", key)
     canonical = (
         F.when(key % 9 == 4, fill(SITE + "/catalog/{}/detail.aspx?from=old", key - 1))
@@ -205,7 +212,7 @@ def widget_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ld_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product pages with data blocks: a crumb block first, every tenth page has no product block."""
-    rows = products(spark, sf_dir).withColumn("page_id", F.col("p_partkey"))
+    rows = products(spark, sf_dir, spread=True).withColumn("page_id", F.col("p_partkey"))
     block = F.to_json(
         F.struct(
             F.lit("Product").alias("@type"), F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("sku"),
@@ -359,17 +366,15 @@ def review_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def review_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ascending review pages of customers: their orders among a block of 1000 order keys."""
-    rows = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate").withColumn(
-        "block", F.floor(F.col("o_orderkey") / 1000)
-    )
+    """Ascending review pages of customers: their orders among a block of 100,000 order keys."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    item = fill('<div class="comment"><span class="time" content="{}">{}</span></div>', day, day)
-    pieces = F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", item.alias("p"))))
-    pages = rows.groupBy("o_custkey", "block").agg(
-        F.min("o_orderkey").alias("page_id"), F.array_join(F.transform(pieces, lambda x: x["p"]), "").alias("pieces")
+    rows = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
+        "o_custkey", "o_orderkey", F.floor(F.col("o_orderkey") / 100_000).alias("block"),
+        F.struct("o_orderdate", "o_orderkey").alias("at"),
+        fill('<div class="comment"><span class="time" content="{}">{}</span></div>', day, day).alias("piece"),
     )
-    return pages.select("page_id", "o_custkey", fill("<div>{}</div>", "pieces").alias("body"))
+    pages = gather(rows, ["o_custkey", "block"], "at", F.col("piece"))
+    return pages.select(F.col("page_id.o_orderkey").alias("page_id"), "o_custkey", fill("<div>{}</div>", "pieces").alias("body"))
 
 
 def shop_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -388,7 +393,7 @@ def shop_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shop_product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = products(spark, sf_dir).withColumn("page_id", F.col("p_partkey"))
+    rows = products(spark, sf_dir, spread=True).withColumn("page_id", F.col("p_partkey"))
     key = F.col("p_partkey")
     size = F.when(
         key % 4 != 0,
@@ -404,7 +409,7 @@ def shop_product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = products(spark, sf_dir).withColumn("page_id", F.col("p_partkey"))
+    rows = products(spark, sf_dir, spread=True).withColumn("page_id", F.col("p_partkey"))
     body = fill(
         '<html><div class="prod--art">\n Артикул <span class="space"> </span>\n {} </div>'
         '<div class="prod--art">other</div><span itemprop="productID">{}</span></html>',

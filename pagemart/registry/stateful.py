@@ -10,7 +10,7 @@ from pagemart.operators import health, html_rules
 from pagemart.operators.html_rules import Rule
 from pagemart.plans import catalog
 from pagemart.registry import render as R
-from pagemart.registry.base import query, table
+from pagemart.registry.base import query, spread_table, table
 from pagemart.registry.filters_joins import judged, states
 from pagemart.registry.sql import JUDGED, LOG, STATES, strip, text_of
 from pagemart.streaming import jobs
@@ -129,5 +129,5 @@ def _(spark, sf):
     site = [
         Rule("lang", "html::attr(lang)"), Rule("ad", "div.ad::text"), Rule("last_link", "nav > ul > li:last-child a::attr(href)"),
     ]
-    read = html_rules.extract_rules(table(spark, sf, "pages", "page_id", "html"), site, keep=("page_id",), body="html")
+    read = html_rules.extract_rules(spread_table(spark, sf, "pages", "page_id", "html"), site, keep=("page_id",), body="html")
     return read.select("page_id", *[html_rules.first_of(r.name).alias(r.name) for r in site])

@@ -15,6 +15,16 @@ def captured_pages(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     return pages.select(*columns) if columns else pages
 
 
+def spread_few_files(rows: DataFrame, key: str) -> DataFrame:
+    """Deal rows over all cores when they come from fewer files than there are cores.
+
+    Parsing a page costs far more than moving it, and one small file would be one task. Tables of
+    many files are left as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores, key)
+
+
 def fetch_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
