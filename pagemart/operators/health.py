@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pagemart import constants as K
 from pagemart.functions import text as X
 from pagemart.functions import urls as U
-from pagemart.operators import scans
+from pagemart.operators import joins, scans
 
 Policy = Callable[[Column, Column, Column], Column]
 SALTS = 32
@@ -145,10 +145,14 @@ def reset_when_none_left(states: DataFrame) -> DataFrame:
     return states.withColumn("state", F.when(dead_again, "unchecked").otherwise(F.col("state")))
 
 
-def by_host_port(addresses: DataFrame, endpoints: DataFrame, address: str = "address") -> DataFrame:
-    """Addresses with the known endpoint of the same host:port; of several the last listed wins."""
+def by_host_port(addresses: DataFrame, endpoints: DataFrame, address: str, spread: Column) -> DataFrame:
+    """Addresses with the known endpoint of the same host:port; of several the last listed wins.
+
+    ``spread`` tells rows apart, so that those of a busy host can be dealt over tasks.
+    """
     known = (
         endpoints.groupBy(U.host_port(F.col("endpoint")).alias("host_port"))
         .agg(F.max_by("endpoint", "position").alias("endpoint"))
     )
-    return addresses.withColumn("host_port", U.host_port(F.col(address))).join(known, "host_port", "left")
+    keyed = addresses.withColumn("host_port", U.host_port(F.col(address)))
+    return joins.salted_lookup(keyed, known, "host_port", spread)

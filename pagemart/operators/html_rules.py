@@ -57,6 +57,9 @@ _STEP = re.compile(
 )
 _PART = re.compile(r'([.#])([\w-]+)|\[([\w-]+)(?:="?([^"\]]*)"?)?\]|:([\w-]+)(?:\("?([^")]*)"?\))?')
 
+# Pages turned into Python texts at a time.
+SLICE = 256
+
 
 class Step(NamedTuple):
     child: bool
@@ -322,7 +325,7 @@ def extract_rules(
     )
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             rows, numbers, columns = [], [], {name: [] for name, *_ in parsed}
             for row, text in enumerate(batch.column(len(keep)).to_pylist()):
                 tree = _Tree(text or "")

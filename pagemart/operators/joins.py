@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+HOT_KEYS = 100_000
 SALTS = 64
 
 
@@ -17,11 +18,12 @@ def salted_lookup(
 
     Keys with more than ``hot_rows`` rows are found by an aggregate that combines before it
     shuffles. Their lookup row is copied once per salt and their rows are dealt over the salts;
-    all other keys are joined as they are. The list of hot keys is broadcast: it has at most
-    (number of rows / ``hot_rows``) entries, a million for 10^12 rows.
+    all other keys are joined as they are, so the result does not depend on the list of hot keys.
+    That list is broadcast, and holds the ``HOT_KEYS`` largest keys at most.
     """
-    hot = rows.groupBy(key).count().where((F.col("count") > hot_rows) & F.col(key).isNotNull())
-    hot = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
+    counts = rows.groupBy(key).count().where((F.col("count") > hot_rows) & F.col(key).isNotNull())
+    largest = counts.orderBy(F.desc("count"), key).limit(HOT_KEYS)
+    hot = F.broadcast(largest.select(key, F.lit(True).alias("_hot")))
     is_hot = F.coalesce("_hot", F.lit(False))
     dealt = rows.join(hot, key, "left").withColumn(
         "_salt", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagemart import constants as K
 from pagemart.functions import text as X
 from pagemart.functions import urls as U
+from pagemart.operators import joins
 
 _LINK = r'(?s)<a\s[^>]*?href="[^"]*"[^>]*>.*?</a>'
 _BLOCK = 1024
@@ -75,9 +76,10 @@ def review_pages_by_total(targets: DataFrame, total: Column, take: int = K.REVIE
 
 
 def follow(pages: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges whose target was captured, with the target's page id (NULL where it was not)."""
+    """Edges with the page id of their target; NULL where it was not captured. URLs of captured
+    pages must be unique. Many edges may point to one page, so they are dealt by their source."""
     targets = pages.select(F.col("page_id").alias("to_page"), F.col("url").alias("to_url"))
-    return edges.join(targets, "to_url", "left")
+    return joins.salted_lookup(edges, targets, "to_url", F.col("from_page"))
 
 
 def dedupe_pages(

@@ -9,6 +9,8 @@ of which a key has a bounded number, carries the result over from chunk to chunk
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 CHUNK = "_chunk"
+MAX_PARTS = 4096
 _EXACT = float(1 << 53)
 
 
@@ -41,7 +44,7 @@ def _bucket(df: DataFrame, source: str, cuts: list[float], out: str) -> DataFram
 
 def chunked(df: DataFrame, order: str, tie: str, parts: int | None = None) -> DataFrame:
     """Add ``_chunk``, a number that never falls along (order, tie); NULL orders come last."""
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_PARTS)
     own = df.columns
     df = df.withColumns({"_order": _as_double(df, order), "_tie": _as_double(df, tie)})
     probes = [i / parts for i in range(1, parts)]
@@ -52,7 +55,9 @@ def chunked(df: DataFrame, order: str, tie: str, parts: int | None = None) -> Da
     width = len(tie_cuts) + 3
     block = F.col("_ob").cast("long") * width
     if order_cuts:
-        lower = F.get(F.array(*[F.lit(cut) for cut in order_cuts]), F.col("_ob").cast("int") - 1)
+        # One literal, folded to an array by the optimizer.
+        cuts = F.from_json(F.lit(json.dumps(order_cuts)), "array<double>")
+        lower = F.get(cuts, F.col("_ob").cast("int") - 1)
         on_cut = (F.col("_order") == lower) & (F.abs("_order") < _EXACT)
         inside = F.when(on_cut, F.coalesce(F.col("_tb"), F.lit(width - 2)).cast("long")).otherwise(width - 1)
     else:

@@ -185,7 +185,7 @@ MENU_SQL = """cols AS (
         PARTITION BY block, n_regionkey ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS level_2
       FROM titles t JOIN region ON n_regionkey = r_regionkey)"""
 TREE_SQL = f"""WITH {MENU_SQL}
-    SELECT DISTINCT block, r_name AS level_1, NULL AS level_2, NULL AS level_3, '/r/' || n_regionkey AS link FROM carried WHERE kind <> 2
+    SELECT DISTINCT block, r_name AS level_1, NULL AS level_2, NULL AS level_3, '/r/' || n_regionkey AS link FROM carried
     UNION ALL SELECT block, r_name, n_name, NULL, '/n/' || n_nationkey FROM carried WHERE kind = 0
     UNION ALL SELECT c.block, r_name, level_2, s_name, '/s/' || s_suppkey FROM carried c
       JOIN supplier s ON s.s_nationkey = c.n_nationkey AND s.s_suppkey // 100 = c.block WHERE kind <> 2"""

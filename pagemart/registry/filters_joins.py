@@ -244,7 +244,7 @@ def _(spark, sf):
     listed = pages.where("page_id % 3 = 0").select(
         F.col("page_id").alias("position"), R.fill("http://u{}:p@{}", "page_id", host).alias("endpoint")
     )
-    return health.by_host_port(pages, listed, "url").select("page_id", "host_port", "endpoint")
+    return health.by_host_port(pages, listed, "url", F.col("page_id")).select("page_id", "host_port", "endpoint")
 
 
 @query(

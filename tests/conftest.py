@@ -11,7 +11,7 @@ from pagemart.session import build_session
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]",
+        "tests", "local[4]",
         **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g"},
     )
     session.sparkContext.setLogLevel("ERROR")

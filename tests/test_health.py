@@ -145,5 +145,5 @@ def test_counts_reset_and_recheck(spark):
 def test_known_endpoint_of_an_address(spark):
     endpoints = spark.createDataFrame([(1, "http://a:1@h:80"), (2, "http://b:2@h:80"), (3, "g")], "position int, endpoint string")
     addresses = spark.createDataFrame([("http://h:80",), ("g",), ("x",), (None,)], "address string")
-    found = {r.address: r.endpoint for r in health.by_host_port(addresses, endpoints).collect()}
+    found = {r.address: r.endpoint for r in health.by_host_port(addresses, endpoints, "address", F.col("address")).collect()}
     assert found == {"http://h:80": "http://b:2@h:80", "g": "g", "x": None, None: None}
