@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemart import constants as K
+from pagemart.functions import moments as M
 from pagemart.functions import text as X
 from pagemart.functions import urls as U
 from pagemart.operators import joins, scans
 
 Policy = Callable[[Column, Column, Column], Column]
-SALTS = 32
-
 
 def is_ban(status: Column, body_len: Column, exception: Column) -> Column:
     """The default rule: any exception but the ignored one, a status outside the good ones, or an
@@ -57,11 +56,12 @@ def retry_queue(judged: DataFrame, limit: int = K.MAX_RETRIES) -> DataFrame:
 
     A request answered after its last ban is done and is left out.
     """
-    moment = F.struct("ts", "request_id")
+    at = M.moment(F.col("ts"), F.col("request_id"))
     per_url = judged.groupBy("url").agg(
-        F.count_if("ban").alias("attempt_no"), F.max_by("ban", moment).alias("_open")
+        F.count_if("ban").alias("attempt_no"), F.max(F.when(F.col("ban"), at)).alias("_ban"), F.max(at).alias("_last")
     )
-    return per_url.where("_open").select("url", "attempt_no", (F.col("attempt_no") <= limit).alias("retry"))
+    still_open = per_url.where(F.col("_ban") == F.col("_last"))
+    return still_open.select("url", "attempt_no", (F.col("attempt_no") <= limit).alias("retry"))
 
 
 def failures_in_a_row(judged: DataFrame, key: str = "proxy") -> DataFrame:
@@ -75,23 +75,17 @@ def endpoint_state(
 ) -> DataFrame:
     """One row per endpoint: state, failed attempts, back-off seconds and next check at ``as_of``.
 
-    Only two aggregates are needed, not an ordered window: the last success and the last outcome
-    per endpoint, then the count of bans after that success. Rows are dealt over salts for the
-    second one, so a busy endpoint is counted in parts. ``wait(endpoint, earlier failures)``
+    Only aggregates are needed, not an ordered window: the last success and the last time per
+    endpoint, then the count of bans after that success. ``wait(endpoint, earlier failures)``
     replaces the plain back-off, for instance by a jittered one.
     """
-    moment = F.struct("ts", "request_id")
-    last = judged.groupBy(key).agg(
-        F.max(F.when(~F.col("ban"), moment)).alias("_ok"), F.max(F.struct("ts", "request_id", "ban")).alias("_last")
-    )
-    salt = F.pmod(F.xxhash64("request_id"), F.lit(SALTS)).cast("int").alias("_salt")
-    bans = judged.where("ban").select(key, moment.alias("_at"), salt)
-    copies = last.select(key, "_ok", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    at = M.moment(F.col("ts"), F.col("request_id"))
+    last = judged.groupBy(key).agg(F.max(F.when(~F.col("ban"), at)).alias("_ok"), F.max("ts").alias("_seen"))
+    bans = judged.where("ban").select(key, "request_id", at.alias("_at"))
     failed = (
-        bans.join(copies, [key, "_salt"])
+        joins.salted_lookup(bans, last.select(key, "_ok"), key, F.col("request_id"), "inner")
         .where(F.col("_ok").isNull() | (F.col("_at") > F.col("_ok")))
-        .groupBy(key, "_salt").agg(F.count("*").alias("n"))
-        .groupBy(key).agg(F.sum("n").alias("failed_attempts"))
+        .groupBy(key).agg(F.count("*").alias("failed_attempts"))
     )
     known = last if endpoints is None else endpoints.select(key).distinct().join(last, key, "left")
     state = known.join(failed, key, "left").withColumn("failed_attempts", F.coalesce("failed_attempts", F.lit(0)))
@@ -99,11 +93,11 @@ def endpoint_state(
     seconds = wait(F.col(key), before) if wait else X.exp_backoff(before, base, cap)
     is_down = F.col("failed_attempts") > 0
     state = state.withColumn("backoff", F.when(is_down, seconds)).withColumn(
-        "next_check", F.when(is_down, F.timestamp_micros(F.unix_micros("_last.ts") + F.round(F.col("backoff") * 1e6).cast("long")))
+        "next_check", F.when(is_down, F.timestamp_micros(F.unix_micros("_seen") + F.round(F.col("backoff") * 1e6).cast("long")))
     )
     return state.select(
         key,
-        F.when(F.col("_last").isNull(), "unchecked")
+        F.when(F.col("_seen").isNull(), "unchecked")
         .when(~is_down, "good")
         .when(F.col("next_check") <= as_of, "unchecked")
         .otherwise("dead")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemart import constants as K
+from pagemart.functions import moments as M
 from pagemart.functions import text as X
 from pagemart.functions import urls as U
 from pagemart.operators import joins
@@ -93,10 +94,10 @@ def dedupe_pages(
     keyed = pages.withColumn("url_key", key)
     if allow_dupes:
         return keyed
-    winners = keyed.groupBy("url_key").agg(F.min(F.struct("fetched_at", "page_id")).alias("w"))
+    winners = keyed.groupBy("url_key").agg(F.min(M.moment(F.col("fetched_at"), F.col("page_id"))).alias("w"))
     if seen is not None:
         winners = winners.join(seen.select("url_key"), "url_key", "left_anti")
-    return keyed.join(winners.select(F.col("w.page_id").alias("page_id")), "page_id", "left_semi")
+    return keyed.join(winners.select(M.id_of(F.col("w")).alias("page_id")), "page_id", "left_semi")
 
 
 def canonical_href(body: Column) -> Column:

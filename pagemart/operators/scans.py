@@ -1,10 +1,11 @@
 """Ordered scans that stay spread over the cluster when one key holds a large part of the rows.
 
-A plain window sends all rows of a key to one task. Here every key is first cut into chunks along
-the order: the cut points are quantiles of the order column over the whole input, so a chunk holds
-about 1/parts of the rows at most, and a value that alone fills several quantiles is cut again by
-the tie-breaking id. The window then runs inside (key, chunk); one summary row per (key, chunk),
-of which a key has a bounded number, carries the result over from chunk to chunk.
+A plain window sends all rows of a key to one task. That is fine for most keys, so the keys are
+counted first, by an aggregate that combines before it shuffles. Keys above a row threshold are cut
+into chunks along the order: the cut points are quantiles of the order column over their rows, so a
+chunk holds about 1/parts of them at most, and a value that alone fills several quantiles is cut again
+by the tie-breaking id. The window then runs inside (key, chunk); one summary row per chunk carries
+the result over from chunk to chunk. Results are the same with and without chunks.
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ from pyspark.sql.window import Window
 
 CHUNK = "_chunk"
 MAX_PARTS = 4096
+HOT_ROWS = 1_000_000
+# Only the largest keys are chunked. The next one then has at most 1/HOT_KEYS of all rows, which a
+# task sorts with spilling.
+HOT_KEYS = 10_000
 _EXACT = float(1 << 53)
 
 
@@ -42,14 +47,18 @@ def _bucket(df: DataFrame, source: str, cuts: list[float], out: str) -> DataFram
     return Bucketizer(splits=splits, inputCol=source, outputCol=out, handleInvalid="keep").transform(df)
 
 
-def chunked(df: DataFrame, order: str, tie: str, parts: int | None = None) -> DataFrame:
-    """Add ``_chunk``, a number that never falls along (order, tie); NULL orders come last."""
+def chunked(df: DataFrame, order: str, tie: str, parts: int | None = None, only: Column | None = None) -> DataFrame:
+    """Add ``_chunk``, a number that never falls along (order, tie); NULL orders come last.
+
+    With ``only``, rows that do not meet it are left in chunk 0 and out of the quantiles.
+    """
     parts = parts or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_PARTS)
     own = df.columns
     df = df.withColumns({"_order": _as_double(df, order), "_tie": _as_double(df, tie)})
     probes = [i / parts for i in range(1, parts)]
+    probed = df if only is None else df.where(only)
     order_cuts, tie_cuts = (
-        sorted(set(cuts)) for cuts in df.approxQuantile(["_order", "_tie"], probes, 0.5 / parts)
+        sorted(set(cuts)) for cuts in probed.approxQuantile(["_order", "_tie"], probes, 0.5 / parts)
     )
     df = _bucket(_bucket(df, "_order", order_cuts, "_ob"), "_tie", tie_cuts, "_tb")
     width = len(tie_cuts) + 3
@@ -62,7 +71,55 @@ def chunked(df: DataFrame, order: str, tie: str, parts: int | None = None) -> Da
         inside = F.when(on_cut, F.coalesce(F.col("_tb"), F.lit(width - 2)).cast("long")).otherwise(width - 1)
     else:
         inside = F.lit(0)
-    return df.select(*own, F.coalesce(block + inside, F.lit((1 << 62))).alias(CHUNK))
+    chunk = F.coalesce(block + inside, F.lit(1 << 62))
+    return df.select(*own, (chunk if only is None else F.when(only, chunk).otherwise(0)).alias(CHUNK))
+
+
+def _plain_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Copies of the keys that are never NULL, with a flag each, so that plain equality on them is
+    NULL-safe and the windows, the summaries and the join share one partitioning."""
+    added = {}
+    for i, name in enumerate(keys):
+        kind, column = df.schema[name].dataType, F.col(name)
+        if isinstance(kind, T.StringType):
+            blank = F.lit("")
+        elif isinstance(kind, (T.NumericType, T.BooleanType)):
+            blank = F.lit(0).cast(kind)
+        else:
+            added[f"_k{i}"] = F.struct(column)
+            continue
+        added[f"_k{i}"], added[f"_n{i}"] = F.coalesce(column, blank), column.isNull()
+    return (df.withColumns(added) if added else df), list(added)
+
+
+class _Layout:
+    """How the rows are grouped: by key, or by key and chunk if any key is large."""
+
+    def __init__(self, df: DataFrame, keys: list[str], order: str, tie: str, hot_rows: int):
+        plain_df, self.plain = _plain_keys(df, keys)
+        counts = plain_df.groupBy(*self.plain).count().where(F.col("count") > hot_rows)
+        largest = counts.orderBy(F.desc("count"), *self.plain).limit(HOT_KEYS).drop("count")
+        hot = largest.collect()
+        self.split = bool(hot)
+        if not self.split:
+            self.rows, self.group = df, list(keys)
+        else:
+            if keys:
+                marks = df.sparkSession.createDataFrame(hot, largest.schema).withColumn("_mark", F.lit(True))
+                marked = plain_df.join(F.broadcast(marks), self.plain, "left")
+                marked = marked.withColumn("_hot", F.coalesce("_mark", F.lit(False))).drop("_mark")
+            else:
+                marked = plain_df.withColumn("_hot", F.lit(True))
+            self.rows, self.group = chunked(marked, order, tie, only=F.col("_hot")), [*self.plain, CHUNK]
+        if self.group:
+            # A hash in front makes the sort compare numbers first, not long common prefixes.
+            self.rows = self.rows.withColumn("_h", F.xxhash64(*self.group))
+            self.group = ["_h", *self.group]
+        sequence = [F.col(order).asc_nulls_last(), F.col(tie)]
+        self.within = Window.partitionBy(*self.group).orderBy(*sequence).rowsBetween(Window.unboundedPreceding, 0)
+        chunks = Window.partitionBy(*self.plain).orderBy(CHUNK)
+        self.earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
+        self.upto_here = chunks.rowsBetween(Window.unboundedPreceding, 0)
 
 
 _CARRY = {
@@ -72,51 +129,67 @@ _CARRY = {
 }
 
 
-def running(df: DataFrame, keys: list[str], order: str, tie: str, **outs: tuple[str, Column]) -> DataFrame:
+def running(
+    df: DataFrame, keys: list[str], order: str, tie: str, *, hot_rows: int = HOT_ROWS, **outs: tuple[str, Column]
+) -> DataFrame:
     """Add running values along (order, tie) within the keys, the own row included.
 
     Each output is named and given as ``("sum" | "max" | "last", column)``; "last" is the latest
-    value that is not NULL. ``tie`` must be unique within the keys. Add ``_chunk`` before, by
-    ``chunked``, to share it between calls.
+    value that is not NULL. ``tie`` must be unique within the keys. The input is read more than
+    once, so it should be cheap to read.
     """
-    # One struct as key: its fields compare NULL-safely, and the window, the totals and the join
-    # then share one partitioning, so the rows are shuffled once.
-    whole = (df if CHUNK in df.columns else chunked(df, order, tie)).withColumn(
-        "_group", F.struct(*keys, CHUNK)
-    )
-    sequence = [F.col(order).asc_nulls_last(), F.col(tie)]
-    within = Window.partitionBy("_group").orderBy(*sequence).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    layout = _Layout(df, keys, order, tie, hot_rows)
 
-    def fold(kind: str, value: Column, window) -> Column:
-        step = {"sum": F.sum, "max": F.max, "last": lambda v: F.last(v, ignorenulls=True)}[kind](value)
-        return step.over(window)
+    def fold(kind: str, value: Column) -> Column:
+        return {"sum": F.sum, "max": F.max, "last": lambda v: F.last(v, ignorenulls=True)}[kind](value)
 
     def summary(kind: str, value: Column) -> Column:
         if kind == "last":
             position = F.struct(F.col(order).isNull(), F.col(order), F.col(tie))
             return F.max_by(value, F.when(value.isNotNull(), position))
-        return {"sum": F.sum, "max": F.max}[kind](value)
-
-    totals = whole.groupBy("_group").agg(*[summary(k, v).alias(f"_{o}") for o, (k, v) in outs.items()])
-    before = totals.select("_group", "_group.*", *[f"_{o}" for o in outs]).select(
-        "_group", *[fold(k, F.col(f"_{o}"), earlier).alias(f"_b_{o}") for o, (k, _) in outs.items()]
+        return fold(kind, value)
+
+    local = layout.rows.withColumns({f"_l_{o}": fold(k, v).over(layout.within) for o, (k, v) in outs.items()})
+    if not layout.split:
+        none = F.lit(None)
+        return local.select(*df.columns, *[_CARRY[k](none, F.col(f"_l_{o}")).alias(o) for o, (k, _) in outs.items()])
+    totals = layout.rows.where("_hot").groupBy(*layout.group).agg(
+        *[summary(k, v).alias(f"_t_{o}") for o, (k, v) in outs.items()]
+    )
+    before = totals.select(
+        *layout.group, *[fold(k, F.col(f"_t_{o}")).over(layout.earlier).alias(f"_b_{o}") for o, (k, _) in outs.items()]
     )
-    local = whole.withColumns({f"_l_{o}": fold(k, v, within) for o, (k, v) in outs.items()})
-    return local.join(before, "_group", "left").select(
+    return local.join(before, layout.group, "left").select(
         *df.columns, *[_CARRY[k](F.col(f"_b_{o}"), F.col(f"_l_{o}")).alias(o) for o, (k, _) in outs.items()]
     )
 
 
-def row_number(df: DataFrame, keys: list[str], order: str, tie: str, out: str) -> DataFrame:
+def row_number(df: DataFrame, keys: list[str], order: str, tie: str, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """1-based position along (order, tie) within the keys."""
-    return running(df, keys, order, tie, **{out: ("sum", F.lit(1).cast("long"))})
+    return running(df, keys, order, tie, hot_rows=hot_rows, **{out: ("sum", F.lit(1).cast("long"))})
 
 
-def streak(df: DataFrame, keys: list[str], order: str, tie: str, hit: Column, out: str) -> DataFrame:
-    """Hits since the last row that was not a hit, the own row included."""
-    own = df.columns
-    marked = chunked(df.withColumn("_hit", hit), order, tie)
-    counted = running(marked, keys, order, tie, _hits=("sum", F.col("_hit").cast("long")))
-    based = running(counted, keys, order, tie, _base=("max", F.when(~F.col("_hit"), F.col("_hits"))))
-    return based.select(*own, (F.col("_hits") - F.coalesce("_base", F.lit(0))).alias(out))
+def streak(df: DataFrame, keys: list[str], order: str, tie: str, hit: Column, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Hits since the last row that was not a hit, the own row included.
+
+    The running count of hits at the latest row that is none never falls, so it is a running
+    maximum; the count less that maximum is the streak. The same holds from chunk to chunk.
+    """
+    layout = _Layout(df.withColumn("_hit", hit), keys, order, tie, hot_rows)
+
+    def local(rows: DataFrame) -> DataFrame:
+        counted = rows.withColumn("_hits", F.sum(F.col("_hit").cast("long")).over(layout.within))
+        return counted.withColumn("_base", F.max(F.when(~F.col("_hit"), F.col("_hits"))).over(layout.within))
+
+    if not layout.split:
+        return local(layout.rows).select(*df.columns, (F.col("_hits") - F.coalesce("_base", F.lit(0))).alias(out))
+    ends = local(layout.rows.where("_hot").select(*layout.group, order, tie, "_hit")).groupBy(*layout.group).agg(
+        F.max("_hits").alias("_all"), F.max("_base").alias("_upto")
+    )
+    summed = ends.withColumn("_sum", F.sum("_all").over(layout.upto_here)).withColumn(
+        "_reset", F.col("_sum") - F.col("_all") + F.col("_upto")
+    )
+    carried = F.max("_sum").over(layout.earlier) - F.coalesce(F.max("_reset").over(layout.earlier), F.lit(0))
+    before = summed.select(*layout.group, carried.alias("_carried"))
+    since = F.col("_hits") - F.coalesce(F.col("_base"), -F.col("_carried"), F.lit(0))
+    return local(layout.rows).join(before, layout.group, "left").select(*df.columns, since.alias(out))

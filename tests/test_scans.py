@@ -1,5 +1,6 @@
 """Ordered scans and joins against brute force, with hot keys, ties and NULLs."""
 
+import datetime as dt
 import random
 from collections import defaultdict
 
@@ -8,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from pagemart.functions import moments as M
 from pagemart.operators import frontier, joins, links, scans
 
 
@@ -33,8 +35,8 @@ def in_order(rows):
 SCHEMA = "id bigint, k string, at bigint, hit boolean, v int"
 
 
-@pytest.mark.parametrize("n, seed", [(1, 0), (40, 1), (900, 2)])
-def test_scans_equal_brute_force(spark, n, seed):
+@pytest.mark.parametrize("n, seed, hot_rows", [(1, 0, 0), (40, 1, 5), (900, 2, 300), (900, 3, 10_000)])
+def test_scans_equal_brute_force(spark, n, seed, hot_rows):
     rows = make_rows(n, seed)
     df = spark.createDataFrame(rows, SCHEMA)
     place, total, top, last, run = {}, {}, {}, {}, {}
@@ -48,11 +50,11 @@ def test_scans_equal_brute_force(spark, n, seed):
             place[row[0]], total[row[0]], top[row[0]], last[row[0]], run[row[0]] = i, s, m, l, c
     found = scans.running(
         df, ["k"], "at", "id", s=("sum", F.col("v")), m=("max", F.col("v")), l=("last", F.when(F.col("v") > 0, F.col("v"))),
-        n=("sum", F.lit(1)),
+        n=("sum", F.lit(1)), hot_rows=hot_rows,
     ).collect()
     assert len(found) == n
     assert {r.id: (r.n, r.s, r.m, r.l) for r in found} == {i: (place[i], total[i], top[i], last[i]) for i in place}
-    streaks = scans.streak(df, ["k"], "at", "id", F.col("hit"), "run").collect()
+    streaks = scans.streak(df, ["k"], "at", "id", F.col("hit"), "run", hot_rows).collect()
     assert {r.id: r.run for r in streaks} == run
 
 
@@ -71,9 +73,10 @@ def test_empty_input(spark):
     assert scans.row_number(df, ["k"], "at", "id", "n").collect() == []
 
 
-def test_global_order(spark):
+@pytest.mark.parametrize("hot_rows", [10, 1000])
+def test_global_order(spark, hot_rows):
     df = spark.range(100).select("id", (F.col("id") % 7).alias("at"))
-    found = {r.id: r.n for r in scans.row_number(df, [], "at", "id", "n").collect()}
+    found = {r.id: r.n for r in scans.row_number(df, [], "at", "id", "n", hot_rows).collect()}
     assert found == {i: n for n, i in enumerate(sorted(range(100), key=lambda i: (i % 7, i)), 1)}
 
 
@@ -111,18 +114,19 @@ def test_explode_count(spark):
 
 
 def test_dedupe_keeps_one_per_key(spark):
-    rows = [(i, f"u{i % 3 if i > 5 else 0}?q={i}", f"2024-01-0{1 + i % 4}") for i in range(30)]
-    pages = spark.createDataFrame(rows, "page_id bigint, url string, fetched_at string")
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, f"u{i % 3 if i > 5 else 0}?q={i}", start + dt.timedelta(days=i % 4)) for i in range(-5, 30)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, fetched_at timestamp")
     key = F.substring_index("url", "?", 1)
     best = {}
     for i, url, at in rows:
         k = url.split("?")[0]
-        best[k] = min(best.get(k, ("9", 0)), (at, i))
+        best[k] = min(best.get(k, (dt.datetime(2099, 1, 1), 0)), (at, i))
     found = links.dedupe_pages(pages, key).collect()
     assert {(r.url_key, r.page_id) for r in found} == {(k, v[1]) for k, v in best.items()}
     seen = spark.createDataFrame([("u0",)], "url_key string")
     assert {r.url_key for r in links.dedupe_pages(pages, key, seen).collect()} == {"u1", "u2"}
-    assert links.dedupe_pages(pages, key, allow_dupes=True).count() == 30
+    assert links.dedupe_pages(pages, key, allow_dupes=True).count() == 35
 
 
 def test_canonical(spark):
@@ -137,3 +141,12 @@ def test_canonical(spark):
     assert {(r.page_id, r.to_url, r.category_name) for r in edges.collect()} == {
         (4, "https://s.example/p/9", "ctx"), (5, "https://t.example/z", "ctx"),
     }
+
+
+def test_moments(spark):
+    day = dt.datetime(2024, 1, 1)
+    pairs = [(t, i) for t in (None, dt.datetime(1960, 1, 1), day, day + dt.timedelta(microseconds=1)) for i in (-(2**63), -5, 0, 7, 2**63 - 1)]
+    df = spark.createDataFrame(pairs, "t timestamp, i bigint").withColumn("m", M.moment(F.col("t"), F.col("i")))
+    rows = df.withColumn("back", M.id_of(F.col("m"))).collect()
+    assert [(r.t, r.i) for r in sorted(rows, key=lambda r: r.m)] == pairs
+    assert all(r.back == r.i for r in rows)
