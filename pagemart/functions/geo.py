@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 # WGS-84 axes in kilometres and the flattening.
 MAJOR_KM = 6378.137
@@ -11,6 +10,18 @@ MINOR_KM = 6356.752314245
 FLATTENING = 1 / 298.257223563
 
 
+def _sphere(n: int) -> list[str]:
+    """Arc and azimuth on the auxiliary sphere for the longitude difference of round n."""
+    return [
+        f"sqrt(pow(_cu2 * sin(_lam{n}), 2) + pow(_cu1 * _su2 - _su1 * _cu2 * cos(_lam{n}), 2)) AS _ss{n}",
+        f"_su1 * _su2 + _cu1 * _cu2 * cos(_lam{n}) AS _cs{n}",
+        f"atan2(_ss{n}, _cs{n}) AS _sigma{n}",
+        f"coalesce(_cu1 * _cu2 * sin(_lam{n}) / nullif(_ss{n}, 0D), _ss{n}) AS _sa{n}",
+        f"1 - _sa{n} * _sa{n} AS _c2{n}",
+        f"coalesce(_cs{n} - 2 * _su1 * _su2 / nullif(_c2{n}, 0D), _c2{n}) AS _mid{n}",
+    ]
+
+
 def with_distance(
     df: DataFrame, here: tuple[Column, Column], there: tuple[Column, Column], out: str, rounds: int = 5
 ) -> DataFrame:
@@ -18,64 +29,30 @@ def with_distance(
 
     Vincenty's inverse formula with a fixed number of rounds: each shrinks the error about 300
     times, so 5 settle the result except for nearly opposite points, where the formula has no
-    limit. Every step is a projection of its own, so shared terms are computed once, in codegen.
+    limit. The terms are aliases that later terms name, so shared ones are computed once.
     """
-    c = F.col
-    f = F.lit(FLATTENING)
-    own = df.columns
-    df = df.withColumns(
-        {
-            "_u1": F.atan((1 - f) * F.tan(F.radians(here[0]))),
-            "_u2": F.atan((1 - f) * F.tan(F.radians(there[0]))),
-            "_gap": F.radians(there[1]) - F.radians(here[1]),
-        }
-    ).withColumns(
-        {"_su1": F.sin("_u1"), "_cu1": F.cos("_u1"), "_su2": F.sin("_u2"), "_cu2": F.cos("_u2"), "_lam": c("_gap")}
-    )
-
-    def sphere(step: DataFrame) -> DataFrame:
-        cross = c("_cu1") * c("_su2") - c("_su1") * c("_cu2") * F.cos("_lam")
-        side = c("_cu2") * F.sin("_lam")
-        return (
-            step.withColumns(
-                {
-                    "_ss": F.sqrt(side * side + cross * cross),
-                    "_cs": c("_su1") * c("_su2") + c("_cu1") * c("_cu2") * F.cos("_lam"),
-                }
-            )
-            .withColumns(
-                {
-                    "_sigma": F.atan2("_ss", "_cs"),
-                    "_sa": F.when(c("_ss") == 0, F.lit(0.0)).otherwise(
-                        c("_cu1") * c("_cu2") * F.sin("_lam") / F.nullif(c("_ss"), F.lit(0.0))
-                    ),
-                }
-            )
-            .withColumn("_c2", 1 - c("_sa") * c("_sa"))
-            .withColumn(
-                "_mid",
-                F.when(c("_c2") == 0, F.lit(0.0)).otherwise(
-                    c("_cs") - 2 * c("_su1") * c("_su2") / F.nullif(c("_c2"), F.lit(0.0))
-                ),
-            )
-        )
-
-    for _ in range(rounds):
-        bend = c("_sigma") + c("_k") * c("_ss") * (c("_mid") + c("_k") * c("_cs") * (2 * c("_mid") * c("_mid") - 1))
-        df = (
-            sphere(df)
-            .withColumn("_k", f / 16 * c("_c2") * (4 + f * (4 - 3 * c("_c2"))))
-            .withColumn("_lam", c("_gap") + (1 - c("_k")) * f * c("_sa") * bend)
-        )
-    df = sphere(df).withColumn("_q", c("_c2") * F.lit((MAJOR_KM**2 - MINOR_KM**2) / MINOR_KM**2))
-    q, mid, ss, cs = c("_q"), c("_mid"), c("_ss"), c("_cs")
-    df = df.withColumns(
-        {
-            "_a": 1 + q / 16384 * (4096 + q * (-768 + q * (320 - 175 * q))),
-            "_b": q / 1024 * (256 + q * (-128 + q * (74 - 47 * q))),
-        }
-    )
-    b = c("_b")
-    inner = cs * (2 * mid * mid - 1) - b / 6 * mid * (4 * ss * ss - 3) * (4 * mid * mid - 3)
-    arc = c("_sigma") - b * ss * (mid + b / 4 * inner)
-    return df.withColumn(out, F.round(F.lit(MINOR_KM) * c("_a") * arc, 2)).select(*own, out)
+    f, last = repr(FLATTENING), rounds
+    terms = [
+        f"atan((1 - {f}D) * tan(radians(_lat1))) AS _u1",
+        f"atan((1 - {f}D) * tan(radians(_lat2))) AS _u2",
+        "sin(_u1) AS _su1", "cos(_u1) AS _cu1", "sin(_u2) AS _su2", "cos(_u2) AS _cu2",
+        "radians(_lon2) - radians(_lon1) AS _lam0",
+    ]
+    for n in range(rounds):
+        terms += [
+            *_sphere(n),
+            f"{f}D / 16 * _c2{n} * (4 + {f}D * (4 - 3 * _c2{n})) AS _k{n}",
+            f"_lam0 + (1 - _k{n}) * {f}D * _sa{n} * (_sigma{n} + _k{n} * _ss{n} * (_mid{n} + _k{n} * _cs{n} "
+            f"* (2 * _mid{n} * _mid{n} - 1))) AS _lam{n + 1}",
+        ]
+    terms += [
+        *_sphere(last),
+        f"_c2{last} * {(MAJOR_KM**2 - MINOR_KM**2) / MINOR_KM**2!r}D AS _q",
+        "1 + _q / 16384 * (4096 + _q * (-768 + _q * (320 - 175 * _q))) AS _a",
+        "_q / 1024 * (256 + _q * (-128 + _q * (74 - 47 * _q))) AS _b",
+        f"round({MINOR_KM!r}D * _a * (_sigma{last} - _b * _ss{last} * (_mid{last} + _b / 4 * (_cs{last} "
+        f"* (2 * _mid{last} * _mid{last} - 1) - _b / 6 * _mid{last} * (4 * _ss{last} * _ss{last} - 3) "
+        f"* (4 * _mid{last} * _mid{last} - 3)))), 2) AS `{out}`",
+    ]
+    points = {"_lat1": here[0], "_lon1": here[1], "_lat2": there[0], "_lon2": there[1]}
+    return df.withColumns(points).selectExpr("*", *terms).select(*df.columns, out)

@@ -9,11 +9,13 @@ from pagemart import constants as K
 
 # White space as Unicode sees it; written out, since ``\s`` means different sets in different engines.
 _SPACE = r"[\x09-\x0d\x1c-\x20\x85\p{Z}]"
+# The same set as characters; ``trim`` looks at the ends only, a pattern at the whole text.
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def strip(text: Column) -> Column:
     """Trim white space of every kind, the no-break space included (``trim`` leaves it)."""
-    return F.regexp_replace(text, f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.trim(text, F.lit(_SPACES))
 
 
 def price_text(text: Column) -> Column:
