@@ -41,7 +41,8 @@ def cleaned(records: DataFrame, cleaners: Cleaners) -> DataFrame:
 
 def route(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(category pages whose listing is fetched as JSON, those whose cards are read from markup)."""
-    by_json = F.coalesce(F.col("body").rlike(r"<[^>]*\sid=[\"']catalog[\"'][^>]*\sdata-xcatalog-path="), F.lit(False))
+    marked = r"""<(?=[^>]*\sid=["']?catalog["'\s>])(?=[^>]*\sdata-xcatalog-path=)"""
+    by_json = F.coalesce(F.col("body").rlike(marked), F.lit(False))
     return pages.where(by_json), pages.where(~by_json)
 
 

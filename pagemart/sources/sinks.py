@@ -22,6 +22,16 @@ def write_csv(table: DataFrame, path: str) -> None:
     table.write.option("sep", ";").option("header", True).csv(path)
 
 
+def write_pages(pages: DataFrame, name: str, path: str, buckets: int) -> None:
+    """Store captured pages as a table bucketed by page id.
+
+    Filters by a list of page ids, such as the winners of a de-duplication, then move the ids only:
+    the bodies are read where they lie.
+    """
+    writer = pages.write.bucketBy(buckets, "page_id").sortBy("page_id")
+    writer.option("path", path).saveAsTable(name)
+
+
 def run_summary(counts: DataFrame, params: Column, run_id: Column | None = None) -> DataFrame:
     """Counts of a run with its id (0 if none) and the user's parameters as a map."""
     return counts.withColumn("params", C.parse_params(params, job_id=F.coalesce(run_id, F.lit(0)) if run_id is not None else F.lit(0)))

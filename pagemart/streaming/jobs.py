@@ -78,10 +78,12 @@ class EndpointHealth(StatefulProcessor):
         last_ok, last, bans = None, None, np.empty((0, 2), np.int64)
         for part in rows:
             at = np.column_stack([part["ts_us"].to_numpy(np.int64), part["request_id"].to_numpy(np.int64)])
-            ban = part["ban"].to_numpy(bool)
-            last = max(filter(None, [last, tuple(max(map(tuple, at)))]))
-            good = [tuple(moment) for moment in at[~ban]]
-            last_ok = max([*good, last_ok] if last_ok else good, default=None)
+            in_time = np.lexsort((at[:, 1], at[:, 0]))
+            at, ban = at[in_time], part["ban"].to_numpy(bool)[in_time]
+            last = max(tuple(at[-1]), last or tuple(at[-1]))
+            good = at[~ban]
+            if len(good):
+                last_ok = max(tuple(good[-1]), last_ok or tuple(good[-1]))
             bans = np.concatenate([bans, at[ban]])
             if last_ok:
                 later = (bans[:, 0] > last_ok[0]) | ((bans[:, 0] == last_ok[0]) & (bans[:, 1] > last_ok[1]))
@@ -92,13 +94,13 @@ class EndpointHealth(StatefulProcessor):
             self.handle.deleteTimer(timer)
         if failed == 0:
             self.state.update((0, None))
-            yield self._emit(key, "good", 0, None, last[0])
+            yield self._emit(key, "good", 0, None, int(last[0]))
             return
         wait = min(self.cap, self.base * 2.0 ** min(failed - 1, 60))
-        next_us = last[0] + int(round(wait * 1_000_000))
+        next_us = int(last[0]) + int(round(wait * 1_000_000))
         self.state.update((failed, next_us))
         self.handle.registerTimer(-(-next_us // 1000))
-        yield self._emit(key, "dead", failed, next_us, last[0])
+        yield self._emit(key, "dead", failed, next_us, int(last[0]))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         failed, next_us = self.state.get()

@@ -9,10 +9,16 @@ from pagemart.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def checkpoint_dir(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("checkpoints"))
+
+
+@pytest.fixture(scope="session")
+def spark(checkpoint_dir):
     session = build_session(
         "tests", "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
+           "spark.checkpoint.dir": checkpoint_dir},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
