@@ -15,16 +15,21 @@ from __future__ import annotations
 
 import bisect
 import re
+import sys
 from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The parser goes to the workers with the job, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Elements without content, and elements that end an open one of the given kinds.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(

@@ -6,11 +6,13 @@ what an earlier try of the same batch left there, so a restart neither loses nor
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -19,6 +21,9 @@ from pagemart import constants as K
 from pagemart.operators import health
 from pagemart.session import scratch_path
 
+# The state processor goes to the workers with the job, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 

@@ -2,6 +2,9 @@
 
 import contextlib
 import io
+import os
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
@@ -87,3 +90,23 @@ def test_hot_keys_are_dealt_over_salts(spark):
     lookup = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     found = joins.salted_lookup(rows, lookup, "k", F.col("id"), hot_rows=100, salts=8)
     assert found.where("v != k * 2 OR v IS NULL").count() == 0 and found.count() == 1000
+
+
+AWAY = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+import __spark_entry__ as entry
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("rows", entry.queries()["htm1_extract_rules"](spark, sys.argv[2]).count())
+"""
+
+
+def test_workers_need_no_installed_package(tmp_path):
+    """Workers start in a folder from which the package cannot be imported."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    done = subprocess.run(
+        [sys.executable, "-c", AWAY, root, SF], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert "rows " in done.stdout, done.stderr[-2000:]
