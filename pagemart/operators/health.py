@@ -12,6 +12,7 @@ from pagemart.functions import moments as M
 from pagemart.functions import text as X
 from pagemart.functions import urls as U
 from pagemart.operators import joins, scans
+from pagemart.session import materialise
 
 Policy = Callable[[Column, Column, Column], Column]
 
@@ -44,24 +45,46 @@ def bans_by_exception(judged: DataFrame) -> DataFrame:
 
 
 def attempts(judged: DataFrame, limit: Column | int = K.MAX_RETRIES) -> DataFrame:
-    """Bans with their number per request (``url``) and whether the request is tried again."""
-    bans = judged.where("ban")
-    numbered = scans.row_number(bans, ["url"], "ts", "request_id", "attempt_no")
+    """Bans with their number per request and whether the request is tried again.
+
+    A request of a ``url`` ends with a success, and when it is given up after more bans than its limit; the
+    next ban of that url is number 1 again. A limit given as a column must not change within a request.
+    """
     limit = F.lit(limit) if isinstance(limit, int) else limit
-    return numbered.withColumn("retry", F.col("attempt_no") <= limit)
+    counted = scans.streak(judged.withColumn("_limit", limit), ["url"], "ts", "request_id", F.col("ban"), "attempt_no")
+    numbered = counted.where("ban").withColumn("attempt_no", _of_request(F.col("attempt_no"), F.col("_limit")))
+    return numbered.withColumn("retry", F.col("attempt_no") <= F.col("_limit")).drop("_limit")
 
 
-def retry_queue(judged: DataFrame, limit: int = K.MAX_RETRIES) -> DataFrame:
-    """Per request with bans: bans so far, and whether it is tried again or given up.
+def _of_request(bans: Column, limit: Column) -> Column:
+    """Number of a ban within its request, from its number since the last success."""
+    return F.pmod(bans - 1, limit + 1) + 1
+
+
+def since_success(judged: DataFrame, key: str) -> DataFrame:
+    """(key, _seen, failed): last time and bans after the last success, by aggregates alone.
 
-    A request answered after its last ban is done and is left out.
+    The first aggregate, a row per key, is written now: it is the lookup and the source of the hot keys, too.
     """
     at = M.moment(F.col("ts"), F.col("request_id"))
-    per_url = judged.groupBy("url").agg(
-        F.count_if("ban").alias("attempt_no"), F.max(F.when(F.col("ban"), at)).alias("_ban"), F.max(at).alias("_last")
+    first = judged.groupBy(key).agg(
+        F.max(F.when(~F.col("ban"), at)).alias("_ok"), F.max("ts").alias("_seen"), F.count_if("ban").alias("count")
+    )
+    first = materialise(first, "last-success")
+    bans = judged.where("ban").select(key, "request_id", at.alias("_at"))
+    failed = (
+        joins.salted_lookup(bans, first.select(key, "_ok"), key, F.col("request_id"), "inner", counts=first.select(key, "count"))
+        .where(F.col("_ok").isNull() | (F.col("_at") > F.col("_ok")))
+        .groupBy(key).agg(F.count("*").alias("failed"))
     )
-    still_open = per_url.where(F.col("_ban") == F.col("_last"))
-    return still_open.select("url", "attempt_no", (F.col("attempt_no") <= limit).alias("retry"))
+    return first.select(key, "_seen").join(failed, key, "left").withColumn("failed", F.coalesce("failed", F.lit(0)))
+
+
+def retry_queue(judged: DataFrame, limit: int = K.MAX_RETRIES) -> DataFrame:
+    """Per url whose last outcome is a ban: the bans of that request so far, and whether it is tried again or given up."""
+    still_open = since_success(judged, "url").where("failed > 0")
+    number = _of_request(F.col("failed"), F.lit(limit))
+    return still_open.select("url", number.alias("attempt_no"), (number <= limit).alias("retry"))
 
 
 def failures_in_a_row(judged: DataFrame, key: str = "proxy") -> DataFrame:
@@ -75,20 +98,12 @@ def endpoint_state(
 ) -> DataFrame:
     """One row per endpoint: state, failed attempts, back-off seconds and next check at ``as_of``.
 
-    Only aggregates are needed, not an ordered window: the last success and the last time per
-    endpoint, then the count of bans after that success. ``wait(endpoint, earlier failures)``
+    Only aggregates are needed, not an ordered window (``since_success``). ``wait(endpoint, earlier failures)``
     replaces the plain back-off, for instance by a jittered one.
     """
-    at = M.moment(F.col("ts"), F.col("request_id"))
-    last = judged.groupBy(key).agg(F.max(F.when(~F.col("ban"), at)).alias("_ok"), F.max("ts").alias("_seen"))
-    bans = judged.where("ban").select(key, "request_id", at.alias("_at"))
-    failed = (
-        joins.salted_lookup(bans, last.select(key, "_ok"), key, F.col("request_id"), "inner")
-        .where(F.col("_ok").isNull() | (F.col("_at") > F.col("_ok")))
-        .groupBy(key).agg(F.count("*").alias("failed_attempts"))
-    )
+    last = since_success(judged, key)
     known = last if endpoints is None else endpoints.select(key).distinct().join(last, key, "left")
-    state = known.join(failed, key, "left").withColumn("failed_attempts", F.coalesce("failed_attempts", F.lit(0)))
+    state = known.withColumn("failed_attempts", F.coalesce("failed", F.lit(0)))
     before = F.col("failed_attempts") - 1
     seconds = wait(F.col(key), before) if wait else X.exp_backoff(before, base, cap)
     is_down = F.col("failed_attempts") > 0

@@ -5,28 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-HOT_KEYS = 100_000
 SALTS = 64
 
 
 def salted_lookup(
     rows: DataFrame, lookup: DataFrame, key: str, spread: Column, how: str = "left",
-    hot_rows: int = HOT_ROWS, salts: int = SALTS,
+    parts: int | None = None, salts: int = SALTS, counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join rows to a lookup with one row per key, when a key may hold a large part of the rows.
 
-    Keys with more than ``hot_rows`` rows are found by an aggregate that combines before it
-    shuffles. Their lookup row is copied once per salt and their rows are dealt over the salts;
-    all other keys are joined as they are, so the result does not depend on the list of hot keys.
-    That list is broadcast, and holds the ``HOT_KEYS`` largest keys at most.
+    Keys with more than one partition's share of the rows are found by an aggregate that combines before
+    it shuffles, or given as ``counts`` (key, count) if the caller has them. There are fewer of them than
+    ``parts``, by default the shuffle partitions. Their lookup row is copied once per salt and their
+    rows are dealt over the salts, as are rows without a key; other keys are joined as they are.
     """
-    counts = rows.groupBy(key).count().where((F.col("count") > hot_rows) & F.col(key).isNotNull())
-    largest = counts.orderBy(F.desc("count"), key).limit(HOT_KEYS)
-    hot = F.broadcast(largest.select(key, F.lit(True).alias("_hot")))
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.groupBy(key).count() if counts is None else counts
+    share = counts.agg(F.sum("count")).scalar() / parts
+    hot = counts.where((F.col("count") > share) & F.col(key).isNotNull()).select(key, F.lit(True).alias("_hot"))
     is_hot = F.coalesce("_hot", F.lit(False))
     dealt = rows.join(hot, key, "left").withColumn(
-        "_salt", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
+        "_salt", F.when(is_hot | F.col(key).isNull(), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
     )
     copied = lookup.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))

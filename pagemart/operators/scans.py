@@ -1,78 +1,24 @@
 """Ordered scans that stay spread over the cluster when one key holds a large part of the rows.
 
-A plain window sends all rows of a key to one task. That is fine for most keys, so the keys are
-counted first, by an aggregate that combines before it shuffles. Keys above a row threshold are cut
-into chunks along the order: the cut points are quantiles of the order column over their rows, so a
-chunk holds about 1/parts of them at most, and a value that alone fills several quantiles is cut again
-by the tie-breaking id. The window then runs inside (key, chunk); one summary row per chunk carries
-the result over from chunk to chunk. Results are the same with and without chunks.
+A plain window sends all rows of a key to one task. Here the rows are dealt by ranges of (keys, order,
+tie), on the columns as they are typed, so a large key or a single large order value falls into as many
+ranges as it fills. They are written once with the number of their range, the chunk: range bounds are
+sampled, and both reads must see the same ones. The window runs inside (key, chunk), and one summary row
+per key and chunk carries the result over to later chunks. There is one path for all sizes.
+
+The functions write to the shared folder when they are called (``session.materialise``).
 """
 
 from __future__ import annotations
 
-import json
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from pagemart.session import materialise
+
 CHUNK = "_chunk"
-MAX_PARTS = 4096
-HOT_ROWS = 1_000_000
-# Only the largest keys are chunked. The next one then has at most 1/HOT_KEYS of all rows, which a
-# task sorts with spilling.
-HOT_KEYS = 10_000
-_EXACT = float(1 << 53)
-
-
-def _as_double(df: DataFrame, name: str) -> Column:
-    """A number that grows with the order column."""
-    kind = df.schema[name].dataType
-    column = F.col(name)
-    if isinstance(kind, T.TimestampNTZType):
-        column = column.cast("timestamp")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        column = F.unix_micros(column)
-    elif isinstance(kind, T.DateType):
-        column = F.unix_date(column)
-    return column.cast("double")
-
-
-def _bucket(df: DataFrame, source: str, cuts: list[float], out: str) -> DataFrame:
-    if not cuts:
-        return df.withColumn(out, F.lit(0.0))
-    splits = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=splits, inputCol=source, outputCol=out, handleInvalid="keep").transform(df)
-
-
-def chunked(df: DataFrame, order: str, tie: str, parts: int | None = None, only: Column | None = None) -> DataFrame:
-    """Add ``_chunk``, a number that never falls along (order, tie); NULL orders come last.
-
-    With ``only``, rows that do not meet it are left in chunk 0 and out of the quantiles.
-    """
-    parts = parts or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_PARTS)
-    own = df.columns
-    df = df.withColumns({"_order": _as_double(df, order), "_tie": _as_double(df, tie)})
-    probes = [i / parts for i in range(1, parts)]
-    probed = df if only is None else df.where(only)
-    order_cuts, tie_cuts = (
-        sorted(set(cuts)) for cuts in probed.approxQuantile(["_order", "_tie"], probes, 0.5 / parts)
-    )
-    df = _bucket(_bucket(df, "_order", order_cuts, "_ob"), "_tie", tie_cuts, "_tb")
-    width = len(tie_cuts) + 3
-    block = F.col("_ob").cast("long") * width
-    if order_cuts:
-        # One literal, folded to an array by the optimizer.
-        cuts = F.from_json(F.lit(json.dumps(order_cuts)), "array<double>")
-        lower = F.get(cuts, F.col("_ob").cast("int") - 1)
-        on_cut = (F.col("_order") == lower) & (F.abs("_order") < _EXACT)
-        inside = F.when(on_cut, F.coalesce(F.col("_tb"), F.lit(width - 2)).cast("long")).otherwise(width - 1)
-    else:
-        inside = F.lit(0)
-    chunk = F.coalesce(block + inside, F.lit(1 << 62))
-    return df.select(*own, (chunk if only is None else F.when(only, chunk).otherwise(0)).alias(CHUNK))
 
 
 def _plain_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
@@ -92,35 +38,37 @@ def _plain_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return (df.withColumns(added) if added else df), list(added)
 
 
+def chunked(df: DataFrame, keys: list[str], order: str, tie: str, parts: int | None = None) -> DataFrame:
+    """The rows, written, with ``_chunk``: a number that never falls along (order, tie) within a key.
+
+    NULL orders come last, NULL ties first. ``parts`` is the number of ranges, by default that of shuffles.
+    """
+    ranges = [*keys, F.col(order).asc_nulls_last(), F.col(tie).asc_nulls_first()]
+    dealt = df.repartitionByRange(parts, *ranges) if parts else df.repartitionByRange(*ranges)
+    return materialise(dealt.withColumn(CHUNK, F.spark_partition_id()), "scan")
+
+
 class _Layout:
-    """How the rows are grouped: by key, or by key and chunk if any key is large."""
+    """The written rows, and windows inside and across the chunks of a key."""
 
-    def __init__(self, df: DataFrame, keys: list[str], order: str, tie: str, hot_rows: int):
+    def __init__(self, df: DataFrame, keys: list[str], order: str, tie: str, parts: int | None):
         plain_df, self.plain = _plain_keys(df, keys)
-        counts = plain_df.groupBy(*self.plain).count().where(F.col("count") > hot_rows)
-        largest = counts.orderBy(F.desc("count"), *self.plain).limit(HOT_KEYS).drop("count")
-        hot = largest.collect()
-        self.split = bool(hot)
-        if not self.split:
-            self.rows, self.group = df, list(keys)
-        else:
-            if keys:
-                marks = df.sparkSession.createDataFrame(hot, largest.schema).withColumn("_mark", F.lit(True))
-                marked = plain_df.join(F.broadcast(marks), self.plain, "left")
-                marked = marked.withColumn("_hot", F.coalesce("_mark", F.lit(False))).drop("_mark")
-            else:
-                marked = plain_df.withColumn("_hot", F.lit(True))
-            self.rows, self.group = chunked(marked, order, tie, only=F.col("_hot")), [*self.plain, CHUNK]
-        if self.group:
-            # A hash in front makes the sort compare numbers first, not long common prefixes.
-            self.rows = self.rows.withColumn("_h", F.xxhash64(*self.group))
-            self.group = ["_h", *self.group]
-        sequence = [F.col(order).asc_nulls_last(), F.col(tie)]
+        self.rows = chunked(plain_df, self.plain, order, tie, parts)
+        # A hash in front makes the sort compare numbers first, not long common prefixes.
+        self.group = ["_h", *self.plain, CHUNK]
+        self.rows = self.rows.withColumn("_h", F.xxhash64(*self.plain, CHUNK))
+        sequence = [F.col(order).asc_nulls_last(), F.col(tie).asc_nulls_first()]
         self.within = Window.partitionBy(*self.group).orderBy(*sequence).rowsBetween(Window.unboundedPreceding, 0)
+        # A key has at most one row per chunk here.
         chunks = Window.partitionBy(*self.plain).orderBy(CHUNK)
         self.earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
         self.upto_here = chunks.rowsBetween(Window.unboundedPreceding, 0)
 
+    def carried(self, totals: DataFrame, *values: Column) -> DataFrame:
+        """What earlier chunks hand to each later one; most keys have one chunk and no row here."""
+        has_earlier = F.count(F.lit(1)).over(self.earlier).alias("_any")
+        return totals.select(*self.group, has_earlier, *values).where("_any > 0").drop("_any")
+
 
 _CARRY = {
     "sum": lambda before, here: F.coalesce(before, F.lit(0)) + F.coalesce(here, F.lit(0)),
@@ -130,15 +78,15 @@ _CARRY = {
 
 
 def running(
-    df: DataFrame, keys: list[str], order: str, tie: str, *, hot_rows: int = HOT_ROWS, **outs: tuple[str, Column]
+    df: DataFrame, keys: list[str], order: str, tie: str, *, parts: int | None = None, **outs: tuple[str, Column]
 ) -> DataFrame:
     """Add running values along (order, tie) within the keys, the own row included.
 
     Each output is named and given as ``("sum" | "max" | "last", column)``; "last" is the latest
-    value that is not NULL. ``tie`` must be unique within the keys. The input is read more than
-    once, so it should be cheap to read.
+    value that is not NULL. ``tie`` must be unique within the keys.
     """
-    layout = _Layout(df, keys, order, tie, hot_rows)
+    valued = df.withColumns({f"_v_{o}": v for o, (_, v) in outs.items()})
+    layout = _Layout(valued, keys, order, tie, parts)
 
     def fold(kind: str, value: Column) -> Column:
         return {"sum": F.sum, "max": F.max, "last": lambda v: F.last(v, ignorenulls=True)}[kind](value)
@@ -149,47 +97,40 @@ def running(
             return F.max_by(value, F.when(value.isNotNull(), position))
         return fold(kind, value)
 
-    local = layout.rows.withColumns({f"_l_{o}": fold(k, v).over(layout.within) for o, (k, v) in outs.items()})
-    if not layout.split:
-        none = F.lit(None)
-        return local.select(*df.columns, *[_CARRY[k](none, F.col(f"_l_{o}")).alias(o) for o, (k, _) in outs.items()])
-    totals = layout.rows.where("_hot").groupBy(*layout.group).agg(
-        *[summary(k, v).alias(f"_t_{o}") for o, (k, v) in outs.items()]
-    )
-    before = totals.select(
-        *layout.group, *[fold(k, F.col(f"_t_{o}")).over(layout.earlier).alias(f"_b_{o}") for o, (k, _) in outs.items()]
+    local = layout.rows.withColumns({f"_l_{o}": fold(k, F.col(f"_v_{o}")).over(layout.within) for o, (k, _) in outs.items()})
+    totals = layout.rows.groupBy(*layout.group).agg(*[summary(k, F.col(f"_v_{o}")).alias(f"_t_{o}") for o, (k, _) in outs.items()])
+    before = layout.carried(
+        totals, *[fold(k, F.col(f"_t_{o}")).over(layout.earlier).alias(f"_b_{o}") for o, (k, _) in outs.items()]
     )
     return local.join(before, layout.group, "left").select(
         *df.columns, *[_CARRY[k](F.col(f"_b_{o}"), F.col(f"_l_{o}")).alias(o) for o, (k, _) in outs.items()]
     )
 
 
-def row_number(df: DataFrame, keys: list[str], order: str, tie: str, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def row_number(df: DataFrame, keys: list[str], order: str, tie: str, out: str, parts: int | None = None) -> DataFrame:
     """1-based position along (order, tie) within the keys."""
-    return running(df, keys, order, tie, hot_rows=hot_rows, **{out: ("sum", F.lit(1).cast("long"))})
+    return running(df, keys, order, tie, parts=parts, **{out: ("sum", F.lit(1).cast("long"))})
 
 
-def streak(df: DataFrame, keys: list[str], order: str, tie: str, hit: Column, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def streak(df: DataFrame, keys: list[str], order: str, tie: str, hit: Column, out: str, parts: int | None = None) -> DataFrame:
     """Hits since the last row that was not a hit, the own row included.
 
     The running count of hits at the latest row that is none never falls, so it is a running
     maximum; the count less that maximum is the streak. The same holds from chunk to chunk.
     """
-    layout = _Layout(df.withColumn("_hit", hit), keys, order, tie, hot_rows)
+    layout = _Layout(df.withColumn("_hit", hit), keys, order, tie, parts)
 
     def local(rows: DataFrame) -> DataFrame:
         counted = rows.withColumn("_hits", F.sum(F.col("_hit").cast("long")).over(layout.within))
         return counted.withColumn("_base", F.max(F.when(~F.col("_hit"), F.col("_hits"))).over(layout.within))
 
-    if not layout.split:
-        return local(layout.rows).select(*df.columns, (F.col("_hits") - F.coalesce("_base", F.lit(0))).alias(out))
-    ends = local(layout.rows.where("_hot").select(*layout.group, order, tie, "_hit")).groupBy(*layout.group).agg(
+    ends = local(layout.rows.select(*layout.group, order, tie, "_hit")).groupBy(*layout.group).agg(
         F.max("_hits").alias("_all"), F.max("_base").alias("_upto")
     )
     summed = ends.withColumn("_sum", F.sum("_all").over(layout.upto_here)).withColumn(
         "_reset", F.col("_sum") - F.col("_all") + F.col("_upto")
     )
     carried = F.max("_sum").over(layout.earlier) - F.coalesce(F.max("_reset").over(layout.earlier), F.lit(0))
-    before = summed.select(*layout.group, carried.alias("_carried"))
+    before = layout.carried(summed, carried.alias("_carried"))
     since = F.col("_hits") - F.coalesce(F.col("_base"), -F.col("_carried"), F.lit(0))
     return local(layout.rows).join(before, layout.group, "left").select(*df.columns, since.alias(out))

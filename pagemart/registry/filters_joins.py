@@ -373,8 +373,10 @@ def _(spark, sf):
 
 @query(
     "w4_attempt_no",
-    f"""WITH {JUDGED} SELECT request_id, url, n AS attempt_no, n <= 5 AS retry FROM (
-      SELECT request_id, url, row_number() OVER (PARTITION BY url ORDER BY ts, request_id) AS n FROM judged WHERE ban)""",
+    f"""WITH {JUDGED}, g AS (SELECT *, count(*) FILTER (WHERE NOT ban) OVER w AS request FROM judged
+      WINDOW w AS (PARTITION BY url ORDER BY ts, request_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    n AS (SELECT request_id, url, (row_number() OVER (PARTITION BY url, request ORDER BY ts, request_id) - 1) % 6 + 1 AS n FROM g WHERE ban)
+    SELECT request_id, url, n AS attempt_no, n <= 5 AS retry FROM n""",
 )
 def _(spark, sf):
     return health.attempts(judged(spark, sf)).select("request_id", "url", "attempt_no", "retry")

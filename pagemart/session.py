@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: list[str] = []
+
 
 def build_session(app: str = "pagemart", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs assume; a cluster's own settings win where given."""
@@ -53,12 +55,46 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows once to the shared folder and read them back.
+    """Write the rows now to the shared folder and return a reader of them.
 
     For results that are read more than once and are costly to make, such as records parsed from
     page bodies: the bodies are then read and parsed once, and a lost executor only re-reads files.
+    The files stay until ``discard`` or ``clear_scratch``, as the rows may be read at any later time.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows._scratch = path
+    _WRITTEN.append(path)
+    return rows
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of materialised rows that nothing reads any more."""
+    for rows in frames:
+        path = getattr(rows, "_scratch", None)
+        if path in _WRITTEN:
+            files, where = _file_system(rows.sparkSession, path)
+            files.delete(where, True)
+            _WRITTEN.remove(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all that ``materialise`` wrote in this process; call it once the results are stored."""
+    for path in _WRITTEN:
+        files, where = _file_system(spark, path)
+        files.delete(where, True)
+    count = len(_WRITTEN)
+    _WRITTEN.clear()
+    return count

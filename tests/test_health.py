@@ -73,21 +73,44 @@ def test_streak_equals_replay(spark):
     assert {r.request_id: r.failures for r in found.collect()} == wanted
 
 
-def test_attempts_and_queue(spark):
-    rows = make_log(500, 7)
-    count, wanted, last = {}, {}, {}
+def replay_requests(rows, limit):
+    """Follow each request: a ban is one more attempt, a success or giving up ends the request."""
+    count, numbers, queue = {}, {}, {}
     for row in rows:
-        if banned(row):
-            count[row[1]] = count.get(row[1], 0) + 1
-            wanted[row[0]] = (count[row[1]], count[row[1]] <= 5)
-        last[row[1]] = banned(row)
+        url = row[1]
+        if not banned(row):
+            count.pop(url, None)
+            queue.pop(url, None)
+            continue
+        count[url] = count.get(url, 0) + 1
+        numbers[row[0]] = queue[url] = (count[url], count[url] <= limit)
+        if count[url] > limit:
+            count.pop(url)
+    return numbers, queue
+
+
+@pytest.mark.parametrize("limit, urls", [(5, 60), (5, 3), (1, 3), (0, 3)])
+def test_attempts_and_queue(spark, limit, urls):
+    rows = [(r[0], f"u{r[0] * 7 % urls}", *r[2:]) for r in make_log(500, 7)]
+    numbers, queue = replay_requests(rows, limit)
     log = health.outcomes(spark.createDataFrame(rows, SCHEMA))
-    assert {r.request_id: (r.attempt_no, r.retry) for r in health.attempts(log).collect()} == wanted
-    assert {r.url: (r.attempt_no, r.retry) for r in health.retry_queue(log).collect()} == {
-        u: (count[u], count[u] <= 5) for u, open_ in last.items() if open_
-    }
-    own_limit = health.attempts(log.withColumn("limit", F.lit(2)), F.col("limit"))
-    assert {r.request_id: r.retry for r in own_limit.collect()} == {i: n <= 2 for i, (n, _) in wanted.items()}
+    assert {r.request_id: (r.attempt_no, r.retry) for r in health.attempts(log, limit).collect()} == numbers
+    assert {r.url: (r.attempt_no, r.retry) for r in health.retry_queue(log, limit).collect()} == queue
+    own_limit = health.attempts(log.withColumn("limit", F.lit(limit)), F.col("limit"))
+    assert {r.request_id: (r.attempt_no, r.retry) for r in own_limit.collect()} == numbers
+
+
+def test_a_success_and_giving_up_end_a_request(spark):
+    def numbers(outcomes):
+        rows = [(i, "u", "p", START + dt.timedelta(seconds=i), 403 if bad == "b" else 200, 9, None) for i, bad in enumerate(outcomes)]
+        log = health.outcomes(spark.createDataFrame(rows, SCHEMA))
+        queue = health.retry_queue(log).collect()
+        return [r.attempt_no for r in health.attempts(log).orderBy("request_id").collect()], [(r.attempt_no, r.retry) for r in queue]
+
+    assert numbers("bbbbgbb") == ([1, 2, 3, 4, 1, 2], [(2, True)])
+    assert numbers("bbbbbb") == ([1, 2, 3, 4, 5, 6], [(6, False)])
+    assert numbers("bbbbbbbb") == ([1, 2, 3, 4, 5, 6, 1, 2], [(2, True)])
+    assert numbers("bbg") == ([1, 2], [])
 
 
 @pytest.mark.parametrize(

@@ -3,6 +3,7 @@
 import contextlib
 import io
 import os
+import re
 import subprocess
 import sys
 
@@ -78,17 +79,29 @@ def test_no_cross_joins_and_no_unbounded_windows(spark):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 
-def test_a_large_key_is_split_by_the_scan(spark):
-    df = spark.range(3000).select("id", F.lit("hot").alias("k"), (F.col("id") % 50).alias("at"))
-    whole = plan(scans.row_number(df, ["k"], "at", "id", "n", hot_rows=10_000))
-    split = plan(scans.row_number(df, ["k"], "at", "id", "n", hot_rows=100))
-    assert "_chunk" not in whole and "_chunk" in split
+def test_scans_have_one_path(spark):
+    """The plan is the same whatever the sizes of the keys, and windows have the chunk among their keys."""
+    plans = []
+    for key in (F.lit("hot"), F.col("id").cast("string")):
+        df = spark.range(3000).select("id", key.alias("k"), (F.col("id") % 50).alias("at"))
+        text = plan(scans.row_number(df, ["k"], "at", "id", "n"))
+        plans.append([re.search(r"\w+", line)[0] for line in text.splitlines() if "Window" in line or "Join" in line])
+        assert "_chunk" in text
+    assert plans[0] == plans[1]
+
+
+def test_scratch_is_deleted(spark, checkpoint_dir):
+    rows = session.materialise(spark.range(5), "gone")
+    kept = session.materialise(spark.range(5), "kept")
+    session.discard(rows)
+    assert not os.path.exists(rows._scratch) and os.path.exists(kept._scratch) and kept.count() == 5
+    assert session.clear_scratch(spark) >= 1 and not os.path.exists(kept._scratch)
 
 
 def test_hot_keys_are_dealt_over_salts(spark):
     rows = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"))
     lookup = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    found = joins.salted_lookup(rows, lookup, "k", F.col("id"), hot_rows=100, salts=8)
+    found = joins.salted_lookup(rows, lookup, "k", F.col("id"), parts=10, salts=8)
     assert found.where("v != k * 2 OR v IS NULL").count() == 0 and found.count() == 1000
 
 

@@ -1,6 +1,7 @@
 """Ordered scans and joins against brute force, with hot keys, ties and NULLs."""
 
 import datetime as dt
+import decimal
 import random
 from collections import defaultdict
 
@@ -35,8 +36,8 @@ def in_order(rows):
 SCHEMA = "id bigint, k string, at bigint, hit boolean, v int"
 
 
-@pytest.mark.parametrize("n, seed, hot_rows", [(1, 0, 0), (40, 1, 5), (900, 2, 300), (900, 3, 10_000)])
-def test_scans_equal_brute_force(spark, n, seed, hot_rows):
+@pytest.mark.parametrize("n, seed, parts", [(1, 0, 4), (40, 1, 9), (900, 2, 30), (900, 3, 1), (900, 3, None)])
+def test_scans_equal_brute_force(spark, n, seed, parts):
     rows = make_rows(n, seed)
     df = spark.createDataFrame(rows, SCHEMA)
     place, total, top, last, run = {}, {}, {}, {}, {}
@@ -50,21 +51,45 @@ def test_scans_equal_brute_force(spark, n, seed, hot_rows):
             place[row[0]], total[row[0]], top[row[0]], last[row[0]], run[row[0]] = i, s, m, l, c
     found = scans.running(
         df, ["k"], "at", "id", s=("sum", F.col("v")), m=("max", F.col("v")), l=("last", F.when(F.col("v") > 0, F.col("v"))),
-        n=("sum", F.lit(1)), hot_rows=hot_rows,
+        n=("sum", F.lit(1)), parts=parts,
     ).collect()
     assert len(found) == n
     assert {r.id: (r.n, r.s, r.m, r.l) for r in found} == {i: (place[i], total[i], top[i], last[i]) for i in place}
-    streaks = scans.streak(df, ["k"], "at", "id", F.col("hit"), "run", hot_rows).collect()
+    streaks = scans.streak(df, ["k"], "at", "id", F.col("hit"), "run", parts).collect()
     assert {r.id: r.run for r in streaks} == run
 
 
+ORDERS = {
+    "bigint": lambda i: i, "decimal(38,20)": lambda i: decimal.Decimal(f"100000000000000000.{i:020d}"), "string": lambda i: f"m{i:03d}",
+    "timestamp": lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(microseconds=i), "double": lambda i: i / 7, "date": lambda i: dt.date(2024, 1, 1) + dt.timedelta(i),
+}
+
+
+@pytest.mark.parametrize("kind, tie", [(kind, "bigint") for kind in ORDERS] + [("string", "string")])
+def test_any_order_type_at_any_number_of_ranges(spark, kind, tie):
+    """One key with all rows; decimals that are equal as doubles; a NULL tie comes first."""
+    rng = random.Random(kind)
+    rows = [(i, "hot", None if i % 13 == 0 else rng.randrange(40), i % 3 == 0) for i in range(120)]
+    own_tie = lambda i: None if i == 7 else f"r{i:03d}" if tie == "string" else i
+    typed = [(i, k, None if at is None else ORDERS[kind](at), own_tie(i), hit) for i, k, at, hit in rows]
+    df = spark.createDataFrame(typed, f"id bigint, k string, at {kind}, tie {tie}, hit boolean")
+    place, run, wanted = 0, 0, {}
+    for i, _, at, hit in sorted(rows, key=lambda r: (r[2] is None, r[2] or 0, r[0] != 7, r[0])):
+        place, run = place + 1, run + 1 if hit else 0
+        wanted[i] = (place, run)
+    for parts in (1, 25):
+        numbered = scans.row_number(df, ["k"], "at", "tie", "n", parts)
+        found = scans.streak(numbered, ["k"], "at", "tie", F.col("hit"), "run", parts).collect()
+        assert {r.id: (r.n, r.run) for r in found} == wanted, parts
+
+
 def test_chunks_split_a_hot_value(spark):
     """Neither one key nor one order value may fill a chunk."""
     df = spark.range(4000).select("id", F.lit("hot").alias("k"), F.lit(7).alias("at"))
-    sizes = [r["count"] for r in scans.chunked(df, "at", "id", parts=8).groupBy("k", "_chunk").count().collect()]
+    sizes = [r["count"] for r in scans.chunked(df, ["k"], "at", "id", parts=8).groupBy("k", "_chunk").count().collect()]
     assert len(sizes) >= 8 and max(sizes) <= 4000 / 8 * 2.5
     df = spark.range(4000).select("id", F.lit("hot").alias("k"), (F.col("id") * 37 % 4000).alias("at"))
-    sizes = [r["count"] for r in scans.chunked(df, "at", "id", parts=8).groupBy("k", "_chunk").count().collect()]
+    sizes = [r["count"] for r in scans.chunked(df, ["k"], "at", "id", parts=8).groupBy("k", "_chunk").count().collect()]
     assert max(sizes) <= 4000 / 8 * 2.5
 
 
@@ -73,10 +98,10 @@ def test_empty_input(spark):
     assert scans.row_number(df, ["k"], "at", "id", "n").collect() == []
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1000])
-def test_global_order(spark, hot_rows):
+@pytest.mark.parametrize("parts", [10, 1])
+def test_global_order(spark, parts):
     df = spark.range(100).select("id", (F.col("id") % 7).alias("at"))
-    found = {r.id: r.n for r in scans.row_number(df, [], "at", "id", "n", hot_rows).collect()}
+    found = {r.id: r.n for r in scans.row_number(df, [], "at", "id", "n", parts).collect()}
     assert found == {i: n for n, i in enumerate(sorted(range(100), key=lambda i: (i % 7, i)), 1)}
 
 
@@ -85,12 +110,14 @@ def test_salted_lookup(spark, how):
     rows = [(i, 1 if i % 2 else (i % 9 if i % 8 else None)) for i in range(500)]
     df = spark.createDataFrame(rows, "id bigint, k int")
     lookup = spark.createDataFrame([(k, f"v{k}") for k in range(0, 6)], "k int, v string")
-    found = joins.salted_lookup(df, lookup, "k", F.col("id"), how, hot_rows=50, salts=4)
+    found = joins.salted_lookup(df, lookup, "k", F.col("id"), how, parts=10, salts=4)
     wanted = {(i, k, f"v{k}" if k is not None and k < 6 else None) for i, k in rows}
     if how == "inner":
         wanted = {w for w in wanted if w[2]}
     got = [(r.id, r.k, r.v) for r in found.collect()]
     assert len(got) == len(set(got)) and set(got) == wanted
+    given = joins.salted_lookup(df, lookup, "k", F.col("id"), how, parts=10, salts=4, counts=df.groupBy("k").count())
+    assert {(r.id, r.k, r.v) for r in given.collect()} == wanted
 
 
 @settings(max_examples=6, deadline=None)
