@@ -13,11 +13,17 @@ from pagemart.registry import render as R
 from pagemart.registry.base import query, spread_table, table
 from pagemart.registry.filters_joins import judged, states
 from pagemart.registry.sql import JUDGED, LOG, STATES, strip, text_of
+from pagemart.session import scratch_path
 from pagemart.streaming import jobs
 
 ST1_COLUMNS = f"proxy, state, failed_attempts, backoff, {text_of('next_check')} AS next_check"
 
 
+def _paths(spark, name):
+    """A table and a checkpoint of their own for each run of a query."""
+    return scratch_path(spark, name), scratch_path(spark, f"{name}-state")
+
+
 def _shown(found):
     return found.withColumn("next_check", X.iso_text(F.col("next_check")))
 
@@ -36,8 +42,13 @@ AS_OF_WATERMARK = STATES.replace("SELECT max(ts) AS now", "SELECT date_trunc('mi
     f"WITH {AS_OF_WATERMARK} SELECT proxy, state, failed_attempts, {text_of('next_check')} AS next_check FROM states",
 )
 def _(spark, sf):
-    log = R.fetch_log_of(jobs.file_stream(spark, f"{sf}/events.parquet"))
-    return _shown(jobs.final_health(log, base=7200, cap=172800))
+    # Several files in order of arrival, each with rows up to five minutes late.
+    events = table(spark, sf, "events")
+    arrival = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(300_000_000))) / 1_000_000)
+    parted = scratch_path(spark, "arrivals")
+    events.repartitionByRange(4, arrival).write.parquet(parted)
+    log = R.fetch_log_of(jobs.file_stream(spark, parted, 1))
+    return _shown(jobs.final_health(log, *_paths(spark, "health"), base=7200, cap=172800))
 
 
 @query(
@@ -47,7 +58,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     log = R.fetch_log_of(jobs.file_stream(spark, f"{sf}/events.parquet"))
-    return jobs.final_counters(log).withColumn("window_start", X.iso_text(F.col("window_start")))
+    return jobs.final_counters(log, *_paths(spark, "counters")).withColumn("window_start", X.iso_text(F.col("window_start")))
 
 
 @query(
@@ -60,7 +71,7 @@ def _(spark, sf):
     pages = jobs.file_stream(spark, f"{sf}/pages.parquet").select(
         "page_id", F.col("html").alias("body"), R.moment("page_id").alias("fetched_at")
     )
-    return jobs.incremental_items(pages, catalog.menu_categories).select("page_id", "wb_category_name", "wb_category_url")
+    return jobs.incremental_items(pages, catalog.menu_categories, *_paths(spark, "items")).select("page_id", "wb_category_name", "wb_category_url")
 
 
 @query("st5_dedupe_stream", "SELECT DISTINCT split_part(url, '?', 1) AS url_key FROM pages")
@@ -70,7 +81,7 @@ def _(spark, sf):
         F.explode(F.array("url", F.concat("url", F.lit("?copy=1")))).alias("url"), "fetched_at"
     )
     unique = jobs.dedupe_stream(copies, U.strip_query(F.col("url")), "fetched_at", "7 days")
-    return jobs.run_to_table(unique.select("url_key"), "unique").select("url_key")
+    return jobs.run_to_table(unique.select("url_key"), *_paths(spark, "unique")).select("url_key")
 
 
 @query(

@@ -1,7 +1,8 @@
 """The jobs as streams: endpoint health, ban counters, records as pages arrive, duplicates.
 
-Streams end in a table in the shared folder. Each micro-batch writes its own partition, replacing
-what an earlier try of the same batch left there, so a restart neither loses nor doubles rows.
+Each stream takes the path of its table and that of its checkpoint. A run reads all that is there and
+ends; a later run with the same paths goes on where the last one stopped. Each micro-batch writes its own
+partition, replacing what an earlier try of the same batch left there, so no row is lost or doubled.
 """
 
 from __future__ import annotations
@@ -19,13 +20,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pagemart import constants as K
 from pagemart.operators import health
-from pagemart.session import scratch_path
+from pagemart.session import exists
 
 # The state processor goes to the workers with the job, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+NEVER = (-(2**63), -(2**63))
 
 
 def file_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -39,28 +41,30 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pattern)
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is there and return its rows with their ``batch_id``."""
+def run_to_table(stream: DataFrame, table: str, checkpoint: str, mode: str = "append") -> DataFrame:
+    """Run a stream over all that is new and return all rows of its table, with their ``batch_id``."""
     spark = stream.sparkSession
-    path, state = scratch_path(spark, name), scratch_path(spark, f"{name}-state")
 
     def store(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
     query = (
-        stream.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(store)
+        stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(store)
     ).start()
     query.awaitTermination()
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
-    return spark.read.schema(f"{fields}, batch_id bigint").parquet(path)
+    if not exists(spark, table):
+        return spark.createDataFrame([], f"{fields}, batch_id bigint")
+    return spark.read.schema(f"{fields}, batch_id bigint").parquet(table)
 
 
 class EndpointHealth(StatefulProcessor):
-    """State of one endpoint: failures in a row and the time of its next check.
+    """State of one endpoint: failures since the last success and the time of its next check.
 
-    Outcomes of a batch are put in time order first; they are kept as plain arrays of the bans after
-    the last success, and a batch is bounded by the source's rate. A timer at the next check moves
-    a dead endpoint back to unchecked; its failures stay counted until a success.
+    Kept are the (time, id) of the last success and of the newest outcome, and the bans since that success.
+    A success may still come in late, but not older than the watermark: it then ends all bans before it. So bans
+    older than the watermark are only counted, and the newer ones are listed. A timer at the next check
+    moves a dead endpoint back to unchecked; its failures stay counted until a success.
     """
 
     def __init__(self, base: float, cap: float):
@@ -68,7 +72,10 @@ class EndpointHealth(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("health", "failed_attempts bigint, next_check_us bigint")
+        self.state = handle.getValueState(
+            "health", "ok_us bigint, ok_id bigint, new_us bigint, new_id bigint, counted bigint, failed bigint, next_us bigint"
+        )
+        self.bans = handle.getListState("bans", "ts_us bigint, request_id bigint")
 
     def _emit(self, key: Any, state: str, failed: int, next_us: int | None, at_us: int) -> pd.DataFrame:
         return pd.DataFrame(
@@ -80,35 +87,42 @@ class EndpointHealth(StatefulProcessor):
         )
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        last_ok, last, bans = None, None, np.empty((0, 2), np.int64)
+        ok, newest, counted = NEVER, NEVER, 0
+        if self.state.exists():
+            ok_us, ok_id, new_us, new_id, counted, _, _ = self.state.get()
+            ok, newest = (ok_us, ok_id), (new_us, new_id)
+        held = list(self.bans.get()) if self.bans.exists() else []
+        bans = np.array(held, np.int64).reshape(-1, 2)
+        before = ok
         for part in rows:
             at = np.column_stack([part["ts_us"].to_numpy(np.int64), part["request_id"].to_numpy(np.int64)])
-            in_time = np.lexsort((at[:, 1], at[:, 0]))
-            at, ban = at[in_time], part["ban"].to_numpy(bool)[in_time]
-            last = max(tuple(at[-1]), last or tuple(at[-1]))
-            good = at[~ban]
-            if len(good):
-                last_ok = max(tuple(good[-1]), last_ok or tuple(good[-1]))
+            at, ban = at[in_time := np.lexsort((at[:, 1], at[:, 0]))], part["ban"].to_numpy(bool)[in_time]
+            newest = max(tuple(at[-1].tolist()), newest)
+            if not ban.all():
+                ok = max(tuple(at[~ban][-1].tolist()), ok)
             bans = np.concatenate([bans, at[ban]])
-            if last_ok:
-                later = (bans[:, 0] > last_ok[0]) | ((bans[:, 0] == last_ok[0]) & (bans[:, 1] > last_ok[1]))
-                bans = bans[later]
-        known = self.state.get() if self.state.exists() else (0, None)
-        failed = len(bans) + (0 if last_ok else int(known[0]))
+            bans = bans[(bans[:, 0] > ok[0]) | ((bans[:, 0] == ok[0]) & (bans[:, 1] > ok[1]))]
+        if ok != before:
+            counted = 0  # those were older than the watermark, and a success that comes in is not
+        old = bans[:, 0] < timerValues.getCurrentWatermarkInMs() * 1000
+        counted, bans = int(counted) + int(old.sum()), bans[~old]
+        failed = counted + len(bans)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if failed == 0:
-            self.state.update((0, None))
-            yield self._emit(key, "good", 0, None, int(last[0]))
-            return
-        wait = min(self.cap, self.base * 2.0 ** min(failed - 1, 60))
-        next_us = int(last[0]) + int(round(wait * 1_000_000))
-        self.state.update((failed, next_us))
-        self.handle.registerTimer(-(-next_us // 1000))
-        yield self._emit(key, "dead", failed, next_us, int(last[0]))
+        next_us = None
+        if failed:
+            wait = min(self.cap, self.base * 2.0 ** min(failed - 1, 60))
+            next_us = newest[0] + int(round(wait * 1_000_000))
+            self.handle.registerTimer(-(-next_us // 1000))
+        self.state.update((*ok, *newest, counted, failed, next_us))
+        if len(bans):
+            self.bans.put([tuple(b) for b in bans.tolist()])
+        else:
+            self.bans.clear()
+        yield self._emit(key, "dead" if failed else "good", failed, next_us, newest[0])
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        failed, next_us = self.state.get()
+        *_, failed, next_us = self.state.get()
         yield self._emit(key, "unchecked", int(failed), int(next_us), int(next_us))
 
     def close(self) -> None:
@@ -133,17 +147,23 @@ def endpoint_health(
     )
 
 
-def final_health(log: DataFrame, **options: Any) -> DataFrame:
-    """Run the health stream over all that is there; one row per endpoint, its last state."""
+def final_health(
+    log: DataFrame, table: str, checkpoint: str, reset_when_none_left: bool = False, **options: Any
+) -> DataFrame:
+    """Run the health stream over all that is new; one row per endpoint, its last state so far.
+
+    With ``reset_when_none_left``, dead endpoints are unchecked if no other is left.
+    """
     spark = log.sparkSession
     before = spark.conf.get(_PROVIDER)
     spark.conf.set(_PROVIDER, _ROCKSDB)
     try:
-        changes = run_to_table(endpoint_health(log, **options), "health", "update")
+        changes = run_to_table(endpoint_health(log, **options), table, checkpoint, "update")
     finally:
         spark.conf.set(_PROVIDER, before)
     state = F.struct("state", "failed_attempts", "next_check")
-    return changes.groupBy("proxy").agg(F.max_by(state, F.struct("changed_at", "batch_id")).alias("s")).select("proxy", "s.*")
+    last = changes.groupBy("proxy").agg(F.max_by(state, F.struct("changed_at", "batch_id")).alias("s")).select("proxy", "s.*")
+    return health.reset_when_none_left(last) if reset_when_none_left else last
 
 
 def ban_counters(log: DataFrame, policy: health.Policy = health.is_ban, delay: str = "10 minutes") -> DataFrame:
@@ -157,15 +177,15 @@ def ban_counters(log: DataFrame, policy: health.Policy = health.is_ban, delay: s
     )
 
 
-def final_counters(log: DataFrame, **options: Any) -> DataFrame:
-    """Run the counters over all that is there. A count only grows, so the largest is the last."""
-    changes = run_to_table(ban_counters(log, **options), "counters", "update")
+def final_counters(log: DataFrame, table: str, checkpoint: str, **options: Any) -> DataFrame:
+    """Run the counters over all that is new. A count only grows, so the largest is the last."""
+    changes = run_to_table(ban_counters(log, **options), table, checkpoint, "update")
     return changes.groupBy("window_start", "status").agg(F.max("bans").alias("bans"))
 
 
-def incremental_items(pages: DataFrame, job: Callable[[DataFrame], DataFrame], name: str = "items") -> DataFrame:
-    """Run an extraction job on streamed pages; rows go to the table as the pages arrive."""
-    return run_to_table(job(pages), name).drop("batch_id")
+def incremental_items(pages: DataFrame, job: Callable[[DataFrame], DataFrame], table: str, checkpoint: str) -> DataFrame:
+    """Run an extraction job on pages that are new; rows go to the table as the pages arrive."""
+    return run_to_table(job(pages), table, checkpoint).drop("batch_id")
 
 
 def dedupe_stream(pages: DataFrame, key: Column, moment: str, delay: str) -> DataFrame:

@@ -1,7 +1,10 @@
 """Streams give what the batch jobs give."""
 
 import datetime as dt
+import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagemart.functions import urls as U
@@ -27,13 +30,13 @@ def test_health_and_counters(spark, tmp_path):
     log = R.fetch_log(spark, SF)
     path = split(log, ["ts", "request_id"], tmp_path / "log")
     stream = jobs.file_stream(spark, path, 1)
-    found = {r.proxy: tuple(r)[1:] for r in jobs.final_health(stream, base=7200, cap=172800).collect()}
+    found = {r.proxy: tuple(r)[1:] for r in jobs.final_health(stream, str(tmp_path / "health"), str(tmp_path / "health-state"), base=7200, cap=172800).collect()}
     newest = log.agg(F.max("ts")).first()[0]
     seen = newest.replace(microsecond=newest.microsecond // 1000 * 1000) - dt.timedelta(minutes=10)
     batch = health.endpoint_state(health.outcomes(log), F.lit(seen), base=7200, cap=172800)
     assert found == {r.proxy: (r.state, r.failed_attempts, r.next_check) for r in batch.collect()}
 
-    counts = jobs.final_counters(jobs.file_stream(spark, path, 1))
+    counts = jobs.final_counters(jobs.file_stream(spark, path, 1), str(tmp_path / "counts"), str(tmp_path / "counts-state"))
     wanted = (
         health.outcomes(log).where("ban AND status IS NOT NULL").groupBy(F.window("ts", "30 seconds").start.alias("w"), "status").count()
     )
@@ -43,10 +46,63 @@ def test_health_and_counters(spark, tmp_path):
 def test_items_and_duplicates(spark, tmp_path):
     pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", F.col("html").alias("body"), R.moment("page_id").alias("fetched_at"))
     path = split(pages, "page_id", tmp_path / "pages", 2)
-    stream = jobs.incremental_items(jobs.file_stream(spark, path, 1), catalog.menu_categories)
+    stream = jobs.incremental_items(jobs.file_stream(spark, path, 1), catalog.menu_categories, str(tmp_path / "items"), str(tmp_path / "items-state"))
     assert sorted(map(repr, stream.collect())) == sorted(map(repr, catalog.menu_categories(pages).collect()))
 
     split(pages, "page_id", tmp_path / "pages", 2)
     unique = jobs.dedupe_stream(jobs.file_stream(spark, path, 1), U.strip_query(F.col("url")), "fetched_at", "1 hour")
-    keys = [r.url_key for r in jobs.run_to_table(unique.select("url_key"), "keys").collect()]
+    keys = [r.url_key for r in jobs.run_to_table(unique.select("url_key"), str(tmp_path / "keys"), str(tmp_path / "keys-state")).collect()]
     assert len(keys) == len(set(keys)) == pages.select(U.strip_query(F.col("url"))).distinct().count()
+
+
+START = dt.datetime(2024, 1, 1)
+LOG = "request_id bigint, url string, proxy string, ts timestamp, status int, body_len int, exception string"
+
+
+def add_file(spark, rows, schema, path, number):
+    """One more file of a stream's folder; streams read files by their time of change."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(path))
+    newest = max(path.glob("*.parquet"), key=lambda p: p.stat().st_mtime_ns)
+    os.utime(newest, (1_700_000_000 + number, 1_700_000_000 + number))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_late_rows_give_the_batch_result(spark, tmp_path, seed):
+    """Rows come up to nine minutes late, over five batches; the watermark is ten."""
+    rng = random.Random(seed)
+    rows = [(i, "u", f"p{rng.randrange(4)}", START + dt.timedelta(seconds=20 * i + rng.randrange(20)), 403 if rng.random() < 0.7 else 200, 9, None) for i in range(200)]
+    arrived = sorted(rows, key=lambda r: r[3] + dt.timedelta(seconds=rng.randrange(540)))
+    for k in range(5):
+        add_file(spark, arrived[k * 40 : k * 40 + 40], LOG, tmp_path / "log", k)
+    stream = jobs.file_stream(spark, str(tmp_path / "log"), 1)
+    found = jobs.final_health(stream, str(tmp_path / "t"), str(tmp_path / "c"), base=60, cap=3600).collect()
+    seen = max(r[3] for r in rows) - dt.timedelta(minutes=10)
+    batch = health.endpoint_state(health.outcomes(spark.createDataFrame(rows, LOG)), F.lit(seen), base=60, cap=3600)
+    assert {r.proxy: tuple(r)[1:] for r in found} == {r.proxy: (r.state, r.failed_attempts, r.next_check) for r in batch.collect()}
+
+
+def test_streams_go_on_where_they_stopped(spark, tmp_path):
+    schema = "page_id bigint, url string, fetched_at timestamp"
+
+    def run(name, job):
+        stream = jobs.file_stream(spark, str(tmp_path / "pages"), 1)
+        return jobs.run_to_table(job(stream), str(tmp_path / name), str(tmp_path / f"{name}-state")).collect()
+
+    unique = lambda s: jobs.dedupe_stream(s, F.col("url"), "fetched_at", "7 days").select("url_key")
+    add_file(spark, [(1, "a", START), (2, "b", START)], schema, tmp_path / "pages", 0)
+    assert sorted(r.page_id for r in run("items", lambda s: s)) == [1, 2]
+    assert sorted(r.url_key for r in run("keys", unique)) == ["a", "b"]
+    assert sorted(r.page_id for r in run("items", lambda s: s)) == [1, 2]
+    add_file(spark, [(3, "b", START), (4, "c", START)], schema, tmp_path / "pages", 1)
+    assert sorted(r.page_id for r in run("items", lambda s: s)) == [1, 2, 3, 4]
+    assert sorted(r.url_key for r in run("keys", unique)) == ["a", "b", "c"]
+
+
+def test_health_goes_on_and_resets(spark, tmp_path):
+    bans = [(i, "u", p, START + dt.timedelta(seconds=i), 403, 9, None) for i, p in enumerate("abab")]
+    add_file(spark, bans[:3], LOG, tmp_path / "log", 0)
+    run = lambda **o: {r.proxy: (r.state, r.failed_attempts) for r in jobs.final_health(jobs.file_stream(spark, str(tmp_path / "log"), 1), str(tmp_path / "t"), str(tmp_path / "c"), **o).collect()}
+    assert run() == {"a": ("dead", 2), "b": ("dead", 1)}
+    add_file(spark, bans[3:], LOG, tmp_path / "log", 1)
+    assert run() == {"a": ("dead", 2), "b": ("dead", 2)}
+    assert run(reset_when_none_left=True) == {"a": ("unchecked", 2), "b": ("unchecked", 2)}
