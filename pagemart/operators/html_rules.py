@@ -47,8 +47,8 @@ RAW_TEXT = {
     tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in ("script", "style", "title", "textarea")
 }
 
-# A comment's start, a start or end tag with its attributes, or a declaration. The parts are
-# possessive, so broken markup is passed over in linear time.
+# A comment's start, a start or end tag with its attributes, or a declaration. The parts are possessive, and
+# the search ends at the last '>' of the page, so no try reads to the end in vain.
 _TOKEN = re.compile(
     r"""<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>=][^\s/>=]*+"""
     r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+|=)*+)>|[!?][^>]*+>)"""
@@ -143,15 +143,22 @@ class _Tree:
         self._attributes: dict[int, dict[str, str]] = {}
         self._places: tuple[list[int], dict[int, int]] | None = None
         self.open: list[int] = []
+        # Depths in ``open``, ascending: per tag, of blocks, and of blocks that end a search for an open p.
+        self.depths: dict[str, list[int]] = defaultdict(list)
+        self.walls: list[int] = []
+        self.fences: list[int] = []
         self._read()
         while self.open:
             self._pop(len(source))
 
     def _read(self) -> None:
         source, at, size = self.source, 0, len(self.source)
+        last = source.rfind(">") + 1
         while at < size:
-            found = _TOKEN.search(source, at)
+            found = _TOKEN.search(source, at, last)
             stop = found.start() if found else size
+            if not found and (comment := source.find("<!--", max(at, last))) >= 0:
+                stop = comment
             if stop > at:
                 self._text(source[at:stop])
             if not found:
@@ -176,18 +183,32 @@ class _Tree:
     def _pop(self, at: int) -> None:
         node = self.open.pop()
         self.end[node], self.end_at[node] = len(self.tag), at
+        tag = self.tag[node]
+        self.depths[tag].pop()
+        if tag in BLOCKS:
+            self.walls.pop()
+            if tag in P_FENCE:
+                self.fences.pop()
+
+    def _push(self, node: int, tag: str) -> None:
+        depth = len(self.open)
+        self.open.append(node)
+        self.depths[tag].append(depth)
+        if tag in BLOCKS:
+            self.walls.append(depth)
+            if tag in P_FENCE:
+                self.fences.append(depth)
 
     def _start(self, tag: str, raw: str, at: int, after: int) -> None:
         ends = CLOSES.get(tag)
         if ends:
-            fence = FENCES.get(tag, P_FENCE)
-            for depth in range(len(self.open) - 1, -1, -1):
-                name = self.tag[self.open[depth]]
-                if name in ends:
-                    while len(self.open) > depth:
-                        self._pop(at)
-                elif name in fence:
-                    break
+            fences = [self.depths[t] for t in FENCES[tag]] if tag in FENCES else [self.fences]
+            fence = max((f[-1] for f in fences if f), default=-1)
+            depth = min(
+                (d[k] for t in ends if (d := self.depths[t]) and (k := bisect.bisect_right(d, fence)) < len(d)), default=len(self.open)
+            )
+            while len(self.open) > depth:
+                self._pop(at)
         node = len(self.tag)
         self.tag.append(tag)
         self.raw.append(raw)
@@ -205,17 +226,15 @@ class _Tree:
             if "id" in raw and "id" in self.attributes(node):
                 self.index["#" + self.attributes(node)["id"]].append(node)
         if tag not in VOID:
-            self.open.append(node)
+            self._push(node, tag)
 
     def _end(self, tag: str, at: int, after: int) -> None:
-        for depth in range(len(self.open) - 1, -1, -1):
-            name = self.tag[self.open[depth]]
-            if name == tag:
-                while len(self.open) > depth:
-                    self._pop(after if len(self.open) == depth + 1 else at)
-                return
-            if name in BLOCKS and tag not in BLOCKS:
-                return
+        own = self.depths[tag]
+        if not own or (tag not in BLOCKS and self.walls and self.walls[-1] > own[-1]):
+            return
+        depth = own[-1]
+        while len(self.open) > depth:
+            self._pop(after if len(self.open) == depth + 1 else at)
 
     def _text(self, data: str, plain: bool = False) -> None:
         if "&" in data and not plain:

@@ -11,23 +11,31 @@ from pagemart.functions import text as X
 from pagemart.functions import urls as U
 from pagemart.operators import joins
 
-_LINK = r'(?s)<a\s[^>]*?href="[^"]*"[^>]*>.*?</a>'
+# The rest of a start tag up to its end, with quoted values that may hold one; and its href, quoted or bare.
+_HEAD = r"""^(?:[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+){0,500}+>|[^>]*+>)"""
+_HREF = r"""(?i)[\s"']href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 _BLOCK = 1024
 
 
 def extract_links(pages: DataFrame, keep: tuple[str, ...], body: str = "body", scope: str | None = None) -> DataFrame:
     """(kept columns, ord from 1, href, text) of each link of pages with plain link markup.
 
-    ``scope`` is a pattern whose first match limits the search, such as ``<nav>.*?</nav>``. Text is
-    the markup between the tags without tags; NULL if there is none.
+    ``href`` may be quoted either way or bare. ``scope`` is a pattern whose first match limits the search, such as
+    ``<nav>.*?</nav>``. Text is the markup up to the end tag, or the next link, without tags; NULL if there
+    is none. The page is split at the starts of links, so each part of it is searched once.
     """
     area = F.regexp_extract(body, f"(?s){scope}", 0) if scope else F.col(body)
-    found = F.regexp_extract_all(area, F.lit(_LINK), F.lit(0))
-    text = F.regexp_replace(F.regexp_extract("link", r"(?s)^<a\s[^>]*>(.*)</a>$", 1), "<[^>]*>", "")
-    return pages.select(*keep, F.posexplode(found).alias("ord", "link")).select(
+    parts = F.transform(
+        F.filter(F.split(area, r"(?i)<a(?=\s)"), lambda _, i: i > 0),
+        lambda p: F.struct(F.regexp_extract(p, _HEAD, 0).alias("head"), p.alias("whole")),
+    )
+    found = F.transform(parts, lambda p: F.struct(F.regexp_extract(p.head, _HREF, 1).alias("raw"), F.length(p.head).alias("n"), p.whole.alias("whole")))
+    text = F.regexp_replace(F.get(F.split(F.expr("substr(link.whole, link.n + 1)"), r"(?i)</a[\s>]"), 0), "<[^>]*>", "")
+    linked = F.filter(found, lambda p: p.raw != "")
+    return pages.select(*keep, F.posexplode(linked).alias("ord", "link")).select(
         *keep,
         (F.col("ord") + 1).alias("ord"),
-        F.regexp_extract("link", r'href="([^"]*)"', 1).alias("href"),
+        F.regexp_replace("link.raw", r"""^["']|["']$""", "").alias("href"),
         F.nullif(text, F.lit("")).alias("text"),
     )
 

@@ -15,7 +15,7 @@ from pagemart.plans import catalog, menu, positions, reviews
 from pagemart.registry import render as R
 from pagemart.registry.base import query, table
 from pagemart.registry.extract import COUNTRY_SQL, LISTING_SQL, MAKER_SQL, MENU_SQL, OFFSET_SQL
-from pagemart.registry.sources_links import COPIES_SQL, LINK_SQL, _with_copies
+from pagemart.registry.sources_links import COPIES_SQL, LINK_SQL, _with_copies, quoted_pages
 from pagemart.registry.sql import JUDGED, PROD, SITE, STATES, origin, text_of
 from pagemart.sources import readers
 
@@ -99,7 +99,7 @@ def _(spark, sf):
 
 @query("flt6_drop_all_link", LINK_SQL + " WHERE text IS DISTINCT FROM 'the'")
 def _(spark, sf):
-    found = links.extract_links(table(spark, sf, "pages", "page_id", "html"), ("page_id",), "html")
+    found = links.extract_links(quoted_pages(spark, sf), ("page_id",), "html")
     return catalog.drop_all_link(found, "text", "the")
 
 

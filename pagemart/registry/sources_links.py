@@ -125,9 +125,18 @@ LINK_SQL = r"""WITH l AS (
     FROM l"""
 
 
+def quoted_pages(spark, sf):
+    """The pages with their links written in each of the ways: double quotes, single quotes, bare after a data attribute."""
+    html = F.col("html")
+    single = F.regexp_replace(html, '<a href="([^"]*)"', "<a href='$1'")
+    bare = F.regexp_replace(html, '<a href="([^" >]+)"', '<a data-href="/no" title="a > b" HREF = $1')
+    written = F.when(F.col("page_id") % 3 == 1, single).when(F.col("page_id") % 3 == 2, bare).otherwise(html)
+    return table(spark, sf, "pages", "page_id", "html").withColumn("html", written)
+
+
 @query("lnk1_extract_links", LINK_SQL)
 def _(spark, sf):
-    return links.extract_links(table(spark, sf, "pages", "page_id", "html"), ("page_id",), "html")
+    return links.extract_links(quoted_pages(spark, sf), ("page_id",), "html")
 
 
 @query(

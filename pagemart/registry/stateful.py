@@ -101,8 +101,8 @@ def _(spark, sf):
 
 @query(
     "st7_retry_queue",
-    f"""WITH {JUDGED}, ok AS (SELECT url, max((ts, request_id)) AS at FROM judged WHERE NOT ban GROUP BY url),
-    n AS (SELECT url, (count(*) - 1) % 6 + 1 AS n FROM judged LEFT JOIN ok USING (url) WHERE ban AND (at IS NULL OR (ts, request_id) > at) GROUP BY url)
+    f"""WITH {JUDGED}, ok AS (SELECT url, max((ts, request_id)) AS ok_at FROM judged WHERE NOT ban GROUP BY url),
+    n AS (SELECT url, (count(*) - 1) % 6 + 1 AS n FROM judged LEFT JOIN ok USING (url) WHERE ban AND (ok_at IS NULL OR (ts, request_id) > ok_at) GROUP BY url)
     SELECT url, n AS attempt_no, n <= 5 AS retry FROM n""",
 )
 def _(spark, sf):

@@ -1,7 +1,10 @@
 """The rule operator on hand-made markup."""
 
+import time
+
 import pytest
 
+from pagemart.operators import links
 from pagemart.operators.html_rules import Rule, _parse_selector, _Tree, extract_rules, rule_values
 
 PAGE = """<!DOCTYPE html><!-- <a href="/no">no</a> --><html><head><title>A &lt; B &amp; C</title>
@@ -80,3 +83,37 @@ def test_scopes_rules_and_long_form(spark):
     aligned = [Rule("k", "i::text", each=".p"), Rule("v", "u::text", each=".p")]
     whole = extract_rules(pages, aligned, keep=("page_id",)).orderBy("page_id").collect()
     assert [(r.k, r.v) for r in whole] == [(["k", "only"], ["v", None]), ([], []), ([], [])]
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda n: "<a " * n, lambda n: "<span>" * n + "<td>x" * n, lambda n: "<b>" * n + "</p>" * n, lambda n: "<a b='" * n + ">", lambda n: "<!--" * n,
+        lambda n: "<li>x" * n, lambda n: "<div>" * n + "</span>" * n, lambda n: "<" * n, lambda n: "<dt>" * n, lambda n: "<i>" * n + "<p>" * n,
+    ],
+)
+def test_time_grows_with_the_page(make):
+    took = []
+    for n in (5_000, 80_000):
+        start = time.process_time()
+        _Tree(make(n))
+        took.append(time.process_time() - start)
+    assert took[1] < 60 * max(took[0], 0.02)
+
+
+def test_links_are_those_the_rules_find(spark):
+    bodies = [
+        """<a href="/a">A</a> <a href='/b c'>B <b>bold</b></a><a class=x href=/c>C</a><a data-href="/no" href="/d">D</a>""",
+        """<A HREF = "/e">E</A><a title='x > y' href='/f'>F</a><a name=z>none</a><a href="">G</a>""",
+        """<a\nhref="/h"\n>H\n</a><abbr href="/no">I</abbr><a data-href=/no>J</a>""", "", None, "<a href='/never ends",
+    ]
+    pages = spark.createDataFrame(list(enumerate(bodies)), "page_id int, body string")
+    found = {(r.page_id, r.ord): (r.href, r.text) for r in links.extract_links(pages, ("page_id",)).collect()}
+    rules = extract_rules(pages, [Rule("href", "a::attr(href)")], keep=("page_id",)).collect()
+    assert {k: v[0] for k, v in found.items()} == {(r.page_id, i): h for r in rules for i, h in enumerate(r.href, 1)}
+    assert found[0, 2] == ("/b c", "B bold") and found[0, 4] == ("/d", "D") and found[1, 3] == ("", "G")
+
+
+def test_links_of_a_page_that_closes_none(spark):
+    pages = spark.createDataFrame([(1, "<a href=x>t" * 50_000), (2, "<a " * 100_000)], "page_id int, body string")
+    assert links.extract_links(pages, ("page_id",)).groupBy("page_id").count().collect() == [(1, 50_000)]
