@@ -28,14 +28,20 @@ def map_compose(values: Column, *steps: Fn) -> Column:
 
 
 def last_wins_map(entries: Column) -> Column:
-    """Map from an array of (k, v) structs; of equal keys the last is kept."""
-    width = F.size(entries)
-    kept = F.filter(
-        entries,
-        lambda e, i: e["k"].isNotNull()
-        & ~F.exists(F.slice(entries, i + 2, F.greatest(width, F.lit(0))), lambda later: later["k"] == e["k"]),
+    """Map from an array of (k, v) structs; of equal keys the last is kept, in the order of those.
+
+    Entries are sorted by key and place, and each is compared with the next only. The sorted array is an
+    argument of ``zip_with``, so it is worked out once per row and not once per entry.
+    """
+    numbered = F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"), e["v"].alias("v")))
+    ordered = F.array_sort(F.filter(numbered, lambda e: e["k"].isNotNull()))
+    marked = F.zip_with(
+        ordered,
+        F.filter(ordered, lambda _, i: i > 0),
+        lambda e, after: F.struct(e["i"].alias("i"), e["k"].alias("k"), e["v"].alias("v"), (e["k"] == after["k"]).alias("again")),
     )
-    return F.map_from_entries(kept)
+    kept = F.array_sort(F.filter(marked, lambda e: ~F.coalesce(e["again"], F.lit(False))))
+    return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v"))))
 
 
 def key_containing(mapping: Column, part: str) -> Column:

@@ -97,6 +97,7 @@ def exp_backoff(attempt: Column, base: float = K.BACKOFF_BASE, cap: float = K.BA
 
 def backoff_jitter(key: Column, attempt: Column, seed: int = 0, **limits: float) -> Column:
     """A wait between 0 and the full back-off, the same for the same key, attempt and seed."""
-    steps = 1 << 30
-    draw = F.pmod(F.xxhash64(key, attempt, F.lit(seed)), F.lit(steps)) / F.lit(float(steps))
+    steps = 1 << 28
+    digest = F.md5(F.concat_ws("|", key.cast("string"), attempt.cast("string"), F.lit(str(seed))))
+    draw = F.conv(F.substr(digest, F.lit(1), F.lit(7)), 16, 10).cast("double") / F.lit(float(steps))
     return exp_backoff(attempt, **limits) * draw

@@ -14,7 +14,7 @@ from pagemart.functions import urls as U
 from pagemart.operators import joins, scans
 from pagemart.session import materialise
 
-Policy = Callable[[Column, Column, Column], Column]
+Policy = Callable[..., Column]
 
 def is_ban(status: Column, body_len: Column, exception: Column) -> Column:
     """The default rule: any exception but the ignored one, a status outside the good ones, or an
@@ -23,9 +23,12 @@ def is_ban(status: Column, body_len: Column, exception: Column) -> Column:
     return F.when(exception.isNotNull(), exception != K.IGNORED_EXCEPTION).otherwise(by_page)
 
 
-def outcomes(log: DataFrame, policy: Policy = is_ban) -> DataFrame:
-    """The log with ``ban``; rows the policy leaves unknown (NULL) change nothing and are dropped."""
-    ban = policy(F.col("status"), F.col("body_len"), F.col("exception"))
+def outcomes(log: DataFrame, policy: Policy = is_ban, *more: str) -> DataFrame:
+    """The log with ``ban``; rows the policy leaves unknown (NULL) change nothing and are dropped.
+
+    The policy gets status, body length and exception, and the columns named in ``more``, such as the body.
+    """
+    ban = policy(F.col("status"), F.col("body_len"), F.col("exception"), *map(F.col, more))
     return log.withColumn("ban", ban).where(F.col("ban").isNotNull())
 
 

@@ -36,7 +36,7 @@ def rejected(pages: DataFrame, records: DataFrame) -> DataFrame:
 
 def cleaned(records: DataFrame, cleaners: Cleaners) -> DataFrame:
     """Apply the user's per-field functions."""
-    return records.withColumns({name: clean(F.col(name)) for name, clean in cleaners.items()})
+    return records.withColumns({name: clean(F.col(name)) for name, clean in cleaners.items()}) if cleaners else records
 
 
 def route(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -83,9 +83,12 @@ CARD_RULES = [
 ]
 
 
-def wb_listing_html(pages: DataFrame, rules: list[Rule] = CARD_RULES, card: str = ".catalog-content .j-card-item") -> DataFrame:
+def wb_listing_html(
+    pages: DataFrame, rules: list[Rule] = CARD_RULES, card: str = ".catalog-content .j-card-item", processors: Cleaners | None = None
+) -> DataFrame:
     """Cards of listing pages, with their position on the page."""
     cards = html_rules.extract_rules(pages, rules, card, keep=("page_id", "page_no", "url", "fetched_at"))
+    cards = cleaned(cards, processors or {})
     link = U.absolutize_keep_query(U.strip_query(first_of("href")), F.col("url"))
     return cards.select(
         "page_id",
@@ -105,15 +108,23 @@ def wb_listing_html(pages: DataFrame, rules: list[Rule] = CARD_RULES, card: str
     )
 
 
-def wb_listing_json(pages: DataFrame) -> DataFrame:
-    """Products of JSON listing pages, with their position on the page."""
+def wb_listing_json(pages: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """Products of JSON listing pages, with their position on the page.
+
+    With the ``listing_edges`` that led to the pages, ``offset`` is the number of cards before the page.
+    """
+    known = []
+    if edges is not None:
+        offsets = edges.groupBy(F.col("to_url").alias("url")).agg(F.min("offset").alias("offset"))
+        pages, known = pages.join(offsets, "url", "left"), ["offset"]
     rows = pages.select(
-        "page_id", "page_no", "url", "fetched_at", "category_url", "category_name",
+        "page_id", "page_no", "url", "fetched_at", "category_url", "category_name", *known,
         F.posexplode(J.products(F.col("body"))).alias("_at", "p"),
     )
     return rows.select(
         "page_id",
         "page_no",
+        *known,
         (F.col("_at") + 1).alias("position"),
         F.col("p.id").alias("wb_id"),
         X.strip(F.col("p.name")).alias("product_name"),
@@ -128,10 +139,10 @@ def wb_listing_json(pages: DataFrame) -> DataFrame:
     )
 
 
-def wb_listing(html_pages: DataFrame, json_pages: DataFrame) -> DataFrame:
-    """The short feed: listing columns only, from both kinds of page."""
+def wb_listing(html_pages: DataFrame, json_pages: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """The short feed: listing columns only, from both kinds of page; ``edges`` led to the JSON pages."""
     by_html = positions.running(wb_listing_html(html_pages))
-    by_json = positions.by_offset(wb_listing_json(json_pages))
+    by_json = positions.by_offset(wb_listing_json(json_pages, edges))
     return by_html.select("page_id", "method", *LISTING_COLUMNS).unionByName(
         by_json.select("page_id", "method", *LISTING_COLUMNS)
     )
@@ -163,12 +174,16 @@ def features_of(names: str, values: str) -> Column:
 
 
 def wb_product_page(
-    pages: DataFrame, skip_images: bool = False, rules: list[Rule] = PRODUCT_RULES, keep: tuple[str, ...] = ()
+    pages: DataFrame, skip_images: bool = False, rules: list[Rule] = PRODUCT_RULES, keep: tuple[str, ...] = (),
+    processors: Cleaners | None = None,
 ) -> DataFrame:
-    """Product records of detail pages, with the page's variant and review links."""
+    """Product records of detail pages, with the page's variant and review links.
+
+    ``processors`` change the list of texts a rule found, by the rule's name, before it is typed.
+    """
     own, _ = links.resolve_canonical(pages, links.canonical_href(F.col("body")))
     wanted = rules if skip_images else [*rules, IMAGE_RULE]
-    read = html_rules.extract_rules(own, wanted, keep=("page_id", "url", "fetched_at", *keep))
+    read = cleaned(html_rules.extract_rules(own, wanted, keep=("page_id", "url", "fetched_at", *keep)), processors or {})
     read = read.withColumns(
         {
             "features": features_of("params", "param_values"),
@@ -216,7 +231,7 @@ def variant_edges(products: DataFrame) -> DataFrame:
 
     Pages that were themselves reached as a variant (``kind``) give none.
     """
-    return products.where(F.col("kind") != "variant").select(
+    return products.where(~F.col("kind").eqNullSafe("variant")).select(
         F.col("page_id").alias("from_page"), F.explode("variant_urls").alias("to_url"), F.col("wb_id").alias("parent_id")
     )
 
@@ -230,23 +245,31 @@ def with_parent(products: DataFrame, edges: DataFrame) -> DataFrame:
     return products.join(parents, "product_url", "left").withColumn("wb_parent_id", parent).drop("_parent")
 
 
+def redirected(edges: DataFrame, moved: DataFrame) -> DataFrame:
+    """Edges to the page that stands for their target: ``moved`` are canonical edges (url, to_url)."""
+    targets = moved.groupBy(F.col("url").alias("to_url")).agg(F.min("to_url").alias("_own"))
+    return edges.join(targets, "to_url", "left").withColumn("to_url", F.coalesce("_own", "to_url")).drop("_own")
+
+
 def wb_products(
     pages: DataFrame, edges: DataFrame, reviews: DataFrame,
-    skip_images: bool = False, skip_variants: bool = False,
+    skip_images: bool = False, skip_variants: bool = False, processors: Cleaners | None = None,
 ) -> DataFrame:
     """The full feed: product pages with category context, parent id and review dates.
 
     ``edges`` are listing edges (to_url, position, from_page, category_url, category_name),
-    ``reviews`` dated rows (product_url, created_at). Pages have the kind product or variant.
+    ``reviews`` dated rows (product_url, created_at). Pages have the kind product or variant. An edge to a page
+    that names another as canonical hands its context, and its parent, to that one.
     """
-    wanted = pages.where(F.col("kind") != "variant") if skip_variants else pages
-    products = wb_product_page(wanted, skip_images, keep=("kind",))
+    moved = links.resolve_canonical(pages, links.canonical_href(F.col("body")))[1].select("url", "to_url")
+    wanted = pages.where(~F.col("kind").eqNullSafe("variant")) if skip_variants else pages
+    products = wb_product_page(wanted, skip_images, keep=("kind",), processors=processors)
     if skip_variants:
         products = products.withColumn("wb_parent_id", F.lit(None).cast("bigint"))
     else:
         products = materialise(products, "products")
-        products = with_parent(products, variant_edges(products))
-    listed = edges.select(
+        products = with_parent(products, redirected(variant_edges(products), moved))
+    listed = redirected(edges, moved).select(
         F.col("to_url").alias("product_url"), "from_page", "position",
         F.col("category_url").alias("wb_category_url"), F.col("category_name").alias("wb_category_name"),
         F.col("position").alias("wb_category_position"),
@@ -305,19 +328,26 @@ def ozon_next_pages(pages: DataFrame) -> DataFrame:
 
 
 def ozon_product_page(pages: DataFrame) -> DataFrame:
-    """Records from a page's Product data block, with the rating from the markup."""
+    """Records from a page's Product data block, with the rating from the markup; same columns as a listing's."""
     rating = [Rule("rating", "div.product-rating-simple::attr(title)")]
     blocks = pages.withColumn("_ld", J.ld_product(F.col("body"))).where(F.col("_ld").isNotNull())
     read = html_rules.extract_rules(blocks, rating, keep=("page_id", "url", "fetched_at", "_ld"))
+    none = F.lit(None).cast("string")
     return read.select(
         "page_id",
         F.col("fetched_at").alias("parse_date"),
         F.lit(K.OZON).alias("marketplace"),
         X.strip(F.col("_ld.name")).alias("product_name"),
         F.col("url").alias("product_url"),
+        F.lit(None).cast("array<string>").alias("image_urls"),
         X.strip(F.col("_ld.sku")).alias("ozon_id"),
+        *[none.alias(f"ozon_{name}") for name in ("seller_id", "seller_name", "brand_id", "brand_name", "delivery_schema", "category_url", "category_name")],
+        F.lit(None).cast("int").alias("ozon_reviews_count"),
         X.clear_price(F.col("_ld.offers.Price")).alias("ozon_price"),
         X.strip(first_of("rating")).try_cast("double").alias("ozon_rating"),
+        none.alias("ozon_manufacture_country"),
+        F.lit(None).cast("timestamp").alias("ozon_first_review_date"),
+        F.lit(None).cast("timestamp").alias("ozon_last_review_date"),
     )
 
 

@@ -15,13 +15,18 @@ from pagemart.session import materialise
 
 
 def by_offset(cards: DataFrame, category: str = "wb_category_url", out: str = "wb_category_position") -> DataFrame:
-    """(page - 1) x cards on the category's first page + position on the page."""
+    """Cards before the page + position on the page.
+
+    The page's own ``offset`` counts where it is known, the one its listing edge was made with. Else it is
+    (page - 1) x the cards of the category's first page, or of its fullest page if the first was not captured.
+    """
     cards = materialise(cards, "cards")
-    first = cards.where(F.col("page_no") == 1).groupBy(category).agg(F.max("position").alias("_first"))
-    placed = joins.salted_lookup(cards, first, category, F.col("page_id"))
-    return placed.withColumns(
-        {out: ((F.col("page_no") - 1) * F.col("_first") + F.col("position")).cast("int"), "method": F.lit("offset")}
-    ).drop("_first")
+    own = F.col("offset") if "offset" in cards.columns else F.lit(None).cast("long")
+    first = F.max(F.when(F.col("page_no") == 1, F.col("position")))
+    size = cards.groupBy(category).agg(F.coalesce(first, F.max("position")).alias("_first"))
+    placed = joins.salted_lookup(cards, size, category, F.col("page_id"))
+    before = F.coalesce(own, (F.col("page_no") - 1) * F.col("_first"))
+    return placed.withColumns({out: (before + F.col("position")).cast("int"), "method": F.lit("offset")}).drop("_first", "offset")
 
 
 def running(cards: DataFrame, category: str = "wb_category_url", out: str = "wb_category_position") -> DataFrame:

@@ -133,14 +133,23 @@ def _(spark, sf):
     ).drop("page_id", "page_no", "position", "method")
 
 
+# Columns of the product schema that a product page does not fill.
+OZON_EMPTY = [
+    "image_urls", "ozon_seller_id", "ozon_seller_name", "ozon_brand_id", "ozon_brand_name", "ozon_delivery_schema", "ozon_category_url",
+    "ozon_category_name", "ozon_reviews_count", "ozon_manufacture_country", "ozon_first_review_date", "ozon_last_review_date",
+]
+
+
 @query(
     "ext6_ozon_product_page",
     f"""WITH {PROD} SELECT 'ozon' AS marketplace, p_name AS product_name, CAST(p_partkey AS VARCHAR) AS ozon_id,
       'https://www.ozon.ru/context/detail/id/' || p_partkey || '/' AS product_url, price AS ozon_price,
-      (p_partkey % 50) / 10 AS ozon_rating FROM prod WHERE p_partkey % 10 <> 9""",
+      (p_partkey % 50) / 10 AS ozon_rating, {", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in OZON_EMPTY)}
+      FROM prod WHERE p_partkey % 10 <> 9""",
 )
 def _(spark, sf):
     records = catalog.ozon_product_page(R.ld_pages(spark, sf))
+    records = records.withColumns({c: F.col(c).cast("string") for c in OZON_EMPTY})
     return records.withColumn("ozon_price", F.col("ozon_price").cast("double")).drop("page_id", "parse_date")
 
 
@@ -360,12 +369,14 @@ def _(spark, sf):
 
 @query(
     "feed_wb_products",
-    f"""WITH {PROD}, rev AS (SELECT o_custkey AS k, min(o_orderdate) AS d1, max(o_orderdate) AS d2 FROM orders GROUP BY 1)
+    f"""WITH {PROD}, rev AS (SELECT o_custkey AS k, min(o_orderdate) AS d1, max(o_orderdate) AS d2 FROM orders GROUP BY 1),
+    found AS (SELECT p_partkey - CASE WHEN p_partkey % 9 = 4 THEN 1 ELSE 0 END AS own, p_type AS kind, position AS spot, page_id AS origin FROM prod),
+    ctx AS (SELECT own, arg_min(kind, (spot, origin)) AS kind, min(spot) AS spot FROM found GROUP BY own)
     SELECT p_partkey AS wb_id, CASE WHEN p_partkey % 5 IN (1, 2) AND (p_partkey - p_partkey % 5) % 9 <> 4
-        THEN p_partkey - p_partkey % 5 END AS wb_parent_id, p_type AS wb_category_name, position AS wb_category_position,
+        THEN p_partkey - p_partkey % 5 END AS wb_parent_id, kind AS wb_category_name, spot AS wb_category_position,
       price AS wb_price, {ORDERS_SQL} AS wb_purchases_count, strftime(d1, '%Y-%m-%d') AS wb_first_review_date,
       strftime(d2, '%Y-%m-%d') AS wb_last_review_date
-    FROM prod LEFT JOIN rev ON k = p_partkey WHERE p_partkey % 9 <> 4""",
+    FROM prod JOIN ctx ON own = p_partkey LEFT JOIN rev ON k = p_partkey WHERE p_partkey % 9 <> 4""",
 )
 def _(spark, sf):
     cards = catalog.wb_listing_html(R.listing_html(spark, sf))

@@ -121,16 +121,17 @@ def listing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First listing pages: every other category fetches its listing as JSON and says its total."""
-    rows = products(spark, sf_dir)
-    totals = rows.groupBy("p_type").agg(F.count("*").alias("total"))
-    first = gather(rows.where("page_no = 1"), ["p_type", "category_url"], "p_partkey", F.lit('<div class="j-card-item"></div>'))
+    """First listing pages, one per kind and block of keys: every other kind fetches its listing as JSON and says its total."""
+    rows = products(spark, sf_dir).withColumn("category_url", fill("{}/b{}", "category_url", "page_no"))
+    whole = F.count("*") * (F.col("page_no") % 4 + 1) - F.col("page_no") % 2
+    totals = rows.groupBy("p_type", "page_no").agg(whole.alias("total"))
+    first = gather(rows, ["p_type", "page_no", "category_url"], "p_partkey", F.lit('<div class="j-card-item"></div>'))
     by_json = F.length("p_type") % 2 == 0
     head = F.when(
         by_json,
-        fill('<div id="catalog" data-xcatalog-path="c" data-xcatalog-query="kind={}" data-xcatalog-total="{}">', "p_type", "total"),
+        fill('<div id="catalog" data-xcatalog-path="c" data-xcatalog-query="kind={}-{}" data-xcatalog-total="{}">', "p_type", "page_no", "total"),
     ).otherwise(F.lit("<div>"))
-    pages = first.join(totals, "p_type")
+    pages = first.join(totals, ["p_type", "page_no"])
     return captured(
         pages, fill("{}?sort=popular", "category_url"), fill("<html><h1>{}</h1>{}{}</div></html>", "p_type", head, "pieces"),
         "category", "category_url", F.col("p_type").alias("category_name"),

@@ -232,7 +232,11 @@ def _(spark, sf):
     return table(spark, sf, "events", "event_id").select("event_id", X.exp_backoff(F.col("event_id") % 100).cast("double").alias("seconds"))
 
 
-@query("num3_backoff_jitter")
+@query(
+    "num3_backoff_jitter",
+    """SELECT event_id, least(3600.0, 300.0 * pow(2.0, event_id % 8))
+      * (CAST('0x' || substr(md5(user_id || '|' || event_id % 8 || '|7'), 1, 7) AS BIGINT) / 268435456.0) AS seconds FROM events""",
+)
 def _(spark, sf):
     wait = X.backoff_jitter(F.col("user_id"), F.col("event_id") % 8, seed=7)
     return table(spark, sf, "events", "event_id", "user_id").select("event_id", wait.alias("seconds"))

@@ -142,9 +142,10 @@ def _(spark, sf):
 @query(
     "lnk2_listing_pages_by_total",
     f"""WITH {PROD}, c AS (
-      SELECT p_type, category_url, count(*) AS total, count(*) FILTER (WHERE page_no = 1) AS cards,
-        min(p_partkey) AS from_page FROM prod WHERE length(p_type) % 2 = 0 GROUP BY ALL)
-    SELECT from_page, 'https://wbxcatalog-ru.wildberries.ru/nm-2-card/catalog?kind=' || p_type || '&page=' || page AS to_url,
+      SELECT p_type, page_no AS block, category_url || '/b' || page_no AS category_url, count(*) AS cards,
+        count(*) * (page_no % 4 + 1) - page_no % 2 AS total, min(p_partkey) AS from_page
+      FROM prod WHERE length(p_type) % 2 = 0 GROUP BY p_type, prod.page_no, prod.category_url)
+    SELECT from_page, 'https://wbxcatalog-ru.wildberries.ru/nm-2-card/catalog?kind=' || p_type || '-' || block || '&page=' || page AS to_url,
       page, (page - 1) * cards AS "offset", category_url, p_type AS category_name
     FROM (SELECT *, unnest(generate_series(1, CAST(ceil(total / cards) AS BIGINT))) AS page FROM c WHERE cards > 0)""",
 )
@@ -203,19 +204,19 @@ def _(spark, sf):
 @query(
     "lnk7_reachable_pages",
     """WITH RECURSIVE e AS (
-      SELECT DISTINCT 'r' || n_regionkey AS src, 'n' || n_nationkey AS dst FROM nation WHERE n_nationkey % 4 <> 3
+      SELECT DISTINCT 'r' || n_regionkey AS src, 'n' || n_nationkey AS dst FROM nation
       UNION SELECT 'n' || s_nationkey, 's' || s_suppkey FROM supplier
       UNION SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier WHERE s_suppkey % 3 = 0
-      UNION SELECT 's' || l_suppkey, 'p' || l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-06-01'
+      UNION SELECT 's' || l_suppkey, 'p' || l_partkey FROM lineitem
     ), reach AS (
       SELECT 'r' || r_regionkey AS node FROM region WHERE r_regionkey < 2
       UNION SELECT e.dst FROM reach JOIN e ON e.src = reach.node)
     SELECT node FROM reach""",
 )
 def _(spark, sf):
-    nation = table(spark, sf, "nation").where("n_nationkey % 4 <> 3")
+    nation = table(spark, sf, "nation")
     supplier = table(spark, sf, "supplier", "s_suppkey", "s_nationkey")
-    items = table(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_shipdate").where("l_shipdate < '1996-06-01'")
+    items = table(spark, sf, "lineitem", "l_suppkey", "l_partkey")
     edges = (
         nation.select(R.fill("r{}", "n_regionkey").alias("src"), R.fill("n{}", "n_nationkey").alias("dst"))
         .unionByName(supplier.select(R.fill("n{}", "s_nationkey").alias("src"), R.fill("s{}", "s_suppkey").alias("dst")))
@@ -287,11 +288,11 @@ def _(spark, sf):
 
 @query(
     "lnk10_route_by_kind",
-    """SELECT p_type AS category_name, CASE WHEN length(p_type) % 2 = 0 THEN 'json' ELSE 'html' END AS branch
-    FROM part WHERE p_partkey < 240 GROUP BY p_type""",
+    """SELECT min(p_partkey) AS page_id, p_type AS category_name, CASE WHEN length(p_type) % 2 = 0 THEN 'json' ELSE 'html' END AS branch
+    FROM part GROUP BY p_type, p_partkey // 240""",
 )
 def _(spark, sf):
     by_json, by_html = catalog.route(R.catalog_pages(spark, sf))
-    return by_json.select("category_name", F.lit("json").alias("branch")).unionByName(
-        by_html.select("category_name", F.lit("html").alias("branch"))
+    return by_json.select("page_id", "category_name", F.lit("json").alias("branch")).unionByName(
+        by_html.select("page_id", "category_name", F.lit("html").alias("branch"))
     )
