@@ -46,6 +46,7 @@ def route(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pages.where(by_json), pages.where(~by_json)
 
 
+# Selectors equal to the pages' markup.
 CATALOG_ATTRIBUTES = [
     Rule("path", "#catalog::attr(data-xcatalog-path)"),
     Rule("query", "#catalog::attr(data-xcatalog-query)"),
@@ -73,6 +74,7 @@ def listing_edges(pages: DataFrame) -> DataFrame:
     )
 
 
+# Selectors equal to the pages' markup.
 CARD_RULES = [
     Rule("heading", "h1::text", at="page"),
     Rule("href", "a.ref_goods_n_p::attr(href)"),
@@ -148,6 +150,7 @@ def wb_listing(html_pages: DataFrame, json_pages: DataFrame, edges: DataFrame |
     )
 
 
+# Selectors equal to the pages' markup.
 PRODUCT_RULES = [
     Rule("name", ".brand-and-name .name::text"),
     Rule("brand", ".brand-and-name .brand::text"),

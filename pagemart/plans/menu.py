@@ -12,12 +12,14 @@ from pagemart.functions import text as X
 from pagemart.operators import html_rules
 from pagemart.operators.html_rules import Rule, first_of
 
+# Selectors equal to the pages' markup.
 TOP = "#top-menu > ul > li"
 TOP_RULES = [
     Rule("top_ids", "::self(data-menu-id)", each=TOP, at="page"),
     Rule("top_names", "a::text", each=TOP, at="page"),
     Rule("top_links", "a::attr(href)", each=TOP, at="page"),
 ]
+# Selectors equal to the pages' markup.
 COLUMN_RULES = [
     Rule("menu_id", "::self(data-menu-id)", at="parent"),
     Rule("menu_class", "::self(class)", at="parent"),

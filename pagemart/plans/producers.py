@@ -13,6 +13,7 @@ from pagemart.operators import html_rules, joins, links
 from pagemart.operators.html_rules import Rule, first_of
 
 MARKETPLACE = "productcenter"
+# Selectors equal to the pages' markup.
 CARD_RULES = [
     Rule("heading", "h1::text", at="page"),
     Rule("href", "a.link:nth-of-type(1)::attr(href)"),
@@ -35,6 +36,7 @@ def producer_cards(pages: DataFrame, card: str = "#content .items .item") -> Dat
     )
 
 
+# Selectors equal to the pages' markup.
 PRODUCER_RULES = [
     Rule("name", "h1.cfix::text"),
     Rule("about", "#box_description .box_text"),

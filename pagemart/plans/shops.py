@@ -12,6 +12,7 @@ from pagemart.functions import urls as U
 from pagemart.operators import html_rules
 from pagemart.operators.html_rules import Rule, first_of
 
+# Selectors equal to the pages' markup.
 CARD_RULES = [
     Rule("heading", "h1::text", at="page"),
     Rule("id", ".product__img::attr(id)"),
@@ -37,6 +38,7 @@ def shop_listing(pages: DataFrame, card: str = ".product", rules: list[Rule] = C
 
 
 _PHOTO = ".details-carousel-item .gallery-photos-item-obj"
+# Selectors equal to the pages' markup.
 DETAIL_RULES = [
     Rule("sku", ".details-sku .details-param-value::text"),
     Rule("price", ".price-number::text"),
@@ -62,6 +64,7 @@ def shop_product(pages: DataFrame, rules: list[Rule] = DETAIL_RULES) -> DataFram
     )
 
 
+# Selectors equal to the pages' markup.
 ARTICLE_RULES = [
     Rule("block", "div.prod--art:first-of-type"),
     Rule("vendor", "span[itemprop=productID]::text"),
@@ -75,6 +78,7 @@ def shop_article(pages: DataFrame, rules: list[Rule] = ARTICLE_RULES) -> DataFra
     )
 
 
+# Selectors equal to the pages' markup.
 TREE_EDGES = {
     "menu": "a.menu-dropdown-link",
     "category": ".product-categories a",

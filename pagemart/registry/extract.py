@@ -223,8 +223,8 @@ def _(spark, sf):
     return producers.producer_cards(R.producer_category_pages(spark, sf))
 
 
-# The office point of the distance queries.
-OFFICE = (55.751999, 37.617734)
+# An office for the distance queries.
+OFFICE = (48.137154, 11.576124)
 
 
 def vincenty_sql(source: str, keys: str, rounds: int = 5) -> str:

@@ -109,16 +109,16 @@ def _(spark, sf):
 @query(
     "url8_host_port",
     f"""WITH p AS (SELECT page_id, regexp_replace({origin('url')}, '^[a-z]+://', '') AS h FROM pages)
-    SELECT page_id, CASE page_id % 6 WHEN 0 THEN h WHEN 1 THEN h WHEN 2 THEN h || ':8000' WHEN 3 THEN h || ':1234' WHEN 4 THEN NULL
-      ELSE split_part(h, '.', 1) || ':4321' END AS host_port FROM p""",
+    SELECT page_id, CASE page_id % 6 WHEN 0 THEN h WHEN 1 THEN h WHEN 2 THEN h || ':7070' WHEN 3 THEN h || ':9191' WHEN 4 THEN NULL
+      ELSE split_part(h, '.', 1) || ':6262' END AS host_port FROM p""",
 )
 def _(spark, sf):
     k, url = F.col("page_id") % 6, F.col("url")
     host = F.regexp_replace(U.origin(url), "^[a-z]+://", "")
     address = (
-        F.when(k == 0, url).when(k == 1, host).when(k == 2, F.concat(host, F.lit(":8000")))
-        .when(k == 3, R.fill("http://foo:bar@{}:1234/x", host)).when(k == 4, R.fill("http:/{}", host))
-        .otherwise(R.fill("{}:4321", F.substring_index(host, ".", 1)))
+        F.when(k == 0, url).when(k == 1, host).when(k == 2, F.concat(host, F.lit(":7070")))
+        .when(k == 3, R.fill("http://ann:pw@{}:9191/x", host)).when(k == 4, R.fill("http:/{}", host))
+        .otherwise(R.fill("{}:6262", F.substring_index(host, ".", 1)))
     )
     return urls(spark, sf).select("page_id", U.host_port(address).alias("host_port"))
 

@@ -298,3 +298,34 @@ def test_seeds_and_endpoints(spark, tmp_path):
     (tmp_path / "list.txt").write_text("# no\n\n h:1 \nhttp://h:1\nhttps://g,f\n", encoding="utf8")
     lines = readers.endpoint_file(spark, str(tmp_path / "list.txt"))
     assert sorted(r.endpoint for r in lines.collect()) == ["http://f", "http://h:1", "https://g"]
+
+
+def test_context_goes_through_redirects(spark):
+    """A page that names another as canonical hands on the context of the edges to it, and its parent."""
+    def page(key, kind, canonical=None):
+        body = PRODUCT.replace("/catalog/7/", f"/catalog/{canonical or key}/").replace(" 7 ", f" {key} ")
+        return {"url": f"https://s.example/catalog/{key}/detail.aspx", "kind": kind, "body": body}
+
+    pages = captured(spark, page(7, None), page(8, "variant", 21), page(21, "variant"), page(30, "product", 7))
+    edges = spark.createDataFrame([("https://s.example/catalog/30/detail.aspx", 1, 4, "c1", "C1")], "to_url string, from_page int, position int, category_url string, category_name string")
+    reviews = spark.createDataFrame([], "product_url string, created_at timestamp")
+    found = {r.wb_id: r for r in catalog.wb_products(pages, edges, reviews).collect()}
+    assert set(found) == {7, 21}
+    assert (found[7].wb_category_name, found[7].wb_category_position, found[7].wb_parent_id) == ("C1", 4, None)
+    assert found[21].wb_parent_id == 7
+    assert {r.wb_id for r in catalog.wb_products(pages, edges, reviews, skip_variants=True).collect()} == {7}
+
+
+def test_position_from_the_edge_or_the_fullest_page(spark):
+    rows = [("c", 2, i) for i in range(1, 4)] + [("c", 3, 1)]
+    cards = spark.createDataFrame(rows, "wb_category_url string, page_no int, position int").withColumn("page_id", F.col("page_no"))
+    found = {(r.page_no, r.position): r.wb_category_position for r in positions.by_offset(cards).collect()}
+    assert found == {(2, 1): 4, (2, 2): 5, (2, 3): 6, (3, 1): 7}
+    known = positions.by_offset(cards.withColumn("offset", F.when(F.col("page_no") == 3, 40)))
+    assert {(r.page_no, r.position): r.wb_category_position for r in known.collect()}[3, 1] == 41 and "offset" not in known.columns
+
+
+def test_processors_see_what_the_rule_found(spark):
+    pages = captured(spark, {"url": "https://s.example/catalog/7/detail.aspx", "body": PRODUCT})
+    found = catalog.wb_product_page(pages, processors={"price": lambda c: F.transform(c, lambda v: F.replace(v, F.lit("99"), F.lit("12")))}).first()
+    assert found.wb_price == Decimal("12.00") and "12" in found.wb_price_raw

@@ -170,3 +170,9 @@ def test_known_endpoint_of_an_address(spark):
     addresses = spark.createDataFrame([("http://h:80",), ("g",), ("x",), (None,)], "address string")
     found = {r.address: r.endpoint for r in health.by_host_port(addresses, endpoints, "address", F.col("address")).collect()}
     assert found == {"http://h:80": "http://b:2@h:80", "g": "g", "x": None, None: None}
+
+
+def test_policy_reads_the_body(spark):
+    log = spark.createDataFrame([(1, "u", "p", START, 200, 9, None, "fine"), (2, "u", "q", START, 200, 9, None, "a captcha")], SCHEMA + ", body string")
+    judged = health.outcomes(log, lambda s, n, e, body: health.is_ban(s, n, e) | body.contains("captcha"), "body")
+    assert {r.proxy: r.ban for r in judged.collect()} == {"p": False, "q": True}
