@@ -97,7 +97,8 @@ def dedupe_pages(
     """One page per key: the earliest fetched, then the lowest id; keys in ``seen`` are left out.
 
     Winners are found by an aggregate over three narrow columns, which combines copies before the
-    shuffle, and the pages are then filtered by id; bodies are not sorted or shuffled by key.
+    shuffle, and the pages are then filtered by id. On a table bucketed by page id (``captured_pages`` by name)
+    that moves ids only; from plain files Spark shuffles the pages once by id, or sends it the ids if they are few.
     """
     keyed = pages.withColumn("url_key", key)
     if allow_dupes:

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemart.sources.readers import spread_few_files
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -30,5 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str, *columns: str) -> DataFrame:
-    """A table whose rows become pages to parse."""
-    return spread_few_files(table(spark, sf_dir, name, key, *columns), key)
+    """A table whose rows become pages to parse; dealt over all cores if it would be read in fewer tasks.
+
+    Parsing a page costs far more than moving it, and one small file would be one task.
+    """
+    rows, cores = table(spark, sf_dir, name, key, *columns), spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,20 +11,15 @@ from pagemart.functions import text as X
 from pagemart.functions import urls as U
 
 
-def captured_pages(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """Stored pages; name the columns used so that only they are read."""
-    pages = spark.read.parquet(path)
-    return pages.select(*columns) if columns else pages
-
+def captured_pages(spark: SparkSession, source: str, *columns: str) -> DataFrame:
+    """Stored pages, from a path or from a table of the catalog; name the columns used so that only they are read.
 
-def spread_few_files(rows: DataFrame, key: str) -> DataFrame:
-    """Deal rows over all cores when they come from fewer files than there are cores.
-
-    Parsing a page costs far more than moving it, and one small file would be one task. Tables of
-    many files are left as they are.
+    A table written by ``sinks.write_pages`` keeps its buckets only when it is read by its name: joins and
+    de-duplication by page id then move no bodies.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if len(rows.inputFiles()) >= cores else rows.repartition(cores, key)
+    by_name = re.fullmatch(r"\w+(\.\w+){0,2}", source) and spark.catalog.tableExists(source)
+    pages = spark.table(source) if by_name else spark.read.parquet(source)
+    return pages.select(*columns) if columns else pages
 
 
 def fetch_log(spark: SparkSession, path: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pagemart.functions import urls as U
 from pagemart.operators import html_rules, joins, links, scans
 from pagemart.operators.html_rules import Rule
 from pagemart.registry import QUERIES
-from pagemart.sources import sinks
+from pagemart.sources import readers, sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,7 +61,7 @@ def test_dedupe_of_bucketed_pages_moves_ids_only(spark, tmp_path):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        unique = links.dedupe_pages(spark.table("bucketed_pages"), U.strip_query(F.col("url")))
+        unique = links.dedupe_pages(readers.captured_pages(spark, "bucketed_pages"), U.strip_query(F.col("url")))
         text = plan(unique)
         moved = [line for line in text.splitlines() if "Exchange hashpartitioning(page_id" in line]
         assert "Bucketed: true" in text and len(moved) == 1
