@@ -67,16 +67,20 @@ COUNTRY_SQL = "CASE WHEN p_partkey % 6 = 0 THEN 'NATION_X' ELSE 'NATION_' || (p_
 MAKER_SQL = "CASE WHEN p_partkey % 8 <> 0 THEN 'NATION_' || (p_partkey * 3 % 25) END"
 
 
-@query(
-    "ext3_wb_product_page",
-    f"""WITH {PROD} SELECT {stamp('p_partkey')} AS parse_date, 'wildberries' AS marketplace,
+# Columns of a product record that its page gives, images and links aside.
+PRODUCT_SQL = f"""{stamp('p_partkey')} AS parse_date, 'wildberries' AS marketplace,
       '{SITE}/catalog/' || p_partkey || '/detail.aspx' AS product_url, p_name AS product_name,
-      '//img.example/big/new/' || p_partkey || '-1.jpg //img.example/big/new/' || p_partkey || '-2.jpg' AS image_urls,
       p_partkey AS wb_id, reviews AS wb_reviews_count, {ORDERS_SQL} AS wb_purchases_count, price AS wb_price,
       (p_partkey % 50) / 10 AS wb_rating, brand AS wb_brand_name,
       '//img.example/' || (p_partkey % 25) || '.png' AS wb_brand_logo, '/brands/' || (p_partkey % 25) AS wb_brand_url,
       {COUNTRY_SQL} AS wb_brand_country, {MAKER_SQL} AS wb_manufacture_country,
-      CASE WHEN p_partkey % 8 = 0 THEN 1 ELSE 2 END + CASE WHEN p_partkey % 10 = 0 THEN 1 ELSE 0 END AS n_features,
+      CASE WHEN p_partkey % 8 = 0 THEN 1 ELSE 2 END + CASE WHEN p_partkey % 10 = 0 THEN 1 ELSE 0 END AS n_features"""
+
+
+@query(
+    "ext3_wb_product_page",
+    f"""WITH {PROD} SELECT {PRODUCT_SQL},
+      '//img.example/big/new/' || p_partkey || '-1.jpg //img.example/big/new/' || p_partkey || '-2.jpg' AS image_urls,
       '{SITE}/catalog/' || p_partkey || '/otzyvy?field=Date&order=Asc&link=' || p_partkey AS reviews_url
     FROM prod WHERE p_partkey % 9 <> 4""",
 )
@@ -372,9 +376,9 @@ def _(spark, sf):
     f"""WITH {PROD}, rev AS (SELECT o_custkey AS k, min(o_orderdate) AS d1, max(o_orderdate) AS d2 FROM orders GROUP BY 1),
     found AS (SELECT p_partkey - CASE WHEN p_partkey % 9 = 4 THEN 1 ELSE 0 END AS own, p_type AS kind, position AS spot, page_id AS origin FROM prod),
     ctx AS (SELECT own, arg_min(kind, (spot, origin)) AS kind, min(spot) AS spot FROM found GROUP BY own)
-    SELECT p_partkey AS wb_id, CASE WHEN p_partkey % 5 IN (1, 2) AND (p_partkey - p_partkey % 5) % 9 <> 4
-        THEN p_partkey - p_partkey % 5 END AS wb_parent_id, kind AS wb_category_name, spot AS wb_category_position,
-      price AS wb_price, {ORDERS_SQL} AS wb_purchases_count, strftime(d1, '%Y-%m-%d') AS wb_first_review_date,
+    SELECT {PRODUCT_SQL}, CASE WHEN p_partkey % 5 IN (1, 2) AND (p_partkey - p_partkey % 5) % 9 <> 4
+        THEN p_partkey - p_partkey % 5 END AS wb_parent_id, kind AS wb_category_name,
+      '{SITE}/catalog/' || lower(kind) AS wb_category_url, spot AS wb_category_position, strftime(d1, '%Y-%m-%d') AS wb_first_review_date,
       strftime(d2, '%Y-%m-%d') AS wb_last_review_date
     FROM prod JOIN ctx ON own = p_partkey LEFT JOIN rev ON k = p_partkey WHERE p_partkey % 9 <> 4""",
 )
@@ -388,11 +392,12 @@ def _(spark, sf):
         R.fill(SITE + "/catalog/{}/detail.aspx", "o_custkey").alias("product_url"), F.col("o_orderdate").alias("created_at")
     )
     feed = catalog.wb_products(R.product_pages(spark, sf), edges, dated, skip_images=True)
-    return feed.select(
-        "wb_id", "wb_parent_id", "wb_category_name", "wb_category_position", F.col("wb_price").cast("double").alias("wb_price"),
-        "wb_purchases_count", F.date_format("wb_first_review_date", "yyyy-MM-dd").alias("wb_first_review_date"),
-        F.date_format("wb_last_review_date", "yyyy-MM-dd").alias("wb_last_review_date"),
-    )
+    return feed.withColumns(
+        {
+            "parse_date": X.iso_text(F.col("parse_date")), "wb_price": F.col("wb_price").cast("double"), "n_features": F.size("features"),
+            **{c: F.date_format(c, "yyyy-MM-dd") for c in ("wb_first_review_date", "wb_last_review_date")},
+        }
+    ).drop("page_id", "kind", "features", "wb_price_raw")
 
 
 @query(
