@@ -40,7 +40,7 @@ def once(key, build: Callable):
     return store[key]
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Row ranges of the batches with about ``most`` bytes of text each, or a single longer row."""
     for batch in batches:
         lengths = batch.column(column).cast(pa.large_string()).fill_null("")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagemart.llm.base import once, query, slices, table, text_kept
 from pagemart.llm.mph import MinimalPerfectHash
-from pagemart.llm.pretokens import PieceMemory, code_points, cut_long, gathered, key_of, span_keys, starts
+from pagemart.llm.pretokens import LONG, PieceMemory, code_points, cut_long, gathered, key_of, span_keys, starts
 
 
 def merged(word: bytes, single: list[int], pairs: dict[int, int]) -> list[int]:
@@ -117,7 +117,7 @@ class Codec:
         """The ids of each text; long texts are cut where the split allows it."""
         short: list[str] = []
         for text in texts:
-            if len(text) > 1_000_000:
+            if len(text) > LONG:
                 yield from self._together(short)
                 short = []
                 yield np.concatenate([self.encode([part])[0] for part in cut_long(text)])

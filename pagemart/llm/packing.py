@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pagemart.llm.base import once, query, slices, table, text_kept
-from pagemart.llm.pretokens import PieceMemory, code_points, cut_long, gathered, span_keys, starts
+from pagemart.llm.pretokens import LONG, PieceMemory, code_points, cut_long, gathered, span_keys, starts
 from pagemart.session import materialise
 
 WINDOW = 2048
@@ -69,10 +69,10 @@ class Vocabulary:
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def encode_each(self, texts: list[str]) -> Iterator[np.ndarray]:
-        plain = [t for t in texts if len(t) <= 1_000_000 and not any(s in t for s in self.special)]
+        plain = [t for t in texts if len(t) <= LONG and not any(s in t for s in self.special)]
         done = iter(self.together(plain))
         for t in texts:
-            yield next(done) if len(t) <= 1_000_000 and not any(s in t for s in self.special) else self.encode(t)
+            yield next(done) if len(t) <= LONG and not any(s in t for s in self.special) else self.encode(t)
 
 
 def _vocabulary(path: str) -> Vocabulary:

@@ -16,6 +16,8 @@ from pagemart.llm.base import once
 from pagemart.llm.quality import STEP, STEP_INVERSE, mixed, powers
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
+#: Texts of more code points are split in parts, so that the arrays of a worker stay small.
+LONG = 500_000
 #: The code points with Unicode's White_Space property.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
@@ -76,7 +78,7 @@ def key_of(text: str) -> int:
     return int(span_keys(points, np.array([0]), np.array([len(points)]))[0])
 
 
-def cut_long(text: str, most: int = 1_000_000) -> Iterator[str]:
+def cut_long(text: str, most: int = LONG) -> Iterator[str]:
     """Parts of a long text that split as the whole does: cut where white space follows another sign."""
     begin = 0
     while len(text) - begin > most:
@@ -93,7 +95,7 @@ def cut_long(text: str, most: int = 1_000_000) -> Iterator[str]:
 class PieceMemory:
     """Ids of pre-tokens met before: a direct-mapped table of fixed size, so memory stays bounded."""
 
-    def __init__(self, slots: int = 1 << 21, ids: int = 1 << 23):
+    def __init__(self, slots: int = 1 << 19, ids: int = 1 << 21):
         self.shift, self.most = np.uint64(64 - slots.bit_length() + 1), ids
         self.keys = np.zeros(slots, np.uint64)
         self.offsets, self.lengths = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
