@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemart.session import materialise
+from pagemart.session import discard, materialise
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -29,7 +29,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = _ordered(large)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
-        edges = materialise(_ordered(small.select("e.*")), "links")
+        former, edges = edges, materialise(_ordered(small.select("e.*")), "links")
+        discard(former)
         after = _signature(edges)
         if after == before:
             break
