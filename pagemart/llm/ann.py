@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagemart.llm.base import query, table
-from pagemart.session import materialise
+from pagemart.session import discard, materialise
 
 NEIGHBOURS, REVERSE, OFFERS = 30, 20, 10
 ORDERS, BLOCK, ROUNDS = 4, 256, 8
@@ -202,7 +202,8 @@ def neighbour_graph(
     """(node, nbr, sim, fresh): the graph, once under ``settled`` of its edges are new in a round or after ``rounds``."""
     edges = materialise(first_edges(nodes, neighbours, orders, block), "edges")
     for seed in range(rounds):
-        edges = materialise(joined_round(edges, nodes, seed, neighbours, reverse, offers), "edges")
+        former, edges = edges, materialise(joined_round(edges, nodes, seed, neighbours, reverse, offers), "edges")
+        discard(former)
         count, new = edges.agg(F.count(F.lit(1)), F.sum(F.col("fresh").cast("long"))).first()
         if (new or 0) <= settled * count:
             break
@@ -253,7 +254,8 @@ def searched(
         rows = rows.unionByName(ahead.select(*row(nothing, F.lit(False), F.col("unit"))))
         # A query's own vector comes first, then its beam.
         spread = rows.repartition("query").sortWithinPartitions("query", "cand")
-        state = materialise(spread.mapInArrow(run, "query long, cand long, sim float, seen boolean, open boolean"), "beam")
+        former, state = state, materialise(spread.mapInArrow(run, "query long, cand long, sim float, seen boolean, open boolean"), "beam")
+        discard(former)
         if state.where("open").isEmpty():
             break
     return state.select("query", "cand", "sim")
