@@ -4,7 +4,8 @@ Equal vectors are one node. The first neighbours of a node come from blocks of a
 signs of random projections. Each round then joins the graph with itself: at every node its neighbours and
 a sample of the nodes it neighbours are compared with each other, if one of the two is new, and each keeps
 the best it meets. A query starts at its own node and expands the best unvisited nodes of its beam until
-none is left. Vectors travel with one byte a number; the last scores are exact, in double.
+none is left. Vectors travel as floats of length one and are compared in double, so that near copies keep
+their order; the whole beam is then scored on the given vectors.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from pagemart.session import discard, materialise
 NEIGHBOURS, REVERSE, OFFERS = 30, 20, 10
 ORDERS, BLOCK, ROUNDS = 4, 256, 8
 BEAM, EXPAND, HOPS = 240, 40, 16
-EDGE = pa.schema([("node", pa.int64()), ("nbr", pa.int64()), ("sim", pa.float32()), ("fresh", pa.bool_())])
-EDGE_DDL = "node long, nbr long, sim float, fresh boolean"
+EDGE = pa.schema([("node", pa.int64()), ("nbr", pa.int64()), ("sim", pa.float64()), ("fresh", pa.bool_())])
+EDGE_DDL = "node long, nbr long, sim double, fresh boolean"
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,14 +49,14 @@ def rows_of(column: pa.Array) -> np.ndarray:
 
 
 def stored(vectors: np.ndarray) -> list[bytes]:
-    """One signed byte a number: enough to find the way, not for scores."""
-    small = np.rint(127 * vectors / np.abs(vectors).max(axis=1, keepdims=True)).astype(np.int8)
-    return [row.tobytes() for row in small]
+    """Vectors of length one, as floats."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return [row.tobytes() for row in (scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))).astype(np.float32)]
 
 
 def units_of(values: list[bytes]) -> np.ndarray:
-    """Stored vectors as rows of length one."""
-    rows = np.frombuffer(b"".join(values), np.int8).reshape(len(values), -1).astype(np.float32)
+    """Stored vectors as rows of length one, in double: cosines of near copies differ by less than a float holds."""
+    rows = np.frombuffer(b"".join(values), np.float32).reshape(len(values), -1).astype(np.float64)
     return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
 
@@ -108,7 +109,7 @@ def best_edges(edges: DataFrame, most: int) -> DataFrame:
 
 
 def edge_batch(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(node, pa.int64()), pa.array(nbr, pa.int64()), pa.array(sim, pa.float32()), pa.array(np.ones(len(node), bool))]
+    columns = [pa.array(node, pa.int64()), pa.array(nbr, pa.int64()), pa.array(sim, pa.float64()), pa.array(np.ones(len(node), bool))]
     return pa.RecordBatch.from_arrays(columns, schema=EDGE)
 
 
@@ -120,7 +121,7 @@ def first_edges(nodes: DataFrame, neighbours: int, orders: int, block: int) -> D
             for batch in batches:
                 if batch.num_rows:
                     units = units_of(batch.column(1).to_pylist())
-                    marks = units @ np.random.default_rng(seed).normal(size=(units.shape[1], 21)).astype(np.float32)
+                    marks = units @ np.random.default_rng(seed).normal(size=(units.shape[1], 21))
                     code = (marks[:, :20] > 0) @ (1 << np.arange(19, -1, -1))
                     yield pa.RecordBatch.from_arrays(
                         [*batch.columns, pa.array(code.astype(np.int64)), pa.array(marks[:, 20])], names=["node", "unit", "code", "along"]
@@ -150,7 +151,7 @@ def first_edges(nodes: DataFrame, neighbours: int, orders: int, block: int) -> D
 
     edges = None
     for seed in range(orders):
-        rows = nodes.select("node", "unit").mapInArrow(coded(seed), "node long, unit binary, code long, along float")
+        rows = nodes.select("node", "unit").mapInArrow(coded(seed), "node long, unit binary, code long, along double")
         keys = ["code", "along", "node"]
         own = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("node", "unit").mapInArrow(compare, EDGE_DDL)
         edges = own if edges is None else edges.unionByName(own)
@@ -164,7 +165,7 @@ def joined_round(edges: DataFrame, nodes: DataFrame, seed: int, neighbours: int,
     drawn = Window.partitionBy("center").orderBy(F.xxhash64("member", F.lit(seed)), "member")
     behind = edges.select(F.col("nbr").alias("center"), F.col("node").alias("member"), "fresh")
     behind = behind.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= reverse).drop("n")
-    worst = edges.groupBy("node").agg(F.when(F.count(F.lit(1)) >= neighbours, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
+    worst = edges.groupBy("node").agg(F.when(F.count(F.lit(1)) >= neighbours, F.min("sim")).otherwise(F.lit(-2.0)).cast("double").alias("worst"))
     vectors = nodes.select("node", "unit").join(worst, "node").withColumnRenamed("node", "member")
     meeting = around.unionByName(behind).join(vectors, "member").select("center", "member", "fresh", "worst", "unit")
 
@@ -224,14 +225,14 @@ def searched(
     ways = materialise(ways.withColumnRenamed("node", "cand"), "ways")
     vectors = nodes.select(F.col("node").alias("cand"), "unit")
     row = lambda sim, seen, unit: ["query", "cand", sim.alias("sim"), seen.alias("seen"), unit.alias("unit")]
-    none, nothing = F.lit(None).cast("binary"), F.lit(None).cast("float")
+    none, nothing = F.lit(None).cast("binary"), F.lit(None).cast("double")
     own = starts.select("query", F.lit(-1).cast("long").alias("cand"), nothing.alias("sim"), F.lit(True).alias("seen"), "unit")
-    state = starts.select("query", "cand", F.lit(1.0).cast("float").alias("sim"), F.lit(False).alias("seen"), F.lit(True).alias("open"))
+    state = starts.select("query", "cand", F.lit(1.0).alias("sim"), F.lit(False).alias("seen"), F.lit(True).alias("open"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_groups(batches):
             q, cand, sim, seen = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-            sim, seen = sim.astype(np.float32).copy(), seen.astype(bool)
+            sim, seen = sim.astype(np.float64), seen.astype(bool)
             new = np.flatnonzero(batch.column(4).is_valid().to_numpy(zero_copy_only=False))
             units = units_of(batch.column(4).take(pa.array(new)).to_pylist())
             mine = cand[new] < 0  # the queries' own vectors: one for each query
@@ -254,7 +255,7 @@ def searched(
         rows = rows.unionByName(ahead.select(*row(nothing, F.lit(False), F.col("unit"))))
         # A query's own vector comes first, then its beam.
         spread = rows.repartition("query").sortWithinPartitions("query", "cand")
-        former, state = state, materialise(spread.mapInArrow(run, "query long, cand long, sim float, seen boolean, open boolean"), "beam")
+        former, state = state, materialise(spread.mapInArrow(run, "query long, cand long, sim double, seen boolean, open boolean"), "beam")
         discard(former)
         if state.where("open").isEmpty():
             break
@@ -282,9 +283,7 @@ def nearest(
     asked = materialise(asked.withColumn("query", F.monotonically_increasing_id()), "queries")
     beam = searched(neighbour_graph(nodes, **options), nodes, asked.select("query", "unit", "cand"))
 
-    close = Window.partitionBy("query").orderBy(F.desc("sim"), "cand")
-    few = beam.withColumn("n", F.row_number().over(close)).where(F.col("n") <= 3 * k + 1).drop("n", "sim")
-    pairs = few.join(nodes.select(F.col("node").alias("cand"), F.col("vec").alias("other"), "members"), "cand")
+    pairs = beam.select("query", "cand").join(nodes.select(F.col("node").alias("cand"), F.col("vec").alias("other"), "members"), "cand")
     pairs = pairs.join(asked.select("query", F.col("id").alias("query_id"), "vec"), "query").select("query", "query_id", "members", "vec", "other")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -78,3 +78,19 @@ def test_recall_where_blocks_do_not_hold_all(spark):
         sims[q] = -2
         hits += len({j for j, _ in found[q]} & set(np.argsort(-sims)[:5].tolist()))
     assert hits >= 0.9 * 5 * 60
+
+
+@pytest.mark.parametrize("noise", [0.01, 0.001])
+def test_recall_among_near_copies_of_one_vector(spark, noise):
+    rng = np.random.default_rng(2)
+    matrix = (rng.normal(size=64) + noise * rng.normal(size=(3000, 64))).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist(), 1, 2, "u") for i, v in enumerate(matrix)], SCHEMA)
+    found = as_dict(ann.nearest(table, F.col("vec_id") % 50 == 0).collect())
+    matrix = matrix.astype(np.float64)
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 3000, 50):
+        sims = matrix @ matrix[q]
+        sims[q] = -2
+        hits += len({j for j, _ in found[q]} & set(np.argsort(-sims)[:5].tolist()))
+    assert hits >= 0.9 * 5 * 60
