@@ -26,7 +26,7 @@ MIN_DOCS, SCALE, SMOOTH, TOP_TERMS = 30, 1_000_000_000, 5, 50
 #: Bytes of a text split at once, and counts a task holds before it hands them on.
 PART, HELD = 1 << 20, 400_000
 #: Numbers in one block of sources by terms.
-BLOCK = 1 << 21
+BLOCK = 1 << 17
 
 
 def parts(text: bytes, most: int = PART) -> Iterator[bytes]:
@@ -163,9 +163,9 @@ def source_divergence(
     above = above.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
     above = above.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top_terms)
 
-    # Blocks of terms: sources times terms, and the pairs handed on, are both bounded by ``block``.
+    # Blocks of terms: sources times terms are bounded by ``block``, but a block has no fewer terms than sources.
     sizes = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"), F.first("terms").alias("terms"))
-    sizes = sizes.select("lang", F.ceil(F.col("sources") * F.col("terms") / block).alias("blocks"))
+    sizes = sizes.select("lang", F.ceil(F.col("sources") * F.col("terms") / F.greatest(F.lit(block), F.col("sources") * F.col("sources"))).alias("blocks"))
     dealt = shares.join(sizes, "lang").select("lang", F.pmod(F.xxhash64("term"), "blocks").alias("block"), "source", "term", "p")
     every = groups.join(sizes.where("blocks > 0"), "lang").select(
         "lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "source", "floor"
