@@ -8,7 +8,7 @@ from pyspark import cloudpickle
 # Executors get these functions with the job; they need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-for _name in ("quality", "bpe", "packing", "simhash", "linededup", "langid", "tokencount", "chat", "html_text", "ann", "divergence", "archives"):
+for _name in ("quality", "bpe", "packing", "simhash", "linededup", "langid", "tokencount", "chat", "html_text", "ann", "divergence", "archives", "spelling"):
     importlib.import_module(f"{__name__}.{_name}")
 
 from pagemart.llm.base import ORACLES, QUERIES  # noqa: E402
