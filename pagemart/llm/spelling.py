@@ -157,23 +157,35 @@ class Cuts:
             stack.append((right, rows[keep], to_right[keep], downs[keep]))
 
 
-def one_edit(asked: np.ndarray, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The (asked, stored) pairs that are one replaced letter apart, or one that only ``asked`` has, by the order of the letters."""
+def signatures(some: np.ndarray) -> np.ndarray:
+    """64 bits a point: whether each letter occurs, and whether twice. One step changes one bit at most."""
+    bits = np.concatenate([some > 0, some > 1], axis=1)
+    return np.packbits(bits, axis=1).view(np.uint64)[:, 0]
+
+
+def in_reach(asked: np.ndarray, stored: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The (asked, stored) places whose signatures are at most ``most`` bits apart, in parts of bounded size."""
+    step = max(1, (1 << 19) // max(1, len(stored)))
+    for at in range(0, len(asked), step):
+        a, b = np.nonzero(np.bitwise_count(asked[at : at + step, None] ^ stored[None]) <= most)
+        yield a + at, b
+
+
+def one_edit(asked: np.ndarray, stored: np.ndarray) -> np.ndarray:
+    """Whether rows are one replaced letter apart, or one letter that only ``asked`` has, by the order of the letters."""
     length = stored.shape[1]
-    found = []
-    step = max(1, 1 << 21 // max(1, len(stored) * length))
+    near = np.zeros(len(asked), bool)
+    step = max(1, (1 << 21) // max(1, length))
     for at in range(0, len(asked), step):
-        some = asked[at : at + step, None, :]
+        some, own = asked[at : at + step], stored[at : at + step]
         if asked.shape[1] == length:
-            near = (some != stored[None]).sum(axis=2) == 1
+            near[at : at + step] = (some != own).sum(axis=1) == 1
         else:
-            front, back = some[:, :, :-1] != stored[None], some[:, :, 1:] != stored[None]
-            front = np.where(front.any(axis=2), front.argmax(axis=2), length)
-            back = np.where(back.any(axis=2), back[:, :, ::-1].argmax(axis=2), length)
-            near = front + back >= length
-        a, b = np.nonzero(near)
-        found.append((a + at, b))
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+            front, back = some[:, :-1] != own, (some[:, 1:] != own)[:, ::-1]
+            front = np.where(front.any(axis=1), front.argmax(axis=1), length)
+            back = np.where(back.any(axis=1), back.argmax(axis=1), length)
+            near[at : at + step] = front + back >= length
+    return near
 
 
 def cell_links(rows: pa.Table) -> pa.Table:
@@ -188,19 +200,23 @@ def cell_links(rows: pa.Table) -> pa.Table:
         length = int(sizes[held[0]])
         letters = lambda at, size: np.frombuffer(b"".join(words[i] for i in at), np.uint8).reshape(-1, size)
         stored = letters(held, length)
-        cuts = Cuts(points([words[i] for i in held]), LEAF)
+        at_stored = points([words[i] for i in held])
+        cuts, signs = Cuts(at_stored, LEAF), signatures(at_stored)
         for kind, up in ((EQUAL, 1), (LONGER, 0)):
             at = np.flatnonzero(~is_stored & (role == kind))
             if not len(at):
                 continue
-            asked = letters(at, length + kind)
-            for leaf, some in cuts.reached(points([words[i] for i in at]), up, 1):
+            asked, at_asked = letters(at, length + kind), points([words[i] for i in at])
+            own_signs = signatures(at_asked)
+            for leaf, some in cuts.reached(at_asked, up, 1):
                 own = cuts.members[leaf]
-                a, b = one_edit(asked[some], stored[own])
-                a, b = at[some[a]], held[own[b]]
-                pairs.append((a, b))
-                if kind == LONGER:  # words of equal length ask for each other, these do not
-                    pairs.append((b, a))
+                for a, b in in_reach(own_signs[some], signs[own], 1 + up):
+                    a, b = some[a], own[b]
+                    near = one_edit(asked[a], stored[b])
+                    a, b = at[a[near]], held[b[near]]
+                    pairs.append((a, b))
+                    if kind == LONGER:  # words of equal length ask for each other, these do not
+                        pairs.append((b, a))
     a = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, np.int64)
     b = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, np.int64)
     by_word = np.argsort(np.argsort(np.array(words, object), kind="stable"))
