@@ -5,32 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
+#: Pieces that one partition's share of the rows is cut into; many small pieces even out where they land.
+PIECES = 16
+
+
+def salts_of(counts: DataFrame, key: str, parts: int, pieces: int = PIECES) -> DataFrame:
+    """(key, salts) of the keys that hold over a quarter of one partition's share of all rows.
+
+    The salts grow with the key's count, so each piece of it is about share / ``pieces`` rows. There are fewer than
+    4 * ``parts`` such keys and about ``pieces`` * ``parts`` salts of them all, whatever the rows. ``counts`` has (key, count).
+    """
+    share = counts.agg(F.sum("count")).scalar() / parts
+    hot = (F.col("count") * 4 > share) & F.col(key).isNotNull()
+    return counts.where(hot).select(key, F.ceil(F.col("count") * pieces / share).cast("int").alias("salts"))
 
 
 def salted_lookup(
     rows: DataFrame, lookup: DataFrame, key: str, spread: Column, how: str = "left",
-    parts: int | None = None, salts: int = SALTS, counts: DataFrame | None = None,
+    parts: int | None = None, salts: int = PIECES, counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join rows to a lookup with one row per key, when a key may hold a large part of the rows.
 
-    Keys with more than one partition's share of the rows are found by an aggregate that combines before
-    it shuffles, or given as ``counts`` (key, count) if the caller has them. There are fewer of them than
-    ``parts``, by default the shuffle partitions. Their lookup row is copied once per salt and their
-    rows are dealt over the salts, as are rows without a key; other keys are joined as they are.
+    Keys with a large part of one partition's share of the rows are found by an aggregate that combines before
+    it shuffles, or given as ``counts`` (key, count) if the caller has them. Their rows are dealt over salts
+    in proportion to their number (``salts_of``; ``salts`` is the pieces of a share) and their lookup row is copied
+    once per salt. Rows without a key are dealt out, too; other keys are joined as they are. ``parts`` is the
+    number of partitions reckoned with, by default those of shuffles.
     """
     parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = rows.groupBy(key).count() if counts is None else counts
-    share = counts.agg(F.sum("count")).scalar() / parts
-    hot = counts.where((F.col("count") > share) & F.col(key).isNotNull()).select(key, F.lit(True).alias("_hot"))
-    is_hot = F.coalesce("_hot", F.lit(False))
-    dealt = rows.join(hot, key, "left").withColumn(
-        "_salt", F.when(is_hot | F.col(key).isNull(), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int")
-    )
-    copied = lookup.join(hot, key, "left").withColumn(
-        "_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
-    )
-    return dealt.drop("_hot").join(copied.drop("_hot"), [key, "_salt"], how).drop("_salt")
+    hot = salts_of(counts, key, parts, salts).withColumnRenamed("salts", "_salts")
+    dealt = rows.join(hot, key, "left").withColumn("_salts", F.when(F.col(key).isNull(), parts * salts).otherwise(F.col("_salts")))
+    dealt = dealt.withColumn("_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(spread), "_salts")).otherwise(0).cast("int"))
+    copies = F.when(F.col("_salts").isNotNull(), F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(F.array(F.lit(0)))
+    copied = lookup.join(hot, key, "left").withColumn("_salt", F.explode(copies))
+    return dealt.drop("_salts").join(copied.drop("_salts"), [key, "_salt"], how).drop("_salt")
 
 
 def first_edges(edges: DataFrame, key: str, *context: str) -> DataFrame:

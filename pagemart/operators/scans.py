@@ -38,22 +38,25 @@ def _plain_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return (df.withColumns(added) if added else df), list(added)
 
 
-def chunked(df: DataFrame, keys: list[str], order: str, tie: str, parts: int | None = None) -> DataFrame:
+def chunked(df: DataFrame, keys: list[str], order: str, tie: str, parts: int | None = None, place: str | None = None) -> DataFrame:
     """The rows, written, with ``_chunk``: a number that never falls along (order, tie) within a key.
 
-    NULL orders come last, NULL ties first. ``parts`` is the number of ranges, by default that of shuffles.
+    NULL orders come last, NULL ties first. ``parts`` is the number of ranges, by default that of shuffles. With ``place``
+    the ranges are sorted, and that column numbers the rows: those of a key follow each other without a gap.
     """
     ranges = [*keys, F.col(order).asc_nulls_last(), F.col(tie).asc_nulls_first()]
     dealt = df.repartitionByRange(parts, *ranges) if parts else df.repartitionByRange(*ranges)
+    if place:
+        dealt = dealt.sortWithinPartitions(*ranges).withColumn(place, F.monotonically_increasing_id())
     return materialise(dealt.withColumn(CHUNK, F.spark_partition_id()), "scan")
 
 
 class _Layout:
     """The written rows, and windows inside and across the chunks of a key."""
 
-    def __init__(self, df: DataFrame, keys: list[str], order: str, tie: str, parts: int | None):
+    def __init__(self, df: DataFrame, keys: list[str], order: str, tie: str, parts: int | None, place: str | None = None):
         plain_df, self.plain = _plain_keys(df, keys)
-        self.rows = chunked(plain_df, self.plain, order, tie, parts)
+        self.rows = chunked(plain_df, self.plain, order, tie, parts, place)
         # A hash in front makes the sort compare numbers first, not long common prefixes.
         self.group = ["_h", *self.plain, CHUNK]
         self.rows = self.rows.withColumn("_h", F.xxhash64(*self.plain, CHUNK))
@@ -115,22 +118,21 @@ def row_number(df: DataFrame, keys: list[str], order: str, tie: str, out: str, p
 def streak(df: DataFrame, keys: list[str], order: str, tie: str, hit: Column, out: str, parts: int | None = None) -> DataFrame:
     """Hits since the last row that was not a hit, the own row included.
 
-    The running count of hits at the latest row that is none never falls, so it is a running
-    maximum; the count less that maximum is the streak. The same holds from chunk to chunk.
+    The written ranges are sorted and numbered, so the rows of a key in a chunk are a run of numbers, and a streak
+    is the distance to the last row that was not a hit, or to the run's start. A chunk's value is (its rows, the hits at
+    its end, whether all are hits): plain aggregates, which combine from chunk to chunk; no window is needed for them.
     """
-    layout = _Layout(df.withColumn("_hit", hit), keys, order, tie, parts)
-
-    def local(rows: DataFrame) -> DataFrame:
-        counted = rows.withColumn("_hits", F.sum(F.col("_hit").cast("long")).over(layout.within))
-        return counted.withColumn("_base", F.max(F.when(~F.col("_hit"), F.col("_hits"))).over(layout.within))
-
-    ends = local(layout.rows.select(*layout.group, order, tie, "_hit")).groupBy(*layout.group).agg(
-        F.max("_hits").alias("_all"), F.max("_base").alias("_upto")
+    layout = _Layout(df.withColumn("_hit", hit), keys, order, tie, parts, "_at")
+    miss = F.when(~F.col("_hit"), F.col("_at"))
+    ends = layout.rows.groupBy(*layout.group).agg(
+        F.count(F.lit(1)).alias("_all"), F.min("_at").alias("_from"), F.max("_at").alias("_to"), F.max(miss).alias("_miss")
     )
+    # Rows counted over the chunks of a key; the last miss on that count is where the streak starts.
     summed = ends.withColumn("_sum", F.sum("_all").over(layout.upto_here)).withColumn(
-        "_reset", F.col("_sum") - F.col("_all") + F.col("_upto")
+        "_reset", F.col("_sum") - (F.col("_to") - F.col("_miss"))
     )
     carried = F.max("_sum").over(layout.earlier) - F.coalesce(F.max("_reset").over(layout.earlier), F.lit(0))
     before = layout.carried(summed, carried.alias("_carried"))
-    since = F.col("_hits") - F.coalesce(F.col("_base"), -F.col("_carried"), F.lit(0))
-    return local(layout.rows).join(before, layout.group, "left").select(*df.columns, since.alias(out))
+    local = layout.rows.withColumns({"_base": F.max(miss).over(layout.within), "_from": F.min("_at").over(layout.within)})
+    since = F.col("_at") - F.coalesce(F.col("_base"), F.col("_from") - 1 - F.coalesce("_carried", F.lit(0)))
+    return local.join(before, layout.group, "left").select(*df.columns, since.alias(out))

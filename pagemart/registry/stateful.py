@@ -80,8 +80,7 @@ def _(spark, sf):
     copies = pages.select(
         F.explode(F.array("url", F.concat("url", F.lit("?copy=1")))).alias("url"), "fetched_at"
     )
-    unique = jobs.dedupe_stream(copies, U.strip_query(F.col("url")), "fetched_at", "7 days")
-    return jobs.run_to_table(unique.select("url_key"), *_paths(spark, "unique")).select("url_key")
+    return jobs.unique_pages(copies, U.strip_query(F.col("url")), *_paths(spark, "unique"))
 
 
 @query(

@@ -65,6 +65,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this process under the shared folder."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write the rows now to the shared folder and return a reader of them.
 
@@ -85,16 +91,14 @@ def discard(*frames: DataFrame) -> None:
     for rows in frames:
         path = getattr(rows, "_scratch", None)
         if path in _WRITTEN:
-            files, where = _file_system(rows.sparkSession, path)
-            files.delete(where, True)
+            delete_path(rows.sparkSession, path)
             _WRITTEN.remove(path)
 
 
 def clear_scratch(spark: SparkSession) -> int:
     """Delete all that ``materialise`` wrote in this process; call it once the results are stored."""
     for path in _WRITTEN:
-        files, where = _file_system(spark, path)
-        files.delete(where, True)
+        delete_path(spark, path)
     count = len(_WRITTEN)
     _WRITTEN.clear()
     return count

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
@@ -27,6 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 NEVER = (-(2**63), -(2**63))
 
 
@@ -41,18 +43,38 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pattern)
 
 
-def run_to_table(stream: DataFrame, table: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is new and return all rows of its table, with their ``batch_id``."""
+@contextmanager
+def large_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB: on disk, by key, with only changes sent to the checkpoint."""
+    settings = {_PROVIDER: _ROCKSDB, _CHANGELOG: "true"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def run_to_table(
+    stream: DataFrame, table: str, checkpoint: str, mode: str = "append", per_batch: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
+    """Run a stream over all that is new and return all rows of its table, with their ``batch_id``.
+
+    ``per_batch`` is applied to the rows of each micro-batch before they are written.
+    """
     spark = stream.sparkSession
+    schema = per_batch(spark.createDataFrame([], stream.schema)).schema
 
     def store(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        per_batch(rows).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
 
     query = (
         stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(store)
     ).start()
     query.awaitTermination()
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     if not exists(spark, table):
         return spark.createDataFrame([], f"{fields}, batch_id bigint")
     return spark.read.schema(f"{fields}, batch_id bigint").parquet(table)
@@ -154,33 +176,28 @@ def final_health(
 
     With ``reset_when_none_left``, dead endpoints are unchecked if no other is left.
     """
-    spark = log.sparkSession
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
+    with large_state(log.sparkSession):
         changes = run_to_table(endpoint_health(log, **options), table, checkpoint, "update")
-    finally:
-        spark.conf.set(_PROVIDER, before)
     state = F.struct("state", "failed_attempts", "next_check")
     last = changes.groupBy("proxy").agg(F.max_by(state, F.struct("changed_at", "batch_id")).alias("s")).select("proxy", "s.*")
     return health.reset_when_none_left(last) if reset_when_none_left else last
 
 
-def ban_counters(log: DataFrame, policy: health.Policy = health.is_ban, delay: str = "10 minutes") -> DataFrame:
-    """Bans per status in windows of the reporting interval."""
-    judged = health.outcomes(log, policy).withWatermark("ts", delay)
-    return (
-        judged.where(F.col("ban") & F.col("status").isNotNull())
-        .groupBy(F.window("ts", K.STATS_INTERVAL), "status")
-        .agg(F.count("*").alias("bans"))
-        .select(F.col("window.start").alias("window_start"), "status", "bans")
-    )
+def ban_counters(bans: DataFrame) -> DataFrame:
+    """Bans per status in windows of the reporting interval, from (ts, status); a batch, or one micro-batch."""
+    counted = bans.groupBy(F.window("ts", K.STATS_INTERVAL), "status").agg(F.count(F.lit(1)).alias("bans"))
+    return counted.select(F.col("window.start").alias("window_start"), "status", "bans")
+
 
+def final_counters(log: DataFrame, table: str, checkpoint: str, policy: health.Policy = health.is_ban) -> DataFrame:
+    """Run the counters over all that is new; bans per window and status over all that was ever read.
 
-def final_counters(log: DataFrame, table: str, checkpoint: str, **options: Any) -> DataFrame:
-    """Run the counters over all that is new. A count only grows, so the largest is the last."""
-    changes = run_to_table(ban_counters(log, **options), table, checkpoint, "update")
-    return changes.groupBy("window_start", "status").agg(F.max("bans").alias("bans"))
+    Each micro-batch stores the counts of its own rows, and reading adds them up. No state is held between
+    batches and no watermark passes, so a row counts however late, and in whatever order of files, it comes in.
+    """
+    bans = health.outcomes(log, policy).where(F.col("ban") & F.col("status").isNotNull()).select("ts", "status")
+    counts = run_to_table(bans, table, checkpoint, per_batch=ban_counters)
+    return counts.groupBy("window_start", "status").agg(F.sum("bans").alias("bans"))
 
 
 def incremental_items(pages: DataFrame, job: Callable[[DataFrame], DataFrame], table: str, checkpoint: str) -> DataFrame:
@@ -188,6 +205,20 @@ def incremental_items(pages: DataFrame, job: Callable[[DataFrame], DataFrame], t
     return run_to_table(job(pages), table, checkpoint).drop("batch_id")
 
 
-def dedupe_stream(pages: DataFrame, key: Column, moment: str, delay: str) -> DataFrame:
-    """Streamed pages, each key once among pages less than ``delay`` apart."""
-    return pages.withColumn("url_key", key).withWatermark(moment, delay).dropDuplicatesWithinWatermark(["url_key"])
+def dedupe_stream(pages: DataFrame, key: Column, moment: str | None = None, delay: str | None = None) -> DataFrame:
+    """Streamed pages, each key once; with a ``delay``, once among pages less than that apart by ``moment``.
+
+    Without a delay the key is kept for good, so run it with ``large_state``, as ``unique_pages`` does.
+    """
+    keyed = pages.withColumn("url_key", key)
+    return keyed.dropDuplicates(["url_key"]) if delay is None else keyed.withWatermark(moment, delay).dropDuplicatesWithinWatermark(["url_key"])
+
+
+def unique_pages(pages: DataFrame, key: Column, table: str, checkpoint: str, *columns: str) -> DataFrame:
+    """Run the dedupe over all that is new: each key once over all runs with this checkpoint, in whatever order pages come.
+
+    The keys seen are the stream's state, one row a key, split by the key's hash; a batch reads and writes the state of
+    its own keys only. ``columns`` are those to keep beside ``url_key``; the page of a key that came first is taken.
+    """
+    with large_state(pages.sparkSession):
+        return run_to_table(dedupe_stream(pages, key).select("url_key", *columns), table, checkpoint).drop("batch_id")

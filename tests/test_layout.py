@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pagemart import session
 from pagemart.functions import urls as U
-from pagemart.operators import html_rules, joins, links, scans
+from pagemart.operators import frontier, html_rules, joins, links, scans
 from pagemart.operators.html_rules import Rule
 from pagemart.registry import QUERIES
 from pagemart.sources import readers, sinks
@@ -105,6 +105,54 @@ def test_hot_keys_are_dealt_over_salts(spark):
     assert found.where("v != k * 2 OR v IS NULL").count() == 0 and found.count() == 1000
 
 
+def test_half_of_the_rows_on_one_key_are_spread_evenly(spark):
+    rows = spark.range(400_000).select("id", F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"))
+    lookup = spark.range(-1, 400_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(before, ("false", "-1", "20"), strict=True):
+            spark.conf.set(k, v)
+        found = joins.salted_lookup(rows, lookup, "k", F.col("id")).where("v = k * 2")
+        tasks = sorted(r["count"] for r in found.groupBy(F.spark_partition_id().alias("t")).count().collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(tasks) == 400_000 and len(tasks) == 20 and tasks[-1] <= 2 * tasks[10]
+
+
+def test_salts_are_bounded(spark):
+    counts = spark.createDataFrame([(k, 1 + 5_000_000 * (k == 0) + 40_000 * (0 < k < 200)) for k in range(5000)], "k int, count long")
+    salts = [r.salts for r in joins.salts_of(counts, "k", 100).collect()]
+    assert len(salts) < 400 and sum(salts) <= 16 * 100 + len(salts) and max(salts) > 500
+
+
+def test_a_round_shuffles_only_its_frontier(spark):
+    """Links and found nodes are read by their buckets; what is shuffled are the new nodes alone."""
+    edges = spark.range(4000).select((F.col("id") % 50).alias("src"), F.when(F.col("id") % 3 == 0, F.col("id") % 97).otherwise(F.col("id")).alias("dst"))
+    hot = spark.range(4000).select(F.lit(7).cast("long").alias("src"), (F.col("id") + 10_000).alias("dst"))
+    seeds = spark.createDataFrame([(3,), (7,), (None,)], "node long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    graph = frontier.Adjacency(seeds, edges.unionByName(hot))
+    try:
+        assert {r.src for r in graph.salts.collect()} >= {7}
+        assert graph.store(1)
+        text = plan(graph.reached(2))
+        moved = text.count("Exchange hashpartitioning")
+        # The frontier, on its way to the salts and to the links, the salts, and the nodes it leads to.
+        assert "Bucketed: true" in text and moved <= 4, text
+        for line in text.split("Exchange hashpartitioning")[1:]:
+            assert "dst" not in line.split("(")[1].split(",")[0]
+        assert text.count("SelectedBucketsCount") == 2 or text.count("Bucketed: true") >= 2, text
+        columns = {r.node for r in graph.reached(2).collect()}
+    finally:
+        graph.close()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    pairs = {(r.src, r.dst) for r in edges.unionByName(hot).collect()}
+    one = {d for s, d in pairs if s in (3, 7)} - {3, 7}
+    assert columns == {d for s, d in pairs if s in one} - one - {3, 7}
+
+
 AWAY = """
 import sys
 sys.path.insert(0, sys.argv[1])

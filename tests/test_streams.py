@@ -106,3 +106,42 @@ def test_health_goes_on_and_resets(spark, tmp_path):
     add_file(spark, bans[3:], LOG, tmp_path / "log", 1)
     assert run() == {"a": ("dead", 2), "b": ("dead", 2)}
     assert run(reset_when_none_left=True) == {"a": ("unchecked", 2), "b": ("unchecked", 2)}
+
+
+def test_counts_do_not_hang_on_the_order_of_files(spark, tmp_path):
+    """Files with the newest rows first, one a batch, then another run: every ban counts."""
+    rng = random.Random(3)
+    rows = [(i, "u", "p", START + dt.timedelta(minutes=i * 7), rng.choice([403, 500, 200]), 9, None) for i in range(300)]
+    for k in range(4):
+        add_file(spark, rows[(3 - k) * 60 : (4 - k) * 60], LOG, tmp_path / "log", k)
+    run = lambda: {tuple(r) for r in jobs.final_counters(jobs.file_stream(spark, str(tmp_path / "log"), 1), str(tmp_path / "t"), str(tmp_path / "c")).collect()}
+
+    def wanted(some):
+        bans = health.outcomes(spark.createDataFrame(some, LOG)).where("ban AND status IS NOT NULL")
+        return {tuple(r) for r in bans.groupBy(F.window("ts", "30 seconds").start.alias("w"), "status").count().collect()}
+
+    assert run() == wanted(rows[:240])
+    add_file(spark, rows[240:], LOG, tmp_path / "log", 9)
+    assert run() == wanted(rows) == run()
+
+
+def test_each_key_once_over_the_run(spark, tmp_path):
+    """Copies 30 days apart, files in the wrong order, four batches and a second run."""
+    schema = "page_id bigint, url string, fetched_at timestamp"
+    pages = [(i, f"u{i % 7}" if i % 3 else None, START + dt.timedelta(days=30 * (i // 7))) for i in range(28)]
+    for k in range(4):
+        add_file(spark, pages[(3 - k) * 7 : (4 - k) * 7], schema, tmp_path / "pages", k)
+
+    def run():
+        stream = jobs.file_stream(spark, str(tmp_path / "pages"), 1)
+        found = jobs.unique_pages(stream, F.col("url"), str(tmp_path / "t"), str(tmp_path / "c"), "page_id").collect()
+        assert len({r.url_key for r in found}) == len(found)
+        return {r.url_key: r.page_id for r in found}
+
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    first = run()
+    assert set(first) == {p[1] for p in pages}
+    assert all(p >= 21 for k, p in first.items() if k in {q[1] for q in pages[21:]})
+    add_file(spark, [(99, "u1", START), (100, "new", START)], schema, tmp_path / "pages", 9)
+    assert run() == {**first, "new": 100}
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
