@@ -6,7 +6,8 @@ import sys
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,3 +56,13 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1_000_000
 def text_kept(docs: DataFrame, column: str) -> DataFrame:
     """The rows with ``column`` cast to text, other columns untouched."""
     return docs if dict(docs.dtypes)[column] == "string" else docs.withColumn(column, docs[column].cast("string"))
+
+
+def text_filter(keep: Callable[[str | None], bool], column: str) -> Column:
+    """A boolean column: ``keep`` of each text. Only texts go to Python and only booleans come back."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        return pa.array([keep(t.as_py()) for part in slices([batch], "text") for t in part.column(0)], pa.bool_())
+
+    return F.arrow_udf(run, "boolean")(F.col(column).cast("string"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemart.llm.base import query, table, text_kept
+from pagemart.llm.base import query, slices, table, text_filter, text_kept
 from pagemart.llm.pretokens import LETTER, classes, code_points
 from pagemart.llm.quality import mixed
 
@@ -180,7 +180,7 @@ def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_col):
             found = [model.predict(t) for t in batch.column(1).to_pylist()]
             columns = [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[id_col, "lang_pred", "score"])
@@ -189,14 +189,17 @@ def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
 
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.3) -> DataFrame:
-    """The rows, as they were, whose text has a language with at least this score; ``und`` goes."""
+    """The rows, as they were, whose text has a language with at least this score.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = (model.predict(t) for t in batch.column(batch.schema.names.index(text_col)).to_pylist())
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in found], pa.bool_()))
+    A text that is null, empty or without a letter has none and goes, and so do all if nothing was learned.
+    Ids play no part; an empty table gives no rows.
+    """
+
+    def keep(text: str | None) -> bool:
+        lang, score = model.predict(text)
+        return lang != UNKNOWN and score >= min_score
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(text_filter(keep, text_col))
 
 
 @query("op5_language_id")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemart.llm.base import query, table, text_kept
+from pagemart.llm.base import query, slices, table, text_kept
 from pagemart.llm.mph import MinimalPerfectHash
 from pagemart.llm.quality import mixed
 from pagemart.session import materialise
@@ -42,7 +42,7 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
     """(doc, high, low): the hashes of a row's distinct keys; rows without an id give none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_col):
             ids, digests = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = {h for line in (text or "").split("\n") if (h := line_hash(line, min_chars))} if doc is not None else ()
@@ -68,9 +68,9 @@ def shard_arrays(keys: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         high, low = _unsigned(rows["high"]), _unsigned(rows["low"])
         index = MinimalPerfectHash.build(high, low)
         at = index.find(high, low)
-        prints, counts, keepers = np.zeros(len(at), "<u4"), np.zeros(len(at), np.uint8), np.zeros(len(at), "<i8")
+        prints, counts, keepers = np.zeros(len(at), "<u4"), np.zeros(len(at), "<u4"), np.zeros(len(at), "<i8")
         prints[at] = mixed(high ^ mixed(low)) >> np.uint64(32)
-        counts[at] = np.minimum(rows["docs"].to_numpy(), 255)
+        counts[at] = np.minimum(rows["docs"].to_numpy(), (1 << 32) - 1)
         keepers[at] = rows["keeper"].to_numpy()
         held = [index.to_bytes(), prints.tobytes(), counts.tobytes(), keepers[counts >= min_docs].tobytes()]
         names = ["hash", "prints", "counts", "keepers"]
@@ -90,7 +90,7 @@ def probed(probes: DataFrame, arrays: DataFrame, min_docs: int = MIN_DOCS, shard
             return some.select(["doc", "high", "low"]).slice(0, 0)
         high, low, doc = _unsigned(some["high"]), _unsigned(some["low"]), some["doc"].to_numpy()
         read = {n: shard[n][0].as_buffer() for n in ("prints", "counts", "keepers")}
-        prints, counts, keepers = (np.frombuffer(read[n], t) for n, t in (("prints", "<u4"), ("counts", np.uint8), ("keepers", "<i8")))
+        prints, counts, keepers = (np.frombuffer(read[n], t) for n, t in (("prints", "<u4"), ("counts", "<u4"), ("keepers", "<i8")))
         at = MinimalPerfectHash.from_bytes(shard["hash"][0].as_py()).find(high, low)
         hit = (at >= 0) & (prints[at] == (mixed(high ^ mixed(low)) >> np.uint64(32))) & (counts[at] >= min_docs)
         place = np.cumsum(counts >= min_docs) - 1
@@ -137,7 +137,7 @@ def _cleaned(docs, id_col, text_col, min_chars, min_docs, shard_keys, shard_prob
     joined = text_kept(docs, text_col).join(gone, F.col("doc") == docs[id_col].cast("long"), "left").select(*docs.columns, hidden)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_col):
             names = batch.schema.names
             texts = batch.column(names.index(text_col)).to_pylist()
             lists = batch.column(names.index(hidden))

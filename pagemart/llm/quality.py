@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemart.llm.base import once, query, table, text_kept
+from pagemart.llm.base import once, query, slices, table, text_filter, text_kept
 
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 SPACE = b" \t\n\x0b\x0c\r"
@@ -152,7 +152,7 @@ def quality_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_col):
             rows = [measure(t, rules) for t in batch.column(1).to_pylist()]
             columns = zip(*rows, strict=True) if rows else [[]] * len(FIELDS)
             yield pa.RecordBatch.from_arrays(
@@ -164,14 +164,12 @@ def quality_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
-    """The rows the rules keep, with all their columns as they were."""
+    """The rows the rules keep, with all their columns as they were.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.names.index(text_col)).to_pylist()
-            yield batch.filter(pa.array([measure(t, rules)[-1] for t in texts], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    A null or empty text has no words and goes, unless the rules ask for none. Repeated rows and rows with a null
+    id are kept or not by their text alone. An empty table gives no rows.
+    """
+    return docs.where(text_filter(lambda text: measure(text, rules)[-1], text_col))
 
 
 def _coverage_sql(rules: Rules) -> tuple[str, str]:

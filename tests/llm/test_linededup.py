@@ -48,6 +48,20 @@ def test_rows(spark, shard_keys, shard_probes):
     assert sorted(((r.doc_id, r.text or "") for r in texts.collect()), key=repr) == sorted(((d, t) for d, _, _, t in wanted), key=repr)
 
 
+@pytest.mark.parametrize("min_docs", [3, 255, 256, 300, 401])
+def test_lines_of_many_documents(spark, min_docs):
+    some = [(d, f"a line that four hundred documents share\nown line {d}") for d in range(400)]
+    got = linededup.line_digests(spark.createDataFrame(some, "doc_id long, text string"), min_docs=min_docs)
+    assert got.groupBy().sum("n_dropped").first()[0] == (399 if min_docs <= 400 else 0)
+
+
+def test_very_long_text(spark):
+    text = "\n".join(f"this is line number {k % 40_000} of a long text" for k in range(60_000))
+    some = [(1, text), (2, text), (3, text + "\nthe end"), (4, "short")]
+    got = linededup.line_digests(spark.createDataFrame(some, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_lines, r.n_dropped) for r in got) == [(d, n, k) for d, n, k, _ in plain(some)]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert linededup.line_digests(docs).count() == 0
