@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding in two tiers.
 
 Whole pre-tokens that are in the vocabulary are resolved by a minimal perfect hash over the vocabulary,
-for all pre-tokens of a batch at once; the stored key is compared, since a pre-token may be absent. Other
+for all pre-tokens of a batch at once; the stored piece is compared sign by sign, since a pre-token may be absent. Other
 pre-tokens are merged from their bytes: a doubly linked list of parts and a heap of mergeable neighbours.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagemart.llm.base import once, query, slices, table, text_kept
 from pagemart.llm.mph import MinimalPerfectHash
-from pagemart.llm.pretokens import LONG, PieceMemory, code_points, cut_long, gathered, key_of, span_keys, starts
+from pagemart.llm.pretokens import LONG, PieceMemory, code_points, cut_long, gathered, key_of, same_spans, span_keys, starts
 
 
 def merged(word: bytes, single: list[int], pairs: dict[int, int]) -> list[int]:
@@ -84,6 +84,9 @@ class Codec:
         at = self.hash.find(keys, keys)
         self.keys, self.ids = np.zeros(len(keys), np.uint64), np.zeros(len(keys), np.int32)
         self.keys[at], self.ids[at] = keys, ids
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.points, self.places, self.sizes = code_points("".join(texts)), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        self.places[at], self.sizes[at] = np.cumsum(sizes) - sizes, sizes
         self.numerals = [str(i) for i in range(len(self.spelt))]
         self.memory = PieceMemory()
 
@@ -99,6 +102,8 @@ class Codec:
 
         found = self.hash.find(keys, keys)
         whole = (found >= 0) & (self.keys[found] == keys)
+        hits = np.flatnonzero(whole)
+        whole[hits] = same_spans(points, begins[hits], (ends - begins)[hits], self.points, self.places[found[hits]], self.sizes[found[hits]])
         rest = np.flatnonzero(~whole)
 
         def spell(rows: np.ndarray) -> list[list[int]]:
@@ -107,7 +112,7 @@ class Codec:
             return [merged(word, self.single, self.pairs) for word in words]
 
         offsets, lengths = np.zeros(len(keys), np.int64), np.ones(len(keys), np.int64)
-        offsets[rest], lengths[rest] = self.memory.look_up(keys[rest], spell)
+        offsets[rest], lengths[rest] = self.memory.look_up(keys[rest], points, begins[rest], ends[rest], spell)
         pool = self.memory.ids
         offsets[whole] = len(pool) + found[whole]
         ids, bounds = gathered(np.concatenate([pool, self.ids]), offsets, lengths)

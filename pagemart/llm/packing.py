@@ -63,7 +63,7 @@ class Vocabulary:
             words = [joined[a:b] for a, b in zip(begins[rows].tolist(), ends[rows].tolist(), strict=True)]
             return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-        offsets, lengths = self.memory.look_up(keys, spell)
+        offsets, lengths = self.memory.look_up(keys, points, begins, ends, spell)
         ids, bounds = gathered(self.memory.ids, offsets, lengths)
         cuts = np.append(bounds[np.searchsorted(begins, firsts)], len(ids))
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]

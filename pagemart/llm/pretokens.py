@@ -66,7 +66,7 @@ def starts(points: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 
 
 def span_keys(points: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each span of code points."""
+    """A 64-bit polynomial hash of each span of code points. Different spans may have the same: compare them, too."""
     values = once("point values", lambda: mixed(np.arange(0x110000)))
     prefix = np.zeros(len(points) + 1, np.uint64)
     np.cumsum(values[points] * powers(STEP, len(points)), out=prefix[1:])
@@ -92,31 +92,64 @@ def cut_long(text: str, most: int = LONG) -> Iterator[str]:
     yield text[begin:]
 
 
+def same_spans(
+    points: np.ndarray, begins: np.ndarray, sizes: np.ndarray, pool: np.ndarray, offsets: np.ndarray, lengths: np.ndarray
+) -> np.ndarray:
+    """Whether each span of ``points`` is, sign by sign, the span of ``pool`` given beside it. Spans are not empty."""
+    same = sizes == lengths
+    rows = np.flatnonzero(same)
+    if len(rows):
+        size = sizes[rows]
+        firsts = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(firsts, size)
+        differ = points[place + np.repeat(begins[rows], size)] != pool[place + np.repeat(offsets[rows], size)]
+        same[rows] = ~np.logical_or.reduceat(differ, firsts)
+    return same
+
+
 class PieceMemory:
-    """Ids of pre-tokens met before: a direct-mapped table of fixed size, so memory stays bounded."""
+    """Ids of pre-tokens met before: a direct-mapped table of fixed size, so memory stays bounded.
+
+    A slot has the pre-token itself beside its key, and a hit is one only if the signs are the same. Pre-tokens of more
+    than ``longest`` signs are not held; they are spelt anew.
+    """
 
-    def __init__(self, slots: int = 1 << 19, ids: int = 1 << 21):
-        self.shift, self.most = np.uint64(64 - slots.bit_length() + 1), ids
+    def __init__(self, slots: int = 1 << 19, ids: int = 1 << 21, longest: int = 128):
+        self.shift, self.most, self.longest = np.uint64(64 - slots.bit_length() + 1), ids, longest
         self.keys = np.zeros(slots, np.uint64)
-        self.offsets, self.lengths = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
-        self.ids = np.zeros(0, np.int32)
-
-    def look_up(self, keys: np.ndarray, spell: Callable[[np.ndarray], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
-        """(offset, length) into ``ids`` for each key; ``spell`` gives the ids of keys not held, by their first place."""
-        if len(self.ids) > self.most:
-            self.keys[:], self.ids = 0, np.zeros(0, np.int32)
-        slots = (keys >> self.shift).astype(np.int64)
-        offsets, lengths = self.offsets[slots], self.lengths[slots]
-        unknown = np.flatnonzero(self.keys[slots] != keys)
+        self.offsets, self.lengths = np.zeros(slots, np.int64), np.zeros(slots, np.int32)
+        self.places, self.sizes = np.zeros(slots, np.int64), np.zeros(slots, np.int32)
+        self.ids, self.points = np.zeros(0, np.int32), np.zeros(0, np.uint32)
+
+    def look_up(
+        self, keys: np.ndarray, points: np.ndarray, begins: np.ndarray, ends: np.ndarray, spell: Callable[[np.ndarray], list[list[int]]]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(offset, length) into ``ids`` for each span; ``spell`` gives the ids of spans not held, by their place."""
+        if len(self.ids) > self.most or len(self.points) > 2 * self.most:
+            self.sizes[:], self.ids, self.points = 0, np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        slots, sizes = (keys >> self.shift).astype(np.int64), ends - begins
+        offsets, lengths = self.offsets[slots], self.lengths[slots].astype(np.int64)
+        held = self.keys[slots] == keys
+        at = np.flatnonzero(held)
+        held[at] = same_spans(points, begins[at], sizes[at], self.points, self.places[slots[at]], self.sizes[slots[at]])
+        unknown = np.flatnonzero(~held)
         if len(unknown):
             new, first, back = np.unique(keys[unknown], return_index=True, return_inverse=True)
-            spelt = spell(unknown[first])
-            sizes = np.fromiter(map(len, spelt), np.int64, len(spelt))
-            places = len(self.ids) + np.cumsum(sizes) - sizes
-            self.ids = np.concatenate([self.ids, np.fromiter((i for ids in spelt for i in ids), np.int32, int(sizes.sum()))])
-            offsets[unknown], lengths[unknown] = places[back], sizes[back]
-            slots = (new >> self.shift).astype(np.int64)
-            self.keys[slots], self.offsets[slots], self.lengths[slots] = new, places, sizes
+            first = unknown[first]
+            like = first[back]
+            odd = unknown[~same_spans(points, begins[unknown], sizes[unknown], points, begins[like], sizes[like])]
+            spelt = spell(np.concatenate([first, odd]))
+            counts = np.fromiter(map(len, spelt), np.int64, len(spelt))
+            starts_at = len(self.ids) + np.cumsum(counts) - counts
+            self.ids = np.concatenate([self.ids, np.fromiter((i for ids in spelt for i in ids), np.int32, int(counts.sum()))])
+            offsets[unknown], lengths[unknown] = starts_at[back], counts[back]
+            offsets[odd], lengths[odd] = starts_at[len(new) :], counts[len(new) :]
+            keep = np.flatnonzero(sizes[first] <= self.longest)
+            words, bounds = gathered(points, begins[first[keep]], sizes[first[keep]])
+            slots = (new[keep] >> self.shift).astype(np.int64)
+            self.keys[slots], self.offsets[slots], self.lengths[slots] = new[keep], starts_at[keep], counts[keep]
+            self.places[slots], self.sizes[slots] = len(self.points) + bounds[:-1], sizes[first[keep]]
+            self.points = np.concatenate([self.points, words])
         return offsets, lengths
 
 

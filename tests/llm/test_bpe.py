@@ -33,6 +33,33 @@ def test_ids_are_those_of_the_library(plain):
     assert all(codec.decode(ids) == t.encode() for ids, t in zip(got, some, strict=True))
 
 
+def thue_morse(steps, a="a", b="b"):
+    """A word and its opposite: a polynomial hash modulo 2 ** 64 does not tell them apart from 1,024 letters on."""
+    for _ in range(steps):
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("steps", [10, 12])
+@pytest.mark.parametrize("together", [True, False])
+def test_words_with_equal_keys(plain, steps, together):
+    one, other = thue_morse(steps)
+    assert pretokens.key_of(one) == pretokens.key_of(other) and one != other
+    codec = bpe.codec(PATH)
+    codec.memory = pretokens.PieceMemory(longest=1 << 14)
+    for some in ([[one, other, one, f"{other} {one}"]] if together else [[one], [other], [one], [other]]):
+        got = [ids.tolist() for ids in codec.encode_each(some)]
+        assert got == [plain.encode_ordinary(t) for t in some]
+
+
+def test_memory_is_cleared_when_full(plain):
+    codec = bpe.codec(PATH)
+    codec.memory = pretokens.PieceMemory(slots=64, ids=100, longest=8)
+    for _ in range(3):
+        some = texts()[:500]
+        assert [ids.tolist() for ids in codec.encode_each(some)] == [plain.encode_ordinary(t) for t in some]
+
+
 def test_long_texts_are_cut_where_the_split_allows(plain):
     text = " ".join(texts()[:300])
     parts = list(pretokens.cut_long(text, 400))

@@ -87,3 +87,13 @@ def test_given_documents(spark):
     bins = check(rows, [(r.doc_id, r.text) for r in docs.collect()], 2048)
     used = sum(r.length for r in rows)
     assert used / (2048 * len(bins)) > 0.97
+
+
+def test_words_with_equal_keys_and_a_very_long_text(spark):
+    """Words that a 64-bit polynomial hash does not tell apart, and a text above the bound of one part."""
+    one, other = "a", "b"
+    for _ in range(10):
+        one, other = one + other, other + one
+    texts = [(1, one), (2, other), (3, f"{other} {one} {other}"), (4, "some words, one's own.\n" * 30_000)]
+    rows = packing.pack_documents(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), PATH).collect()
+    check(rows, texts, 2048)
