@@ -262,39 +262,75 @@ def searched(
     return state.select("query", "cand", "sim")
 
 
+#: A length that at most so many vectors have is searched by comparing each query with all of them.
+FEW = 1000
+
+
 def nearest(
-    vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", **options
+    vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", few: int = FEW, **options
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row where ``is_query`` holds, the ``k`` nearest other rows found.
 
     ``score`` is the cosine in double precision on the given vectors; ties go to the smaller id. Rows with a null
     id, a null or empty vector, one of zeros alone, or one holding a null or a number that is not finite take
-    no part, nor do vectors shorter than the longest. Rows repeated whole count once. A query's own id is never
+    no part. Vectors of different lengths are never near: each length has a graph of its own, and the lengths that at
+    most ``few`` vectors have are compared in full. Rows repeated whole count once. A query's own id is never
     among its neighbours. With fewer rows than ``k`` all others are returned; an empty table gives no rows.
     ``options`` go to ``neighbour_graph``.
     """
-    rows = usable(vectors, id_col, vec_col)
-    width = rows.agg(F.max(F.size("vec"))).first()[0]
-    rows = rows.where(F.size("vec") == F.lit(width or 0))
+    rows, asked = usable(vectors, id_col, vec_col), usable(vectors.where(is_query).select(id_col, vec_col), id_col, vec_col).distinct()
+    width = F.size("vec")
+    counts = materialise(rows.groupBy(width.alias("width")).count(), "lengths")
+    # At most a length for every ``few`` rows.
+    large = [r.width for r in counts.where(F.col("count") > few).collect()]
+    small = counts.where(F.col("count") <= few).select("width")
+    found = compared_in_full(asked.withColumn("width", width).join(small, "width"), rows.withColumn("width", width).join(small, "width"), k)
+    for own in large:
+        found = found.unionByName(searched_nearest(rows.where(width == own), asked.where(width == own), k, **options))
+    return found
+
+
+def compared_in_full(asked: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest of all rows of a query's length, which are few."""
+    asked = asked.select(F.col("id").alias("query_id"), "vec", "width").withColumn("query", F.monotonically_increasing_id())
+    others = rows.select("width", F.col("id"), F.col("vec").alias("other")).distinct()
+    pairs = materialise(asked, "few-queries").join(others, "width").where("id != query_id")
+    return ranked(pairs.select("query", "query_id", F.array("id").alias("members"), "vec", "other"), k)
+
+
+def searched_nearest(rows: DataFrame, asked: DataFrame, k: int, **options) -> DataFrame:
+    """The ``k`` nearest found by the graph of these rows, which have one length."""
     nodes = materialise(node_table(rows, k + 1), "nodes")
-    asked = vectors.where(is_query).select(id_col, vec_col)
-    asked = usable(asked, id_col, vec_col).where(F.size("vec") == F.lit(width or 0)).distinct()
     asked = asked.join(nodes.select("vec", F.col("node").alias("cand"), "unit"), "vec").select("id", "vec", "unit", "cand")
     asked = materialise(asked.withColumn("query", F.monotonically_increasing_id()), "queries")
     beam = searched(neighbour_graph(nodes, **options), nodes, asked.select("query", "unit", "cand"))
-
     pairs = beam.select("query", "cand").join(nodes.select(F.col("node").alias("cand"), F.col("vec").alias("other"), "members"), "cand")
-    pairs = pairs.join(asked.select("query", F.col("id").alias("query_id"), "vec"), "query").select("query", "query_id", "members", "vec", "other")
+    pairs = pairs.join(asked.select("query", F.col("id").alias("query_id"), "vec"), "query")
+    return ranked(pairs.select("query", "query_id", "members", "vec", "other"), k)
+
+
+def cosines(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """The cosine of each two vectors beside each other, which are of one length."""
+    scores, lengths = np.zeros(len(a)), a.value_lengths().to_numpy(zero_copy_only=False)
+    for own in np.unique(lengths):
+        at = np.flatnonzero(lengths == own)
+        x, y = (rows_of(column.take(pa.array(at))) for column in (a, b))
+        x, y = x / np.abs(x).max(axis=1, keepdims=True), y / np.abs(y).max(axis=1, keepdims=True)
+        scores[at] = (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
+    return scores
+
+
+def ranked(pairs: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of each query from (query, query_id, members, vec, other), scored on the vectors as given."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = rows_of(batch.column(3)), rows_of(batch.column(4))
-                a, b = a / np.abs(a).max(axis=1, keepdims=True), b / np.abs(b).max(axis=1, keepdims=True)
-                scores = (a * b).sum(axis=1) / np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
+                scores = cosines(batch.column(3), batch.column(4))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(scores)], names=["query", "query_id", "members", "score"])
 
-    scored = pairs.mapInArrow(score, "query long, query_id long, members array<long>, score double")
+    kind = dict(pairs.dtypes)["query_id"]
+    scored = pairs.mapInArrow(score, f"query long, query_id {kind}, members array<{kind}>, score double")
     scored = scored.select("query", "query_id", F.explode("members").alias("vec_id"), "score").where("vec_id != query_id")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
