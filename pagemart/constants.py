@@ -4,6 +4,7 @@
 WB = "wildberries"
 OZON = "ozon"
 TOYS = "igrushki-optom"
+PRODUCTCENTER = "productcenter"
 
 # Addresses records and follow-up pages are built from.
 WB_HOST = "www.wildberries.ru"
@@ -35,3 +36,7 @@ BACKOFF_BASE = 300
 BACKOFF_CAP = 3600
 STATS_INTERVAL = "30 seconds"
 REVIEW_BATCH = 1000
+
+# Reasons a run ends for.
+NONE_LEFT = "no_proxies"
+NONE_AFTER_RESET = "no_proxies_after_reset"

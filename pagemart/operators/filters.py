@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+Cleaners = dict[str, Callable[[Column], Column]]
+
+
+def cleaned(records: DataFrame, cleaners: Cleaners | None) -> DataFrame:
+    """Apply the user's per-field functions; a name that is no field is an error, not passed over."""
+    unknown = sorted(set(cleaners or {}) - set(records.columns))
+    if unknown:
+        raise ValueError(f"no such field: {', '.join(unknown)}; there are {', '.join(records.columns)}")
+    return records.withColumns({name: clean(F.col(name)) for name, clean in cleaners.items()}) if cleaners else records
+
 
 def skip_images(records: DataFrame, skip: bool) -> DataFrame:
     """Without the image column. A plain boolean: any text would count as true otherwise."""

@@ -64,14 +64,15 @@ def _of_request(bans: Column, limit: Column) -> Column:
     return F.pmod(bans - 1, limit + 1) + 1
 
 
-def since_success(judged: DataFrame, key: str) -> DataFrame:
-    """(key, _seen, failed): last time and bans after the last success, by aggregates alone.
+def since_success(judged: DataFrame, key: str, newest: Column | None = None) -> DataFrame:
+    """(key, _seen, failed): last time and bans after the last success, by aggregates alone; with ``newest`` its last value, too.
 
     The first aggregate, a row per key, is written now: it is the lookup and the source of the hot keys, too.
     """
     at = M.moment(F.col("ts"), F.col("request_id"))
     first = judged.groupBy(key).agg(
-        F.max(F.when(~F.col("ban"), at)).alias("_ok"), F.max("ts").alias("_seen"), F.count_if("ban").alias("count")
+        F.max(F.when(~F.col("ban"), at)).alias("_ok"), F.max("ts").alias("_seen"), F.count_if("ban").alias("count"),
+        *([] if newest is None else [F.max_by(newest, at).alias("_newest")]),
     )
     first = materialise(first, "last-success")
     bans = judged.where("ban").select(key, "request_id", at.alias("_at"))
@@ -80,14 +81,18 @@ def since_success(judged: DataFrame, key: str) -> DataFrame:
         .where(F.col("_ok").isNull() | (F.col("_at") > F.col("_ok")))
         .groupBy(key).agg(F.count("*").alias("failed"))
     )
-    return first.select(key, "_seen").join(failed, key, "left").withColumn("failed", F.coalesce("failed", F.lit(0)))
+    return first.drop("_ok", "count").join(failed, key, "left").withColumn("failed", F.coalesce("failed", F.lit(0)))
 
 
-def retry_queue(judged: DataFrame, limit: int = K.MAX_RETRIES) -> DataFrame:
-    """Per url whose last outcome is a ban: the bans of that request so far, and whether it is tried again or given up."""
-    still_open = since_success(judged, "url").where("failed > 0")
-    number = _of_request(F.col("failed"), F.lit(limit))
-    return still_open.select("url", number.alias("attempt_no"), (number <= limit).alias("retry"))
+def retry_queue(judged: DataFrame, limit: Column | int = K.MAX_RETRIES) -> DataFrame:
+    """Per url whose last outcome is a ban: the bans of that request so far, and whether it is tried again or given up.
+
+    A limit given as a column is that of the request, which its last outcome carries; NULL stands for the usual limit.
+    """
+    given = F.coalesce(limit, F.lit(K.MAX_RETRIES)) if isinstance(limit, Column) else F.lit(limit)
+    still_open = since_success(judged, "url", given).where("failed > 0")
+    number = _of_request(F.col("failed"), F.col("_newest"))
+    return still_open.select("url", number.alias("attempt_no"), (number <= F.col("_newest")).alias("retry"))
 
 
 def failures_in_a_row(judged: DataFrame, key: str = "proxy") -> DataFrame:
@@ -157,6 +162,70 @@ def reset_when_none_left(states: DataFrame) -> DataFrame:
     return states.withColumn("state", F.when(dead_again, "unchecked").otherwise(F.col("state")))
 
 
+def stop_reason(states: DataFrame, stop: bool = False) -> DataFrame:
+    """One row with the ``reason`` a run must end for, NULL if endpoints are left.
+
+    With ``stop`` a run ends when no endpoint is good or unchecked. Else dead ones are reset (``reset_when_none_left``), so it
+    ends only if there is none to reset.
+    """
+    left = F.count_if(F.col("state").isin("good", "unchecked") | (F.lit(not stop) & (F.col("state") == "dead")))
+    return states.agg(F.when(left == 0, K.NONE_LEFT if stop else K.NONE_AFTER_RESET).alias("reason"))
+
+
+def state_report(
+    judged: DataFrame, every: int, endpoints: DataFrame | None = None, key: str = "proxy",
+    base: float = K.BACKOFF_BASE, cap: float = K.BACKOFF_CAP, until: Column | None = None,
+) -> DataFrame:
+    """The counts of states as they run: (at, good, dead, reanimated, unchecked, mean_backoff) every ``every`` seconds.
+
+    An endpoint is good or dead from an outcome to the next one; a dead one is reanimated from its next check on. ``unchecked``
+    are the listed endpoints not tried so far, NULL without a list. Only moments at which a state changed have a row; between
+    them the counts stay. ``until`` ends the report; else it goes on to the last check that is due.
+
+    Each outcome adds to the counts where its state begins and takes away where it ends. These changes are added up by
+    moment before anything is shuffled, and the sum runs over moments, not over rows.
+    """
+    second = 1_000_000
+    counted = scans.streak(judged.select(key, "ts", "request_id", "ban"), [key], "ts", "request_id", F.col("ban"), "_failed")
+    timed = counted.select(key, "_failed", F.unix_micros("ts").alias("_us"), (-F.unix_micros("ts")).alias("_back"), (-F.col("request_id")).alias("_tie"))
+    # Backwards in time the row before is the next outcome.
+    rows = scans.previous(timed, [key], "_back", "_tie", F.col("_us"), "_next")
+    wait = F.round(X.exp_backoff(F.col("_failed") - 1, base, cap) * second).cast("long")
+    rows = rows.withColumn("_wait", F.when(F.col("_failed") > 0, wait)).withColumn("_due", F.col("_us") + F.col("_wait"))
+    dead = F.col("_failed") > 0
+    woken = dead & (F.col("_next").isNull() | (F.col("_due") < F.col("_next")))
+
+    def change(when: Column, at: Column, good: int = 0, dead: int = 0, reanimated: int = 0) -> Column:
+        wait = F.col("_wait") * dead if dead else F.lit(0).cast("long")
+        return F.when(
+            when, F.struct(at.alias("us"), F.lit(good).alias("good"), F.lit(dead).alias("dead"), F.lit(reanimated).alias("reanimated"), wait.alias("wait"))
+        )
+
+    ended = F.col("_next").isNotNull()
+    changes = F.filter(
+        F.array(
+            change(~dead, F.col("_us"), good=1), change(~dead & ended, F.col("_next"), good=-1),
+            change(dead, F.col("_us"), dead=1), change(dead & ~woken, F.col("_next"), dead=-1),
+            change(woken, F.col("_due"), dead=-1, reanimated=1), change(woken & ended, F.col("_next"), reanimated=-1),
+        ),
+        lambda c: c.isNotNull(),
+    )
+    step = every * second
+    tick = F.expr(f"((us + {step - 1}) div {step}) * {step}")
+    summed = rows.select(F.explode(changes).alias("c")).select("c.*").groupBy(tick.alias("_at")).agg(
+        *[F.sum(name).alias(name) for name in ("good", "dead", "reanimated", "wait")]
+    )
+    names = ("good", "dead", "reanimated", "wait")
+    run = scans.running(summed, [], "_at", "_at", **{f"_{name}": ("sum", F.col(name)) for name in names})
+    total = F.lit(None).cast("long") if endpoints is None else F.lit(endpoints.select(key).distinct().count())
+    report = run.where(" or ".join(f"{name} <> 0" for name in names)).select(
+        F.timestamp_micros("_at").alias("at"), F.col("_good").alias("good"), F.col("_dead").alias("dead"), F.col("_reanimated").alias("reanimated"),
+        (total - F.col("_good") - F.col("_dead") - F.col("_reanimated")).alias("unchecked"),
+        F.when(F.col("_dead") > 0, F.col("_wait") / F.col("_dead") / second).otherwise(0.0).alias("mean_backoff"),
+    )
+    return report if until is None else report.where(F.col("at") <= until)
+
+
 def by_host_port(addresses: DataFrame, endpoints: DataFrame, address: str, spread: Column) -> DataFrame:
     """Addresses with the known endpoint of the same host:port; of several the last listed wins.
 

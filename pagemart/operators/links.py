@@ -12,7 +12,7 @@ from pagemart.functions import urls as U
 from pagemart.operators import joins
 
 # The rest of a start tag up to its end, with quoted values that may hold one; and its href, quoted or bare.
-_HEAD = r"""^(?:[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+){0,500}+>|[^>]*+>)"""
+_HEAD = r"""^(?:[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>|[^>]*+>)"""
 _HREF = r"""(?i)[\s"']href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 _BLOCK = 1024
 

@@ -111,8 +111,26 @@ def running(
 
 
 def row_number(df: DataFrame, keys: list[str], order: str, tie: str, out: str, parts: int | None = None) -> DataFrame:
-    """1-based position along (order, tie) within the keys."""
-    return running(df, keys, order, tie, parts=parts, **{out: ("sum", F.lit(1).cast("long"))})
+    """1-based position along (order, tie) within the keys.
+
+    The written ranges are sorted and numbered, so a position is the distance to the start of the key's run in the
+    chunk, and rows need no window: one row per key and chunk says where the run starts.
+    """
+    layout = _Layout(df, keys, order, tie, parts, "_at")
+    runs = layout.rows.groupBy(*layout.group).agg(F.count(F.lit(1)).alias("_all"), F.min("_at").alias("_from"))
+    earlier = F.coalesce(F.sum("_all").over(layout.earlier), F.lit(0))
+    starts = runs.select(*layout.group, (F.col("_from") - 1 - earlier).alias("_start"))
+    return layout.rows.join(starts, layout.group).select(*df.columns, (F.col("_at") - F.col("_start")).alias(out))
+
+
+def previous(df: DataFrame, keys: list[str], order: str, tie: str, value: Column, out: str, parts: int | None = None) -> DataFrame:
+    """The value of the row before along (order, tie) within the keys; NULL for the first."""
+    layout = _Layout(df.withColumn("_v", F.struct(value.alias("v"))), keys, order, tie, parts)
+    steps = Window.partitionBy(*layout.group).orderBy(F.col(order).asc_nulls_last(), F.col(tie).asc_nulls_first())
+    last = layout.rows.groupBy(*layout.group).agg(F.max_by("_v", F.struct(F.col(order).isNull(), F.col(order), F.col(tie))).alias("_last"))
+    before = layout.carried(last, F.last("_last").over(layout.earlier).alias("_before"))
+    local = layout.rows.withColumn("_lag", F.lag("_v").over(steps))
+    return local.join(before, layout.group, "left").select(*df.columns, F.coalesce("_lag", "_before")["v"].alias(out))
 
 
 def streak(df: DataFrame, keys: list[str], order: str, tie: str, hit: Column, out: str, parts: int | None = None) -> DataFrame:

@@ -1,13 +1,12 @@
 """Product, brand and category records from captured pages.
 
 Every job takes captured pages and returns typed records that keep ``page_id``, so ``rejected``
-tells which pages gave none. Selectors are arguments: they change with the shops' markup.
+tells which pages gave none. Selectors are arguments: they change with the shops' markup. So are ``processors``:
+functions of the raw values by the name of the rule, or of the JSON field, applied before they are typed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +16,11 @@ from pagemart.functions import jsonx as J
 from pagemart.functions import text as X
 from pagemart.functions import urls as U
 from pagemart.operators import html_rules, joins, links
+from pagemart.operators.filters import Cleaners, cleaned
 from pagemart.operators.html_rules import Rule, first_of
 from pagemart.plans import positions
 from pagemart.session import materialise
 
-Cleaners = dict[str, Callable[[Column], Column]]
-
 LISTING_COLUMNS = [
     "wb_id", "product_name", "wb_reviews_count", "wb_price", "parse_date", "marketplace", "product_url",
     "wb_category_url", "wb_category_name", "wb_category_position", "wb_brand_name",
@@ -34,11 +32,6 @@ def rejected(pages: DataFrame, records: DataFrame) -> DataFrame:
     return pages.join(records.select("page_id"), "page_id", "left_anti")
 
 
-def cleaned(records: DataFrame, cleaners: Cleaners) -> DataFrame:
-    """Apply the user's per-field functions."""
-    return records.withColumns({name: clean(F.col(name)) for name, clean in cleaners.items()}) if cleaners else records
-
-
 def route(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(category pages whose listing is fetched as JSON, those whose cards are read from markup)."""
     marked = r"""<(?=[^>]*\sid=["']?catalog["'\s>])(?=[^>]*\sdata-xcatalog-path=)"""
@@ -90,7 +83,7 @@ def wb_listing_html(
 ) -> DataFrame:
     """Cards of listing pages, with their position on the page."""
     cards = html_rules.extract_rules(pages, rules, card, keep=("page_id", "page_no", "url", "fetched_at"))
-    cards = cleaned(cards, processors or {})
+    cards = cleaned(cards, processors)
     link = U.absolutize_keep_query(U.strip_query(first_of("href")), F.col("url"))
     return cards.select(
         "page_id",
@@ -110,7 +103,7 @@ def wb_listing_html(
     )
 
 
-def wb_listing_json(pages: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+def wb_listing_json(pages: DataFrame, edges: DataFrame | None = None, processors: Cleaners | None = None) -> DataFrame:
     """Products of JSON listing pages, with their position on the page.
 
     With the ``listing_edges`` that led to the pages, ``offset`` is the number of cards before the page.
@@ -123,21 +116,22 @@ def wb_listing_json(pages: DataFrame, edges: DataFrame | None = None) -> DataFra
         "page_id", "page_no", "url", "fetched_at", "category_url", "category_name", *known,
         F.posexplode(J.products(F.col("body"))).alias("_at", "p"),
     )
-    return rows.select(
+    raw = cleaned(rows.select("*", "p.*"), processors)
+    return raw.select(
         "page_id",
         "page_no",
         *known,
         (F.col("_at") + 1).alias("position"),
-        F.col("p.id").alias("wb_id"),
-        X.strip(F.col("p.name")).alias("product_name"),
-        F.col("p.feedbackCount").alias("wb_reviews_count"),
-        F.col("p.salePrice").alias("wb_price"),
+        F.col("id").alias("wb_id"),
+        X.strip(F.col("name")).alias("product_name"),
+        F.col("feedbackCount").alias("wb_reviews_count"),
+        F.col("salePrice").alias("wb_price"),
         F.col("fetched_at").alias("parse_date"),
         F.lit(K.WB).alias("marketplace"),
-        U.product_url(F.col("url"), F.col("p.id")).alias("product_url"),
+        U.product_url(F.col("url"), F.col("id")).alias("product_url"),
         F.col("category_url").alias("wb_category_url"),
         F.col("category_name").alias("wb_category_name"),
-        F.nullif(X.strip(F.col("p.brand")), F.lit("")).alias("wb_brand_name"),
+        F.nullif(X.strip(F.col("brand")), F.lit("")).alias("wb_brand_name"),
     )
 
 
@@ -186,7 +180,7 @@ def wb_product_page(
     """
     own, _ = links.resolve_canonical(pages, links.canonical_href(F.col("body")))
     wanted = rules if skip_images else [*rules, IMAGE_RULE]
-    read = cleaned(html_rules.extract_rules(own, wanted, keep=("page_id", "url", "fetched_at", *keep)), processors or {})
+    read = cleaned(html_rules.extract_rules(own, wanted, keep=("page_id", "url", "fetched_at", *keep)), processors)
     read = read.withColumns(
         {
             "features": features_of("params", "param_values"),
@@ -286,23 +280,23 @@ def wb_products(
     return context.join(dates, "product_url", "left").drop("variant_urls", "reviews_url")
 
 
-def ozon_listing(pages: DataFrame) -> DataFrame:
+def ozon_listing(pages: DataFrame, processors: Cleaners | None = None) -> DataFrame:
     """Items of the product widget, 20 fields; pages without the widget give no rows."""
     parsed = pages.withColumn("_page", J.widget_page(F.col("body")))
     rows = parsed.select(
         "page_id", "page_no", "category_url", "fetched_at", F.posexplode(J.widget_items(F.col("_page"))).alias("_at", "i")
     )
-    cell = F.col("i.cellTrackingInfo")
-    nothing = F.lit(None)
-    return rows.select(
+    raw = cleaned(rows.select("*", "i.link", "i.images", "i.cellTrackingInfo.*"), processors)
+    cell, nothing = {name: F.col(name) for name in raw.columns}, F.lit(None)
+    return raw.select(
         "page_id",
         "page_no",
         (F.col("_at") + 1).alias("position"),
         F.col("fetched_at").alias("parse_date"),
         F.lit(K.OZON).alias("marketplace"),
         X.strip(cell["title"]).alias("product_name"),
-        F.col("i.link").alias("product_url"),
-        F.col("i.images").alias("image_urls"),
+        cell["link"].alias("product_url"),
+        cell["images"].alias("image_urls"),
         cell["id"].alias("ozon_id"),
         cell["marketplaceSellerId"].alias("ozon_seller_id"),
         nothing.cast("string").alias("ozon_seller_name"),
@@ -330,23 +324,25 @@ def ozon_next_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def ozon_product_page(pages: DataFrame) -> DataFrame:
+def ozon_product_page(pages: DataFrame, processors: Cleaners | None = None) -> DataFrame:
     """Records from a page's Product data block, with the rating from the markup; same columns as a listing's."""
     rating = [Rule("rating", "div.product-rating-simple::attr(title)")]
     blocks = pages.withColumn("_ld", J.ld_product(F.col("body"))).where(F.col("_ld").isNotNull())
     read = html_rules.extract_rules(blocks, rating, keep=("page_id", "url", "fetched_at", "_ld"))
+    read = read.withColumns({"name": F.col("_ld.name"), "sku": F.col("_ld.sku"), "price": F.col("_ld.offers.Price")})
+    read = cleaned(read, processors)
     none = F.lit(None).cast("string")
     return read.select(
         "page_id",
         F.col("fetched_at").alias("parse_date"),
         F.lit(K.OZON).alias("marketplace"),
-        X.strip(F.col("_ld.name")).alias("product_name"),
+        X.strip(F.col("name")).alias("product_name"),
         F.col("url").alias("product_url"),
         F.lit(None).cast("array<string>").alias("image_urls"),
-        X.strip(F.col("_ld.sku")).alias("ozon_id"),
+        X.strip(F.col("sku")).alias("ozon_id"),
         *[none.alias(f"ozon_{name}") for name in ("seller_id", "seller_name", "brand_id", "brand_name", "delivery_schema", "category_url", "category_name")],
         F.lit(None).cast("int").alias("ozon_reviews_count"),
-        X.clear_price(F.col("_ld.offers.Price")).alias("ozon_price"),
+        X.clear_price(F.col("price")).alias("ozon_price"),
         X.strip(first_of("rating")).try_cast("double").alias("ozon_rating"),
         none.alias("ozon_manufacture_country"),
         F.lit(None).cast("timestamp").alias("ozon_first_review_date"),
@@ -355,11 +351,12 @@ def ozon_product_page(pages: DataFrame) -> DataFrame:
 
 
 def brand_directory(
-    pages: DataFrame, marketplace: str, entry: str, name: str = "span::text", image: str | None = "img::attr(src)"
+    pages: DataFrame, marketplace: str, entry: str, name: str = "span::text", image: str | None = "img::attr(src)",
+    processors: Cleaners | None = None,
 ) -> DataFrame:
     """Brands of a letter page."""
     rules = [Rule("href", "::self(href)"), Rule("name", name)] + ([Rule("image", image)] if image else [])
-    read = html_rules.extract_rules(pages, rules, entry, keep=("page_id", "url", "fetched_at"))
+    read = cleaned(html_rules.extract_rules(pages, rules, entry, keep=("page_id", "url", "fetched_at")), processors)
     return read.select(
         "page_id",
         F.col("fetched_at").alias("parse_date"),
@@ -370,16 +367,16 @@ def brand_directory(
     )
 
 
-def wb_brands(pages: DataFrame) -> DataFrame:
-    found = brand_directory(pages, K.WB, ".i-brand-list a")
+def wb_brands(pages: DataFrame, processors: Cleaners | None = None) -> DataFrame:
+    found = brand_directory(pages, K.WB, ".i-brand-list a", processors=processors)
     return found.select(
         "page_id", "parse_date", "marketplace", F.col("brand_name").alias("wb_brand_name"),
         F.col("brand_url").alias("wb_brand_url"), F.col("image_url").alias("wb_image_url"),
     )
 
 
-def ozon_brands(pages: DataFrame) -> DataFrame:
-    found = brand_directory(pages, K.OZON, ".b5x9 a", "::text", None)
+def ozon_brands(pages: DataFrame, processors: Cleaners | None = None) -> DataFrame:
+    found = brand_directory(pages, K.OZON, ".b5x9 a", "::text", None, processors)
     return found.select(
         "page_id", "parse_date", "marketplace", F.col("brand_name").alias("ozon_brand_name"),
         F.col("brand_url").alias("ozon_brand_url"),
@@ -399,10 +396,10 @@ def drop_all_link(found: DataFrame, text: str, label: str = K.ALL_LABEL) -> Data
     return found.where(~F.col(text).eqNullSafe(F.lit(label)))
 
 
-def menu_categories(pages: DataFrame, scope: str = "a") -> DataFrame:
+def menu_categories(pages: DataFrame, scope: str = "a", processors: Cleaners | None = None) -> DataFrame:
     """Name and address of every menu link, as they stand."""
     rules = [Rule("href", "::self(href)"), Rule("name", "::text")]
-    read = html_rules.extract_rules(pages, rules, scope, keep=("page_id", "fetched_at"))
+    read = cleaned(html_rules.extract_rules(pages, rules, scope, keep=("page_id", "fetched_at")), processors)
     return read.select(
         "page_id",
         F.col("fetched_at").alias("parse_date"),

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemart import constants as K
 from pagemart.functions import collections as C
 from pagemart.functions import geo
 from pagemart.functions import text as X
 from pagemart.functions import urls as U
 from pagemart.operators import html_rules, joins, links
+from pagemart.operators.filters import Cleaners, cleaned
 from pagemart.operators.html_rules import Rule, first_of
 
-MARKETPLACE = "productcenter"
 # Selectors equal to the pages' markup.
 CARD_RULES = [
     Rule("heading", "h1::text", at="page"),
@@ -21,11 +22,14 @@ CARD_RULES = [
 ]
 
 
-def producer_cards(pages: DataFrame, card: str = "#content .items .item") -> DataFrame:
+def producer_cards(
+    pages: DataFrame, card: str = "#content .items .item", processors: Cleaners | None = None
+) -> DataFrame:
     """Edges from category pages to producers, with the goods count and the category."""
     read = html_rules.extract_rules(
         pages, CARD_RULES, card, keep=("page_id", "url", "category_url", "category_name")
     )
+    read = cleaned(read, processors)
     return read.select(
         F.col("page_id").alias("from_page"),
         F.col("scope_no").alias("position"),
@@ -51,15 +55,17 @@ PRODUCER_RULES = [
 ]
 
 
-def producer_page(pages: DataFrame, office: tuple[float, float] | None = None, rules: list[Rule] = PRODUCER_RULES) -> DataFrame:
+def producer_page(
+    pages: DataFrame, office: tuple[float, float] | None = None, rules: list[Rule] = PRODUCER_RULES, processors: Cleaners | None = None
+) -> DataFrame:
     """Producer records; with an office point also the distance to it in km."""
     own, _ = links.resolve_canonical(pages, links.canonical_href(F.col("body")))
     placed = own.withColumn("_coords", X.coords_text(F.col("body")))
-    read = html_rules.extract_rules(placed, rules, keep=("page_id", "url", "fetched_at", "_coords"))
+    read = cleaned(html_rules.extract_rules(placed, rules, keep=("page_id", "url", "fetched_at", "_coords")), processors)
     records = read.select(
         "page_id",
         F.col("fetched_at").alias("parse_date"),
-        F.lit(MARKETPLACE).alias("marketplace"),
+        F.lit(K.PRODUCTCENTER).alias("marketplace"),
         F.col("url").alias("producer_url"),
         C.take_first(F.col("name")).alias("producer_name"),
         C.take_first(F.col("about")).alias("producer_about"),
@@ -79,9 +85,11 @@ def producer_page(pages: DataFrame, office: tuple[float, float] | None = None, r
     return geo.with_distance(records, here, (point["lat"], point["lon"]), "producer_distance")
 
 
-def producers(pages: DataFrame, cards: DataFrame, office: tuple[float, float] | None = None) -> DataFrame:
+def producers(
+    pages: DataFrame, cards: DataFrame, office: tuple[float, float] | None = None, processors: Cleaners | None = None
+) -> DataFrame:
     """The full feed: producer pages with the category and goods count of their first card."""
-    records = producer_page(pages, office)
+    records = producer_page(pages, office, processors=processors)
     listed = cards.withColumnRenamed("to_url", "producer_url")
     context = joins.category_context(records, listed, "producer_url", "category_url", "category_name", "goods_count")
     return context.withColumnRenamed("goods_count", "producer_goods_count")

@@ -10,6 +10,7 @@ from pagemart.functions import collections as C
 from pagemart.functions import text as X
 from pagemart.functions import urls as U
 from pagemart.operators import html_rules
+from pagemart.operators.filters import Cleaners, cleaned
 from pagemart.operators.html_rules import Rule, first_of
 
 # Selectors equal to the pages' markup.
@@ -22,8 +23,11 @@ CARD_RULES = [
 ]
 
 
-def shop_listing(pages: DataFrame, card: str = ".product", rules: list[Rule] = CARD_RULES) -> DataFrame:
+def shop_listing(
+    pages: DataFrame, card: str = ".product", rules: list[Rule] = CARD_RULES, processors: Cleaners | None = None
+) -> DataFrame:
     read = html_rules.extract_rules(pages, rules, card, keep=("page_id", "url", "category_url", "category_name"))
+    read = cleaned(read, processors)
     category = F.coalesce("category_url", U.strip_query(F.col("url")))
     return read.select(
         "page_id",
@@ -49,8 +53,8 @@ DETAIL_RULES = [
 ]
 
 
-def shop_product(pages: DataFrame, rules: list[Rule] = DETAIL_RULES) -> DataFrame:
-    read = html_rules.extract_rules(pages, rules, keep=("page_id", "url", "fetched_at"))
+def shop_product(pages: DataFrame, rules: list[Rule] = DETAIL_RULES, processors: Cleaners | None = None) -> DataFrame:
+    read = cleaned(html_rules.extract_rules(pages, rules, keep=("page_id", "url", "fetched_at")), processors)
     return read.select(
         "page_id",
         F.col("fetched_at").alias("parse_date"),
@@ -71,8 +75,8 @@ ARTICLE_RULES = [
 ]
 
 
-def shop_article(pages: DataFrame, rules: list[Rule] = ARTICLE_RULES) -> DataFrame:
-    read = html_rules.extract_rules(pages, rules, keep=("page_id",))
+def shop_article(pages: DataFrame, rules: list[Rule] = ARTICLE_RULES, processors: Cleaners | None = None) -> DataFrame:
+    read = cleaned(html_rules.extract_rules(pages, rules, keep=("page_id",)), processors)
     return read.select(
         "page_id", X.clean_article(first_of("block")).alias("article"), first_of("vendor").alias("vendor_code")
     )

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemart.functions import text as X
 from pagemart.functions import urls as U
 from pagemart.operators import health, html_rules
 from pagemart.operators.html_rules import Rule
-from pagemart.plans import catalog
+from pagemart.plans import catalog, shops
 from pagemart.registry import render as R
 from pagemart.registry.base import query, spread_table, table
 from pagemart.registry.filters_joins import judged, states
-from pagemart.registry.sql import JUDGED, LOG, STATES, strip, text_of
+from pagemart.registry.sql import JUDGED, LOG, PROD, STATES, strip, text_of
 from pagemart.session import scratch_path
 from pagemart.streaming import jobs
 
@@ -108,6 +111,64 @@ def _(spark, sf):
     return health.retry_queue(judged(spark, sf))
 
 
+@query(
+    "st7_request_limits",
+    f"""WITH {JUDGED}, ok AS (SELECT url, max((ts, request_id)) AS ok_at FROM judged WHERE NOT ban GROUP BY url),
+    n AS (SELECT url, CAST(right(url, 1) AS INTEGER) % 3 + 1 AS tries, count(*) AS bans FROM judged LEFT JOIN ok USING (url)
+      WHERE ban AND (ok_at IS NULL OR (ts, request_id) > ok_at) GROUP BY url)
+    SELECT url, (bans - 1) % (tries + 1) + 1 AS attempt_no, (bans - 1) % (tries + 1) + 1 <= tries AS retry FROM n""",
+)
+def _(spark, sf):
+    tries = F.right("url", F.lit(1)).cast("int") % 3 + 1
+    return health.retry_queue(judged(spark, sf), tries)
+
+
+@query(
+    "st6_stop_reason",
+    f"""WITH {STATES}, scopes AS (SELECT 'all' AS scope, state FROM states UNION ALL SELECT 'dead only', state FROM states WHERE state = 'dead'
+      UNION ALL SELECT 'none', state FROM states WHERE state = 'no such state'),
+    counted AS (SELECT s.scope, count(*) FILTER (WHERE state = 'dead') AS dead, count(*) FILTER (WHERE state IN ('good', 'unchecked')) AS usable
+      FROM (VALUES ('all'), ('dead only'), ('none')) s(scope) LEFT JOIN scopes USING (scope) GROUP BY s.scope)
+    SELECT scope, true AS stop, CASE WHEN usable = 0 THEN 'no_proxies' END AS reason FROM counted
+    UNION ALL SELECT scope, false, CASE WHEN usable + dead = 0 THEN 'no_proxies_after_reset' END FROM counted""",
+)
+def _(spark, sf):
+    found = states(spark, sf)[0]
+    scopes = {"all": found, "dead only": found.where("state = 'dead'"), "none": found.where("state = 'no such state'")}
+    rows = [
+        health.stop_reason(part, stop).select(F.lit(scope).alias("scope"), F.lit(stop).alias("stop"), "reason")
+        for scope, part in scopes.items() for stop in (True, False)
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query(
+    "agg4_running_report",
+    f"""WITH {JUDGED}, g AS (SELECT *, count(*) FILTER (WHERE NOT ban) OVER w AS run, lead(epoch_us(ts)) OVER w2 AS nxt FROM judged
+      WINDOW w AS (PARTITION BY proxy ORDER BY ts, request_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+             w2 AS (PARTITION BY proxy ORDER BY ts, request_id)),
+    f AS (SELECT proxy, epoch_us(ts) AS us, nxt, count(*) FILTER (WHERE ban) OVER (PARTITION BY proxy, run ORDER BY ts, request_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS failed FROM g),
+    d AS (SELECT *, CAST(least(172800.0, 7200.0 * pow(2.0, least(failed - 1, 60))) AS BIGINT) * 1000000 AS wait FROM f),
+    spans AS (
+      SELECT us AS a, nxt AS b, 1 AS good, 0 AS dead, 0 AS woken, 0 AS wait FROM d WHERE failed = 0
+      UNION ALL SELECT us, least(us + wait, coalesce(nxt, us + wait)), 0, 1, 0, wait FROM d WHERE failed > 0
+      UNION ALL SELECT us + wait, nxt, 0, 0, 1, 0 FROM d WHERE failed > 0 AND (nxt IS NULL OR us + wait < nxt)),
+    steps AS (SELECT a AS us, good, dead, woken, wait FROM spans UNION ALL SELECT b, -good, -dead, -woken, -wait FROM spans WHERE b IS NOT NULL),
+    ticks AS (SELECT (us + 899999999) // 900000000 * 900000000 AS tick, sum(good) AS good, sum(dead) AS dead, sum(woken) AS woken, sum(wait) AS wait
+      FROM steps GROUP BY 1),
+    sums AS (SELECT tick, good <> 0 OR dead <> 0 OR woken <> 0 OR wait <> 0 AS changed, sum(good) OVER o AS g, sum(dead) OVER o AS d,
+      sum(woken) OVER o AS r, sum(wait) OVER o AS w FROM ticks WINDOW o AS (ORDER BY tick))
+    SELECT {text_of('make_timestamp(CAST(tick AS BIGINT))')} AS at, CAST(g AS BIGINT) AS good, CAST(d AS BIGINT) AS dead, CAST(r AS BIGINT) AS reanimated,
+      CAST((SELECT count(DISTINCT proxy) FROM judged) - g - d - r AS BIGINT) AS unchecked,
+      CASE WHEN d > 0 THEN CAST(w AS DOUBLE) / CAST(d AS DOUBLE) / 1000000 ELSE 0.0 END AS mean_backoff FROM sums WHERE changed""",
+)
+def _(spark, sf):
+    log = judged(spark, sf)
+    report = health.state_report(log, 900, log.select("proxy"), base=7200, cap=172800)
+    return report.withColumn("at", X.iso_text(F.col("at")))
+
+
 # ---------------------------------------------------------------- user extension points
 
 
@@ -130,6 +191,30 @@ def _(spark, sf):
     )
 
 
+@query(
+    "udf2_job_processors",
+    f"""WITH {PROD} SELECT 'ozon_listing' AS job, 'nr ' || p_partkey AS id, upper(p_name) AS name FROM prod WHERE page_no % 7 <> 0
+    UNION ALL SELECT 'shop_product', 'nr ' || p_partkey, md5(CAST(p_partkey % 100 AS VARCHAR)) FROM part
+    UNION ALL SELECT 'shop_article', 'nr ' || p_partkey, reverse(p_name) FROM part""",
+)
+def _(spark, sf):
+    def each(change):
+        return lambda texts: F.transform(texts, change)
+
+    items = catalog.ozon_listing(R.widget_pages(spark, sf), {"title": F.upper, "id": lambda c: F.concat(F.lit("nr "), c)})
+    goods = shops.shop_product(
+        R.shop_product_pages(spark, sf), processors={"sku": each(lambda t: F.concat(F.lit("nr "), X.strip(t))), "weight": each(F.md5)}
+    )
+    articles = shops.shop_article(R.article_pages(spark, sf), processors={"vendor": each(F.reverse)})
+    return (
+        items.select(F.lit("ozon_listing").alias("job"), F.col("ozon_id").alias("id"), F.col("product_name").alias("name"))
+        .unionByName(goods.select(F.lit("shop_product").alias("job"), "id", F.col("weight").alias("name")))
+        .unionByName(
+            articles.select(F.lit("shop_article").alias("job"), F.concat(F.lit("nr "), "article").alias("id"), F.col("vendor_code").alias("name"))
+        )
+    )
+
+
 @query(
     "udf3_site_rules",
     r"""SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,

@@ -15,13 +15,14 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pagemart import constants as K
 from pagemart.operators import health
-from pagemart.session import exists
+from pagemart.session import delete_path, exists
 
 # The state processor goes to the workers with the job, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -58,22 +59,35 @@ def large_state(spark: SparkSession) -> Iterator[None]:
 
 
 def run_to_table(
-    stream: DataFrame, table: str, checkpoint: str, mode: str = "append", per_batch: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    stream: DataFrame, table: str, checkpoint: str, mode: str = "append", per_batch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    ends: Callable[[DataFrame, int], bool] | None = None,
 ) -> DataFrame:
     """Run a stream over all that is new and return all rows of its table, with their ``batch_id``.
 
-    ``per_batch`` is applied to the rows of each micro-batch before they are written.
+    ``per_batch`` is applied to the rows of each micro-batch before they are written. ``ends`` is asked with the
+    written rows of each batch and its number; once it holds, that batch is the last of the run. The next one is refused
+    before it writes, so a later run takes it up.
     """
     spark = stream.sparkSession
     schema = per_batch(spark.createDataFrame([], stream.schema)).schema
+    ended: list[int] = []
 
     def store(rows: DataFrame, batch_id: int) -> None:
-        per_batch(rows).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        if ended:
+            raise RuntimeError(f"the run ended with batch {ended[0]}")
+        path = f"{table}/batch_id={batch_id}"
+        per_batch(rows).write.mode("overwrite").parquet(path)
+        if ends is not None and ends(spark.read.schema(schema).parquet(path), batch_id):
+            ended.append(batch_id)
 
     query = (
         stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(store)
     ).start()
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if not ended:
+            raise
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     if not exists(spark, table):
         return spark.createDataFrame([], f"{fields}, batch_id bigint")
@@ -169,17 +183,64 @@ def endpoint_health(
     )
 
 
+def _last_states(changes: DataFrame) -> DataFrame:
+    """The newest change of each endpoint."""
+    whole = F.struct("state", "failed_attempts", "next_check", "changed_at", "batch_id")
+    return changes.groupBy("proxy").agg(F.max_by(whole, F.struct("changed_at", "batch_id")).alias("s")).select("proxy", "s.*")
+
+
+def _reason_path(table: str) -> str:
+    return f"{table.rstrip('/')}-ended"
+
+
+def stopped_for(spark: SparkSession, table: str) -> DataFrame:
+    """(batch_id, reason) of the last run's end, as ``final_health`` with ``stop_when_none_left`` stored it; empty if it read all."""
+    path = _reason_path(table)
+    return spark.read.schema("batch_id bigint, reason string").json(path) if exists(spark, path) else spark.createDataFrame([], "batch_id bigint, reason string")
+
+
 def final_health(
-    log: DataFrame, table: str, checkpoint: str, reset_when_none_left: bool = False, **options: Any
+    log: DataFrame, table: str, checkpoint: str, reset_when_none_left: bool = False,
+    stop_when_none_left: bool = False, endpoints: DataFrame | None = None, **options: Any
 ) -> DataFrame:
     """Run the health stream over all that is new; one row per endpoint, its last state so far.
 
-    With ``reset_when_none_left``, dead endpoints are unchecked if no other is left.
+    With ``reset_when_none_left``, dead endpoints are unchecked if no other is left. With ``stop_when_none_left`` the run
+    ends after the first batch that leaves no endpoint good or unchecked, and stores why (``stopped_for``); batches
+    after it are read by the next run. Listed ``endpoints`` (proxy) that were never tried count as left. To tell, each
+    batch writes the last states, a row per endpoint, made from those of the batch before and its own changes.
     """
-    with large_state(log.sparkSession):
-        changes = run_to_table(endpoint_health(log, **options), table, checkpoint, "update")
-    state = F.struct("state", "failed_attempts", "next_check")
-    last = changes.groupBy("proxy").agg(F.max_by(state, F.struct("changed_at", "batch_id")).alias("s")).select("proxy", "s.*")
+    spark = log.sparkSession
+    latest = f"{table.rstrip('/')}-latest"
+
+    def none_left(changes: DataFrame, batch_id: int) -> bool:
+        rows = changes.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        before = f"{latest}/{batch_id - 1}"
+        if exists(spark, before):
+            rows = spark.read.parquet(before).unionByName(rows)
+        elif batch_id:  # earlier runs did not ask
+            earlier = spark.read.schema(rows.schema).parquet(table)
+            rows = earlier.where(F.col("batch_id") < batch_id).unionByName(rows)
+        _last_states(rows).write.mode("overwrite").parquet(f"{latest}/{batch_id}")
+        if batch_id > 1:
+            delete_path(spark, f"{latest}/{batch_id - 2}")
+        states = spark.read.parquet(f"{latest}/{batch_id}").select("proxy", "state")
+        if endpoints is not None:
+            listed = endpoints.select("proxy").distinct().join(states, "proxy", "left_anti")
+            states = states.unionByName(listed.withColumn("state", F.lit("unchecked")))
+        reason = health.stop_reason(states, stop=True).where("reason IS NOT NULL")
+        if reason.isEmpty():
+            return False
+        reason.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "reason").coalesce(1).write.mode("overwrite").json(_reason_path(table))
+        return True
+
+    if stop_when_none_left and exists(spark, _reason_path(table)):
+        delete_path(spark, _reason_path(table))
+    with large_state(spark):
+        changes = run_to_table(
+            endpoint_health(log, **options), table, checkpoint, "update", ends=none_left if stop_when_none_left else None
+        )
+    last = _last_states(changes).drop("changed_at", "batch_id")
     return health.reset_when_none_left(last) if reset_when_none_left else last
 
 

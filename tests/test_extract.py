@@ -329,3 +329,27 @@ def test_processors_see_what_the_rule_found(spark):
     pages = captured(spark, {"url": "https://s.example/catalog/7/detail.aspx", "body": PRODUCT})
     found = catalog.wb_product_page(pages, processors={"price": lambda c: F.transform(c, lambda v: F.replace(v, F.lit("99"), F.lit("12")))}).first()
     assert found.wb_price == Decimal("12.00") and "12" in found.wb_price_raw
+
+
+def test_processors_of_the_other_jobs(spark):
+    each = lambda change: lambda texts: F.transform(texts, change)
+    body = '{"data":{"products":[{"id":1,"name":" n ","brand":"b","feedbackCount":2,"salePrice":10.5}]}}'
+    listed = catalog.wb_listing_json(captured(spark, {"url": "http://api.example/x", "body": body}), processors={"name": F.upper, "brand": F.reverse})
+    assert [(r.product_name, r.wb_brand_name, r.wb_id) for r in listed.collect()] == [("N", "b", 1)]
+
+    data = '<script type="application/ld+json">{"@type":"Product","name":"n","sku":"7","offers":{"Price":"12"}}</script>'
+    page = catalog.ozon_product_page(captured(spark, {"body": data}), {"price": lambda c: F.concat(c, F.lit("0")), "sku": lambda c: F.concat(F.lit("s"), c)})
+    assert [(r.ozon_id, r.ozon_price) for r in page.collect()] == [("s7", Decimal("120.00"))]
+
+    menu_page = captured(spark, {"body": "<a href='/a'>x</a>"})
+    assert catalog.menu_categories(menu_page, processors={"name": each(F.upper)}).first().wb_category_name == "X"
+    brands = captured(spark, {"body": '<div class="i-brand-list"><a href="/b"><span>x</span></a></div>'})
+    assert catalog.wb_brands(brands, {"name": each(F.upper)}).first().wb_brand_name == "X"
+    maker = captured(spark, {"body": '<h1 class="cfix">m</h1>'})
+    assert producers.producer_page(maker, processors={"name": each(F.upper)}).first().producer_name == "M"
+    cards = captured(spark, {"body": '<div id="content"><div class="items"><div class="item"><a class="link" href="/p">p</a></div></div></div>'})
+    assert producers.producer_cards(cards, processors={"href": each(lambda u: F.concat(u, F.lit("/q")))}).first().to_url == "https://s.example/p/q"
+    goods = captured(spark, {"body": '<div class="product"><p class="prices__actual">5</p></div>'})
+    assert shops.shop_listing(goods, processors={"price": each(lambda p: F.concat(p, F.lit(" RUB")))}).first().price == "5 RUB"
+    with pytest.raises(ValueError, match="no such field: prise"):
+        shops.shop_listing(goods, processors={"prise": F.upper})

@@ -176,3 +176,67 @@ def test_policy_reads_the_body(spark):
     log = spark.createDataFrame([(1, "u", "p", START, 200, 9, None, "fine"), (2, "u", "q", START, 200, 9, None, "a captcha")], SCHEMA + ", body string")
     judged = health.outcomes(log, lambda s, n, e, body: health.is_ban(s, n, e) | body.contains("captcha"), "body")
     assert {r.proxy: r.ban for r in judged.collect()} == {"p": False, "q": True}
+
+
+def report_by_replay(rows, every, base, cap, total):
+    """The counts at each moment of the grid, from the state of each endpoint just then."""
+    judged = sorted(((r[3], r[0], r[2], banned(r)) for r in rows if not (r[6] == "IgnoreRequest" and r[4] is not None)), key=lambda r: r[:2])
+    spans, failed = [], {}
+    by_proxy = {}
+    for at, _, proxy, ban in judged:
+        failed[proxy] = failed.get(proxy, 0) + 1 if ban else 0
+        by_proxy.setdefault(proxy, []).append((at, failed[proxy]))
+    last = max(r[3] for r in rows) + dt.timedelta(seconds=cap + every)
+    for line in by_proxy.values():
+        for (at, n), (until, _) in zip(line, [*line[1:], (last, 0)], strict=True):
+            wait = min(cap, base * 2 ** (n - 1)) if n else 0
+            due = at + dt.timedelta(seconds=wait)
+            if n == 0:
+                spans.append((at, until, "good", 0))
+            else:
+                spans.append((at, min(due, until), "dead", wait))
+                if due < until:
+                    spans.append((due, until, "reanimated", 0))
+    out, at = {}, START
+    while at < last - dt.timedelta(seconds=every):
+        now = [(s, w) for a, b, s, w in spans if a <= at < b]
+        states, waits = [s for s, _ in now], [w for s, w in now if s == "dead"]
+        out[at] = (states.count("good"), states.count("dead"), states.count("reanimated"), total - len(now), sum(waits) / len(waits) if waits else 0.0)
+        at += dt.timedelta(seconds=every)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_running_report_equals_replay(spark, seed):
+    rows = make_log(300, seed)
+    log = health.outcomes(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    listed = spark.createDataFrame([("hot",), ("new",), ("new",), *[(f"p{i}",) for i in range(6)]], "proxy string")
+    found = {r["at"]: tuple(r)[1:] for r in health.state_report(log, 60, listed).collect()}
+    now, wrong = (0, 0, 0, 8, 0.0), []
+    for at, wanted in report_by_replay(rows, 60, 300, 3600, 8).items():
+        now = found.get(at, now)  # between the rows the counts stay
+        if now[:4] != wanted[:4] or abs(now[4] - wanted[4]) > 1e-6:
+            wrong.append((at, now, wanted))
+    assert found and not wrong, wrong[:3]
+    assert health.state_report(log, 60).where("unchecked IS NOT NULL").count() == 0
+    assert health.state_report(log.limit(0), 60).count() == 0
+    end = rows[100][3]
+    assert {r["at"] for r in health.state_report(log, 60, until=F.lit(end)).collect()} == {at for at in found if at <= end}
+
+
+def test_limits_of_single_requests(spark):
+    rows = [(i, u, "p", START + dt.timedelta(seconds=i), 403, 9, None) for i, u in enumerate("aaabbbccc")]
+    log = health.outcomes(spark.createDataFrame(rows, SCHEMA))
+    limit = F.when(F.col("url") == "a", 1).when(F.col("url") == "b", 3)  # none given for c
+    found = {r.url: (r.attempt_no, r.retry) for r in health.retry_queue(log, limit).collect()}
+    assert found == {"a": (1, True), "b": (3, True), "c": (3, True)}
+    assert {r.url: (r.attempt_no, r.retry) for r in health.retry_queue(log, 2).collect()} == {u: (3, False) for u in "abc"}
+
+
+def test_reason_to_stop(spark):
+    def reason(stop, *states):
+        return health.stop_reason(spark.createDataFrame([(s,) for s in states], "state string"), stop).first().reason
+
+    assert reason(True, "dead", "good") is None and reason(True, "unchecked") is None
+    assert reason(True, "dead") == reason(True) == "no_proxies"
+    assert reason(False, "dead") is None and reason(False) == "no_proxies_after_reset"

@@ -117,3 +117,9 @@ def test_links_are_those_the_rules_find(spark):
 def test_links_of_a_page_that_closes_none(spark):
     pages = spark.createDataFrame([(1, "<a href=x>t" * 50_000), (2, "<a " * 100_000)], "page_id int, body string")
     assert links.extract_links(pages, ("page_id",)).groupBy("page_id").count().collect() == [(1, 50_000)]
+
+
+def test_a_tag_with_very_many_quoted_values(spark):
+    many = " ".join(f'data-{i}="a>b"' for i in range(20_000))
+    pages = spark.createDataFrame([(1, f"<p><a {many} href='/x' title=\"1 > 0\">text</a>")], "page_id bigint, body string")
+    assert [(r.href, r.text) for r in links.extract_links(pages, ("page_id",)).collect()] == [("/x", "text")]

@@ -177,3 +177,23 @@ def test_moments(spark):
     rows = df.withColumn("back", M.id_of(F.col("m"))).collect()
     assert [(r.t, r.i) for r in sorted(rows, key=lambda r: r.m)] == pairs
     assert all(r.back == r.i for r in rows)
+
+
+@pytest.mark.parametrize("n, seed, parts", [(1, 0, 4), (900, 2, 30), (900, 3, None)])
+def test_previous_and_row_number_equal_brute_force(spark, n, seed, parts):
+    rows = make_rows(n, seed)
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("v", F.when(F.col("v") > 0, F.col("v")))
+    before = {r.id: r.b for r in scans.previous(df, ["k"], "at", "id", F.col("v"), "b", parts).collect()}
+    place = {r.id: r.n for r in scans.row_number(df, ["k"], "at", "id", "n", parts).collect()}
+    wanted, places = {}, {}
+    for _, group in in_order(rows):
+        for i, row in enumerate(group):
+            wanted[row[0]] = (group[i - 1][4] if group[i - 1][4] > 0 else None) if i else None
+            places[row[0]] = i + 1
+    assert before == wanted and place == places
+
+
+def test_positions_need_no_window_over_the_rows(spark):
+    placed = scans.row_number(spark.createDataFrame(make_rows(50, 1), SCHEMA), ["k"], "at", "id", "n")
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "Aggregate" in plan.split("Window [")[1]

@@ -145,3 +145,35 @@ def test_each_key_once_over_the_run(spark, tmp_path):
     add_file(spark, [(99, "u1", START), (100, "new", START)], schema, tmp_path / "pages", 9)
     assert run() == {**first, "new": 100}
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_stream_ends_when_no_endpoint_is_left(spark, tmp_path):
+    def at(i, proxy, status):
+        return (i, "u", proxy, START + dt.timedelta(seconds=i), status, 9, None)
+
+    files = [[at(0, "a", 200), at(1, "b", 403)], [at(2, "a", 403), at(3, "b", 403)], [at(4, "a", 200)], [at(5, "b", 200)]]
+    for k, rows in enumerate(files):
+        add_file(spark, rows, LOG, tmp_path / "log", k)
+
+    def run(name, **options):
+        stream = jobs.file_stream(spark, str(tmp_path / "log"), 1)
+        found = jobs.final_health(stream, str(tmp_path / name), str(tmp_path / f"{name}-c"), stop_when_none_left=True, base=3600, cap=7200, **options)
+        return {r.proxy: r.state for r in found.collect()}, [tuple(r) for r in jobs.stopped_for(spark, str(tmp_path / name)).collect()]
+
+    states, ended = run("t")
+    assert states == {"a": "dead", "b": "dead"} and ended == [(1, "no_proxies")]
+    # The next run takes up the files that the first left.
+    assert run("t") == ({"a": "good", "b": "good"}, [])
+    assert run("t") == ({"a": "good", "b": "good"}, [])
+    # An endpoint of the list that was never tried is left.
+    assert run("listed", endpoints=spark.createDataFrame([("a",), ("new",)], "proxy string")) == ({"a": "good", "b": "good"}, [])
+
+
+def test_an_error_in_a_batch_is_not_taken_for_an_end(spark, tmp_path):
+    add_file(spark, [(1, "u")], "id bigint, url string", tmp_path / "in", 0)
+
+    def broken(rows, batch_id):
+        raise ValueError("broken check")
+
+    with pytest.raises(Exception, match="broken check"):
+        jobs.run_to_table(jobs.file_stream(spark, str(tmp_path / "in"), 1), str(tmp_path / "t"), str(tmp_path / "c"), ends=broken)
