@@ -20,7 +20,10 @@ from pagemart.llm.base import query, table, text_kept
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
-UNSEEN = frozenset("head script style template noscript noembed noframes iframe title datalist object audio video canvas svg math".split())
+UNSEEN = frozenset("head script style template noscript noembed noframes iframe title datalist object audio video canvas".split())
+#: Parts of drawings and formulas that are not shown where they stand.
+UNDRAWN = frozenset("title desc defs metadata symbol clippath mask pattern marker annotation annotation-xml".split())
+DRAWN = ("svg", "math")
 BLOCKS = frozenset(
     "address article aside blockquote body center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol option p pre section summary table ul caption".split()
@@ -41,7 +44,7 @@ WALLS = frozenset("table td th caption template html button object".split())
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+STYLE = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.I)
 GAP = re.compile(r"[ \t\n\r\f]+")
 #: Cells up to this width are padded to their column; lists nested deeper than this are not indented further, and
 #: tables nested deeper are read as blocks, so that the text stays in proportion to the page.
@@ -135,7 +138,8 @@ class Builder:
         if name in ("td", "th") and self.top(("tr",)) < self.top(("table",)):
             self.push(Node("tr"))
         node = Node(name, marks)
-        if name in VOID:
+        drawn = self.top(DRAWN) >= 0
+        if name in VOID or (drawn and raw.endswith("/")):
             self.stack[-1].children.append(node)
         else:
             self.push(node)
@@ -166,14 +170,32 @@ def tree(page: str) -> Node:
     return made.root
 
 
-def hidden(node: Node) -> bool:
+DRAWING = ("display", "visibility")
+
+
+def styled(node: Node, drawn: bool) -> dict[str, str]:
+    """``display`` and ``visibility`` as the element itself states them, in drawings by attributes, too; the last one holds."""
     marks = node.marks
+    found = {k: marks[k].lower() for k in DRAWING if k in marks} if drawn else {}
+    if "style" in marks:
+        found.update((k.lower(), v.lower()) for k, v in STYLE.findall(html.unescape(marks["style"])))
+    return found
+
+
+def hidden(node: Node, style: dict[str, str], drawn: bool) -> bool:
+    """Whether the element and all in it give nothing, whatever its parts say."""
     return (
-        node.name in UNSEEN or "hidden" in marks or (node.name == "input")
-        or ("style" in marks and HIDING.search(html.unescape(marks["style"])) is not None)
+        node.name in UNSEEN or "hidden" in node.marks or node.name == "input" or (drawn and node.name in UNDRAWN)
+        or style.get("display") == "none"
     )
 
 
+def seen(style: dict[str, str], inherited: bool) -> bool:
+    """Visibility is handed down, and an element may turn it on again."""
+    own = style.get("visibility", "inherit")
+    return inherited if own in ("inherit", "unset") else own not in ("hidden", "collapse")
+
+
 class Box:
     """Lines of a page or of one cell. ``gap`` counts the empty lines owed before the next one."""
 
@@ -263,30 +285,39 @@ def number_of(marks: dict[str, str], key: str, other: int) -> int:
 def rendered(root: Node) -> str:
     """The visible text of a tree, line by line."""
     boxes, grids, lists = [Box()], [], []
-    walk = [(root, iter(root.children))]
+    walk = [(root, iter(root.children), True, False)]
     while walk:
-        node, rest = walk[-1]
+        node, rest, shown, drawn = walk[-1]
         child = next(rest, None)
         box = boxes[-1]
         if child is None:
             walk.pop()
+            if drawn and node.name == "text":
+                box.add(" ")
             _leave(node, boxes, grids, lists)
         elif isinstance(child, str):
-            if not (node.name in ("table", "tr", "tbody", "thead", "tfoot", "ul", "ol", "select") and child.isspace()):
+            if shown and not (node.name in ("table", "tr", "tbody", "thead", "tfoot", "ul", "ol", "select") and child.isspace()):
                 box.add(child)
-        elif not hidden(child):
-            _enter(child, boxes, grids, lists)
-            walk.append((child, iter(child.children)))
+        else:
+            drawing = drawn or child.name in DRAWN
+            style = styled(child, drawing) if child.marks else {}
+            if hidden(child, style, drawn):
+                continue
+            inside = seen(style, shown)
+            if drawing and child.name == "text":  # labels stand apart
+                box.add(" ")
+            _enter(child, boxes, grids, lists, inside)
+            walk.append((child, iter(child.children), inside, drawing))
     boxes[0].end_line()
     return "\n".join(boxes[0].lines)
 
 
-def _enter(node: Node, boxes: list[Box], grids: list[Grid], lists: list[list[int]]) -> None:
+def _enter(node: Node, boxes: list[Box], grids: list[Grid], lists: list[list[int]], shown: bool) -> None:
     box, name = boxes[-1], node.name
     if name == "br":
-        box.end_line(True)
+        box.end_line(shown)
     elif name == "img":
-        if node.marks.get("alt"):
+        if shown and node.marks.get("alt"):
             box.add(html.unescape(node.marks["alt"]))
     elif name == "table":
         box.end_line()
@@ -301,7 +332,7 @@ def _enter(node: Node, boxes: list[Box], grids: list[Grid], lists: list[list[int
         if name in APART and not (name in ("ul", "ol", "menu") and lists):
             box.gap = 1
         if name == "hr":
-            box.put(["---"])
+            box.put(["---"] if shown else [])
         elif name in ("ul", "ol", "menu"):
             lists.append([number_of(node.marks, "start", 1) if name == "ol" else 0, int(name == "ol")])
             box.indent += len(lists) > 1
@@ -309,9 +340,9 @@ def _enter(node: Node, boxes: list[Box], grids: list[Grid], lists: list[list[int
             if lists and lists[-1][1]:
                 number = number_of(node.marks, "value", lists[-1][0])
                 lists[-1][0] = number + 1
-                box.mark = f"{number}. "
+                box.mark = f"{number}. " if shown else ""
             else:
-                box.mark = "- "
+                box.mark = "- " if shown else ""
         elif name in ("dd", "blockquote"):
             box.indent += 1
         elif name == "pre":
@@ -354,7 +385,8 @@ def visible_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
 
     A null or empty page, and one without visible text, gives an empty text. Broken markup never fails: a tag
     that does not end hides what follows, as in a browser. Repeated rows are each returned; an empty table
-    gives no rows; other columns are not read.
+    gives no rows; other columns are not read. Text in drawings and formulas is shown where it stands, their titles and
+    notes are not. ``visibility`` is handed down to the parts of an element, which may turn it on again.
     """
     kind = dict(pages.dtypes)[id_col]
 

@@ -24,6 +24,16 @@ from pagemart.llm.html_text import page_text, visible_text
         ("<p>a<!-- no --><!doctype x>b</p>", "ab"), ("a < b <3 c", "a < b <3 c"), ("<p>a</b></i></p></p>b", "a\n\nb"),
         ('<a title="x > y">link</a>', "link"), ("<img alt='a cat'> sits", "a cat sits"), ("text<a href='never ends", "text"),
         ("<p>a<script>if (a</p>b", "a"), ("<table><tr><td><p>a<div>b</p></div></table>", "a\n\nb"), ("é 日本&#x1f600;", "é 日本\U0001f600"),
+        ("a <svg viewBox='0 0 9 9'><title>no</title><desc>no</desc><rect style='display:none'/><text>one</text><text x=1>two<tspan>3</tspan></text></svg> b", "a one two3 b"),
+        ("<svg><defs><text>no</text></defs><g visibility=hidden><text>no</text></g><path d='M0'/>s</svg>", "s"),
+        ("x <math><mi>a</mi><mo>+</mo><mi>b</mi><annotation>no</annotation></math> y", "x a+b y"),
+        ("<div style='visibility:hidden'>no<p style='visibility: visible'>yes<b>too</b></p>no</div>", "yestoo"),
+        ("<p style='visibility:hidden'>no<i style='visibility:inherit'>no</i>", ""),
+        ("<p style='display:none'>no<b style='visibility:visible;display:block'>no</b></p>a", "a"),
+        ("<p style='visibility:hidden;visibility:visible'>a", "a"), ("<p style='display:none;display:block'>a", "a"),
+        ("<table><tr><td style='visibility:hidden'>no<td>a</table>", "  a"),
+        ("<ul><li style='visibility:hidden'>no<li>a</ul>", "- a"), ("a<div style='visibility:collapse'>no<br><hr></div>b", "a\nb"),
+        ("<div visibility=hidden>a</div>", "a"), ("<svg><a/><b/><text>t</text></svg><p>after<b/>bold", "t\n\nafterbold"),
     ],
 )
 def test_layout(page, text):
