@@ -10,6 +10,7 @@ from pagemart.functions import moments as M
 from pagemart.functions import text as X
 from pagemart.functions import urls as U
 from pagemart.operators import joins
+from pagemart.operators.seen import SeenKeys
 
 # The rest of a start tag up to its end, with quoted values that may hold one; and its href, quoted or bare.
 _HEAD = r"""^(?:[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>|[^>]*+>)"""
@@ -92,11 +93,11 @@ def follow(pages: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def dedupe_pages(
-    pages: DataFrame, key: Column, seen: DataFrame | None = None, allow_dupes: bool = False
+    pages: DataFrame, key: Column, seen: DataFrame | SeenKeys | None = None, allow_dupes: bool = False
 ) -> DataFrame:
     """One page per key: the earliest fetched, then the lowest id; keys in ``seen`` are left out.
 
-    Winners are found by an aggregate over three narrow columns, which combines copies before the
+    ``seen`` is a table of ``url_key``, or the stored keys of earlier runs, of which only the buckets in question are read. Winners are found by an aggregate over three narrow columns, which combines copies before the
     shuffle, and the pages are then filtered by id. On a table bucketed by page id (``captured_pages`` by name)
     that moves ids only; from plain files Spark shuffles the pages once by id, or sends it the ids if they are few.
     """
@@ -104,7 +105,9 @@ def dedupe_pages(
     if allow_dupes:
         return keyed
     winners = keyed.groupBy("url_key").agg(F.min(M.moment(F.col("fetched_at"), F.col("page_id"))).alias("w"))
-    if seen is not None:
+    if isinstance(seen, SeenKeys):
+        winners = seen.unseen(winners, "url_key")
+    elif seen is not None:
         winners = winners.join(seen.select("url_key"), "url_key", "left_anti")
     return keyed.join(winners.select(M.id_of(F.col("w")).alias("page_id")), "page_id", "left_semi")
 

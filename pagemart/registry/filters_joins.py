@@ -11,12 +11,14 @@ from pagemart.functions import text as X
 from pagemart.functions import urls as U
 from pagemart.operators import filters, health, html_rules, joins, links, scans
 from pagemart.operators.html_rules import Rule
+from pagemart.operators.seen import SeenKeys
 from pagemart.plans import catalog, menu, positions, reviews
 from pagemart.registry import render as R
 from pagemart.registry.base import query, table
 from pagemart.registry.extract import COUNTRY_SQL, LISTING_SQL, MAKER_SQL, MENU_SQL, OFFSET_SQL
 from pagemart.registry.sources_links import COPIES_SQL, LINK_SQL, _with_copies, quoted_pages
 from pagemart.registry.sql import JUDGED, PROD, SITE, STATES, origin, text_of
+from pagemart.session import scratch_path
 from pagemart.sources import readers
 
 
@@ -451,6 +453,19 @@ def _(spark, sf):
     )
 
 
+@query(
+    "j7_across_runs",
+    """SELECT 'https://shop.example/i/' || p_partkey AS url_key FROM part
+    WHERE p_partkey NOT IN (SELECT s_suppkey FROM supplier) AND p_partkey NOT IN (SELECT c_custkey FROM customer)""",
+)
+def _(spark, sf):
+    addresses = lambda name, key: table(spark, sf, name, key).select(R.fill("https://shop.example/i/{}", key).alias("url_key"))
+    seen = SeenKeys(spark, scratch_path(spark, "seen"), buckets=16)
+    seen.add(addresses("supplier", "s_suppkey"), "url_key", "first")
+    seen.add(addresses("customer", "c_custkey"), "url_key", "second")
+    return seen.unseen(addresses("part", "p_partkey"), "url_key")
+
+
 # ---------------------------------------------------------------- sets
 
 

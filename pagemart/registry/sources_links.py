@@ -13,6 +13,7 @@ from pagemart.plans import catalog, shops
 from pagemart.registry import render as R
 from pagemart.registry.base import query, table
 from pagemart.registry.sql import LOG, PROD, SITE, origin, stamp, text_of
+from pagemart.session import scratch_path
 from pagemart.sources import readers, sinks
 
 
@@ -98,6 +99,20 @@ def _(spark, sf):
     return spark.read.schema(schema).option("sep", ";").option("header", True).csv(path)
 
 
+@query(
+    "snk_feed_of_batches",
+    """SELECT 'supplier' AS kind, s_suppkey AS id, s_name AS name FROM supplier
+    UNION ALL SELECT 'part', p_partkey, p_name FROM part""",
+)
+def _(spark, sf):
+    path, schema = scratch_path(spark, "feed"), "kind string, id bigint, name string"
+    rows = lambda kind, key, name: table(spark, sf, kind, key, name).select(F.lit(kind).alias("kind"), F.col(key).alias("id"), F.col(name).alias("name"))
+    sinks.write_feed(rows("customer", "c_custkey", "c_name"), path)
+    sinks.write_feed(rows("supplier", "s_suppkey", "s_name"), path)  # replaces the first
+    sinks.write_feed(rows("part", "p_partkey", "p_name"), path, append=True)
+    return sinks.read_feed(spark, path, schema)
+
+
 @query(
     "snk3_run_summary",
     """SELECT event_type AS run, count(*) AS records, '0' AS job_id, event_type AS shop,

@@ -65,6 +65,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, sorted; none if there is no such folder."""
+    files, where = _file_system(spark, path)
+    return sorted(entry.getPath().getName() for entry in files.listStatus(where)) if files.exists(where) else []
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not be there yet."""
+    files, where = _file_system(spark, path)
+    out = files.create(where, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of this process under the shared folder."""
     files, where = _file_system(spark, path)
