@@ -12,6 +12,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,9 +47,12 @@ LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 STYLE = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.I)
 GAP = re.compile(r"[ \t\n\r\f]+")
-#: Cells up to this width are padded to their column; lists nested deeper than this are not indented further, and
-#: tables nested deeper are read as blocks, so that the text stays in proportion to the page.
-WIDTH, DEPTH, TABLES = 60, 20, 8
+#: Spaces that only lay out a column or a page, for each sign of its text or markup.
+ROOM = 16
+#: What a line costs each time a table composes it.
+LINE = 8
+#: The most columns and rows a cell may span, by the HTML standard.
+SPANS = {"colspan": 1000, "rowspan": 65534}
 
 
 class Node:
@@ -121,8 +125,6 @@ class Builder:
     def open(self, name: str, raw: str) -> None:
         if name in ("html", "body") and self.places.get(name):
             return
-        if name == "table" and len(self.places.get("table", ())) >= TABLES:
-            name = "div"
         marks = {}
         if raw and not raw.isspace():
             for key, a, b, c in ATTRIBUTE.findall(raw):
@@ -158,7 +160,6 @@ class Builder:
 
 
 def tree(page: str) -> Node:
-    """The page's elements; tables nested too deep become blocks, and so do their parts."""
     made = Builder()
     for kind, value, raw in tokens(page):
         if kind == "text":
@@ -196,11 +197,24 @@ def seen(style: dict[str, str], inherited: bool) -> bool:
     return inherited if own in ("inherit", "unset") else own not in ("hidden", "collapse")
 
 
+class Room:
+    """What a page may still spend on layout: its spaces, its lines each time a table composes them, its spans in each row."""
+
+    def __init__(self, left: int):
+        self.left = left
+
+    def take(self, most: int) -> bool:
+        self.left = self.left - most if most <= self.left else 0
+        return self.left > 0
+
+
 class Box:
     """Lines of a page or of one cell. ``gap`` counts the empty lines owed before the next one."""
 
-    def __init__(self):
-        self.lines: list[str] = []
+    def __init__(self, room: Room):
+        self.room = room
+        #: Texts, and lists of lines that stand as they are.
+        self.lines: list = []
         self.words: list[str] = []
         self.indent, self.mark, self.gap, self.kept = 0, "", 0, 0
 
@@ -214,77 +228,153 @@ class Box:
         else:
             self.words.append(text)
 
+    def space(self) -> None:
+        if self.lines and self.gap:
+            self.lines.append("")
+        self.gap = 0
+
     def end_line(self, always: bool = False) -> None:
         text = "".join(self.words)
         self.words = []
         text = text.rstrip() if self.kept else GAP.sub(" ", text).strip(" ")
         if text or always:
-            if self.lines and self.gap:
-                self.lines.append("")
-            self.gap = 0
-            self.lines.append((("  " * min(self.indent, DEPTH) + self.mark) + text).rstrip(" ") if text else "")
+            self.space()
+            if text and (self.indent or self.mark):
+                before = 2 * self.indent + len(self.mark)
+                text = (" " * (2 * self.indent) + self.mark if self.room.take(before) else self.mark.lstrip(" ")) + text
+            self.lines.append(text)
             if self.mark:
                 self.mark = " " * len(self.mark)
 
     def put(self, lines: list[str]) -> None:
         self.end_line()
+        kept, self.kept = self.kept, 1
         for line in lines:
             self.words.append(line)
-            kept, self.kept = self.kept, 1
             self.end_line(True)
-            self.kept = kept
+        self.kept = kept
+
+    def put_plain(self, lines: list) -> None:
+        """Lines under the last one, not indented and not looked at."""
+        self.end_line()
+        if lines:
+            self.space()
+            if self.mark.strip():
+                self.lines.append(self.mark.rstrip())
+                self.mark = " " * len(self.mark)
+            self.lines.append(lines)
+
+    def text(self) -> str:
+        out, open_lists = [], [iter(self.lines)]
+        while open_lists:
+            line = next(open_lists[-1], None)
+            if line is None:
+                open_lists.pop()
+            elif isinstance(line, str):
+                out.append(line)
+            else:
+                open_lists.append(iter(line))
+        return "\n".join(out)
 
 
 class Grid:
-    """Rows of cells, each a list of lines, with spans."""
+    """Rows of cells as (column, lines). Spans are kept as ranges of columns with the last row they reach into."""
 
-    def __init__(self):
-        self.rows: list[list[list[str]]] = []
-        self.below: dict[int, int] = {}
+    def __init__(self, room: Room):
+        self.room, self.rows = room, []
+        self.spans, self.new = np.empty((0, 3), np.int64), []
+        self.column = self.next = 0
 
     def row(self) -> None:
+        if self.new:
+            spans = np.concatenate([self.spans, np.array(self.new, np.int64)])
+            self.spans, self.new = spans[np.argsort(spans[:, 0], kind="stable")], []
+        self.spans = self.spans[self.spans[:, 2] >= len(self.rows)] if len(self.spans) else self.spans
+        if len(self.spans) and self.room.take(1 + len(self.spans) // 4):
+            # Ranges that touch are one, so a cell steps over them at once.
+            reach = np.maximum.accumulate(self.spans[:, 1])
+            first = np.append(True, self.spans[1:, 0] > reach[:-1])[: len(reach)]
+            self.taken = self.spans[first, 0], reach[np.append(first[1:], True)[: len(reach)]]
+        else:
+            self.spans, self.taken = self.spans[:0], ((), ())
         self.rows.append([])
+        self.column = self.next = 0
 
-    def cell(self, lines: list[str], marks: dict[str, str]) -> None:
+    def cell(self, lines: list, marks: dict[str, str]) -> None:
         if not self.rows:
             self.row()
-        row = self.rows[-1]
-        self.fill(row)
-        across, down = (min(int(v), 100) if (v := marks.get(k, "1")).isdecimal() and int(v[:4]) else 1 for k in ("colspan", "rowspan"))
-        for k in range(across):
-            if down > 1:
-                self.below[len(row)] = down - 1
-            row.append([] if k else lines)
-
-    def fill(self, row: list[list[str]]) -> None:
-        while self.below.get(len(row), 0):
-            self.below[len(row)] -= 1
-            row.append([])
-
-    def lines(self) -> list[str]:
-        columns = max((len(r) for r in self.rows), default=0)
-        widths = [0] * columns
+        starts, stops = self.taken
+        while self.next < len(starts) and starts[self.next] <= self.column:
+            self.column = max(self.column, int(stops[self.next]))
+            self.next += 1
+        across, down = (span_of(marks, key) for key in SPANS)
+        self.rows[-1].append((self.column, lines))
+        if down > 1 and self.room.left > 0:
+            self.new.append((self.column, self.column + across, len(self.rows) + down - 2))
+        self.column += across
+
+    def lines(self) -> list[str] | None:
+        """The rows with their cells in columns; nothing once the page has no room for that."""
+        room = self.room
+        if room.left <= 0:
+            return None
+        lengths: dict[int, list[int]] = {}
         for row in self.rows:
-            for k, cell in enumerate(row):
-                for line in cell:
-                    if widths[k] < len(line) <= WIDTH:
-                        widths[k] = len(line)
+            for column, cell in row:
+                lengths.setdefault(column, []).extend(map(len, cell))
+        # A column in which no cell begins takes no place.
+        place, at = {}, 0
+        for column in sorted(lengths):
+            width = width_of(lengths[column])
+            place[column] = at, width
+            at += width + 2
         out = []
         for row in self.rows:
-            for n in range(max(map(len, row), default=0)):
-                parts = [(cell[n] if n < len(cell) else "").ljust(widths[k]) for k, cell in enumerate(row)]
-                out.append("  ".join(parts).rstrip(" "))
+            held, n = [(*place[column], cell) for column, cell in row if cell], 0
+            while held:
+                parts, end, shift, spent = [], 0, 0, LINE
+                for start, width, cell in held:
+                    if cell[n]:
+                        gap = start + shift - end
+                        spent += gap
+                        if spent > room.left:
+                            room.left = 0
+                            return None
+                        parts += [" " * gap, cell[n]]
+                        shift += max(len(cell[n]) - width, 0)
+                        end += gap + len(cell[n])
+                room.left -= spent
+                out.append("".join(parts).rstrip(" "))
+                n += 1
+                held = [h for h in held if len(h[2]) > n]
         return out
 
 
+def span_of(marks: dict[str, str], key: str) -> int:
+    digits = marks.get(key, "").strip().lstrip("0")
+    return min(int(digits[:6]), SPANS[key]) if digits.isascii() and digits.isdecimal() else 1
+
+
+def width_of(lengths: list[int]) -> int:
+    """The longest line that all shorter ones can be padded to for ``ROOM`` spaces a sign of the column and of its gaps."""
+    most, kept = ROOM * (sum(lengths) + 2 * len(lengths)), 0
+    best = before = 0
+    for n, length in enumerate(sorted(lengths)):
+        kept += n * (length - before)
+        if kept > most:
+            break
+        best = before = length
+    return best
+
+
 def number_of(marks: dict[str, str], key: str, other: int) -> int:
     value = marks.get(key, "")
     return int(value) if re.fullmatch(r"-?\d{1,9}", value) else other
 
 
-def rendered(root: Node) -> str:
-    """The visible text of a tree, line by line."""
-    boxes, grids, lists = [Box()], [], []
+def rendered(root: Node, room: int) -> str:
+    """The visible text of a tree, line by line, with ``room`` spaces for its layout."""
+    boxes, grids, lists = [Box(Room(room))], [], []
     walk = [(root, iter(root.children), True, False)]
     while walk:
         node, rest, shown, drawn = walk[-1]
@@ -309,7 +399,7 @@ def rendered(root: Node) -> str:
             _enter(child, boxes, grids, lists, inside)
             walk.append((child, iter(child.children), inside, drawing))
     boxes[0].end_line()
-    return "\n".join(boxes[0].lines)
+    return boxes[0].text()
 
 
 def _enter(node: Node, boxes: list[Box], grids: list[Grid], lists: list[list[int]], shown: bool) -> None:
@@ -322,11 +412,11 @@ def _enter(node: Node, boxes: list[Box], grids: list[Grid], lists: list[list[int
     elif name == "table":
         box.end_line()
         box.gap = 1
-        grids.append(Grid())
+        grids.append(Grid(box.room))
     elif name == "tr" and grids:
         grids[-1].row()
     elif name in ("td", "th", "caption") and grids:
-        boxes.append(Box())
+        boxes.append(Box(box.room))
     elif name in BLOCKS:
         box.end_line()
         if name in APART and not (name in ("ul", "ol", "menu") and lists):
@@ -355,11 +445,18 @@ def _leave(node: Node, boxes: list[Box], grids: list[Grid], lists: list[list[int
         box.end_line()
         lines = boxes.pop().lines
         if name == "caption":
-            boxes[-1].put(lines)
+            (boxes[-1].put if box.room.take(LINE * len(lines) + 1) else boxes[-1].put_plain)(lines)
         else:
             grids[-1].cell(lines, node.marks)
     elif name == "table":
-        box.put(grids.pop().lines())
+        grid = grids.pop()
+        lines = grid.lines()
+        if lines is None:
+            for row in grid.rows:
+                for _, cell in row:
+                    box.put_plain(cell)
+        else:
+            box.put(lines)
         box.gap = 1
     elif name in BLOCKS and name != "hr":
         box.end_line()
@@ -377,7 +474,7 @@ def _leave(node: Node, boxes: list[Box], grids: list[Grid], lists: list[list[int
 
 
 def page_text(page: str | None) -> str:
-    return rendered(tree(page or ""))
+    return rendered(tree(page or ""), ROOM * len(page or ""))
 
 
 def visible_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -385,7 +482,10 @@ def visible_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
 
     A null or empty page, and one without visible text, gives an empty text. Broken markup never fails: a tag
     that does not end hides what follows, as in a browser. Repeated rows are each returned; an empty table
-    gives no rows; other columns are not read. Text in drawings and formulas is shown where it stands, their titles and
+    gives no rows; other columns are not read. A column of a table is as wide as its longest line, if padding the others to
+    that takes at most ``ROOM`` spaces a sign of its text; else as the longest for which it does, and longer lines run over.
+    Tables in tables and lists in lists are laid out at any depth, until the layout has taken ``ROOM`` spaces a sign of the
+    page: what follows is not indented, and its tables are read cell by cell. Text in drawings and formulas is shown where it stands, their titles and
     notes are not. ``visibility`` is handed down to the parts of an element, which may turn it on again.
     """
     kind = dict(pages.dtypes)[id_col]

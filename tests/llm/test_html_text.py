@@ -1,3 +1,4 @@
+import random
 import time
 from html.parser import HTMLParser
 
@@ -52,6 +53,95 @@ def test_time_grows_with_the_page(part):
     assert took[1] < 30 * max(took[0], 0.05)
 
 
+@pytest.mark.parametrize("part", ["<table><tr><td>x<tr><td>y<td>", "<ul><li><table><td>x<td>y", "<tr><td colspan=1000 rowspan=70000>x", "<table><caption>x<br>y"])
+def test_layout_time_grows_with_the_page(part):
+    took = []
+    for n in (1_000, 8_000):
+        start = time.process_time()
+        text = page_text("<p><table>" + part * n)
+        took.append(time.process_time() - start)
+        assert text.count("x") == n and len(text) < 20 * n * len(part)
+    assert took[1] < 30 * max(took[0], 0.05)
+
+
+def test_layout_at_any_depth_and_width():
+    nested = page_text("<table><tr><td>k<td>" * 30 + "in<tr><td>u<td>v" + "</table>" * 30).split("\n")
+    assert nested == ["k  " * 30 + "in", "   " * 29 + "u  v"]
+    wide = page_text(f"<table><tr><td>{'w' * 200}<td>b<tr><td>a<td>c</table>").split("\n")
+    assert wide == ["w" * 200 + "  b", "a" + " " * 201 + "c"]
+    deep = page_text("<p>" + "a text of some length " * 40 + "<ul><li>x" * 40).split("\n")
+    assert deep[2:] == ["  " * n + "- x" for n in range(40)]
+    rows = "".join(f"<tr><td>r{n}" for n in range(300))
+    tall = page_text(f"<table><tr><td rowspan=400>tall<td>first{rows}</table>").split("\n")
+    assert tall == ["tall  first"] + [f"      r{n}" for n in range(300)]
+    assert page_text("<table><tr><td colspan=400>a<td>b<tr>" + "<td>c" * 400 + "<td>d</table>").split("\n")[0] == "a" + " " * (3 * 400 - 1) + "b"
+
+
+def test_a_page_without_room_for_layout_loses_no_text():
+    page = "<table><tr><td>x<tr><td>y<td>" * 3000 + "end"
+    text = page_text(page)
+    assert "".join(text.split()) == "xy" * 3000 + "end" and len(text) < 20 * len(page)
+    wide = page_text("<table>" + f"<tr><td>{'w' * 5000}<td>b" + "<tr><td>a<td>c" * 50 + "</table>").split("\n")
+    assert wide == ["w" * 5000 + "  b"] + ["a  c"] * 50
+
+
+def block_page(rng, depth):
+    """(markup, lines) of random blocks, lists and tables, the lines by plain recursion; None is a gap between lines."""
+    markup, lines = "", []
+    for _ in range(rng.randint(1, 3)):
+        kind = rng.choice(["div", "list", "table"] if depth else ["div"])
+        word = "".join(rng.choices("abc", k=rng.randint(1, 9)))
+        if kind == "div":
+            markup += f"<div>{word} <b>{word}</b></div>"
+            lines.append(f"{word} {word}")
+        elif kind == "list":
+            ordered = rng.random() < 0.5
+            inner, items = "", []
+            for n in range(rng.randint(1, 4)):
+                own, text = block_page(rng, depth - 2) if depth > 2 and rng.random() < 0.3 else (word, [word])
+                if "<ul" in own or "<ol" in own:  # lists in lists are held in test_layout
+                    own, text = word, [word]
+                mark = f"{n + 1}. " if ordered else "- "
+                inner += f"<li>{own}</li>"
+                for line in text:
+                    items.append(mark + line if line else line)
+                    mark = mark if line is None else " " * len(mark)
+            tag = "ol" if ordered else "ul"
+            markup += f"<{tag}>{inner}</{tag}>"
+            lines += [None, *items, None]
+        else:
+            cells = [[block_page(rng, depth - 1) for _ in range(rng.randint(1, 3))] for _ in range(rng.randint(1, 3))]
+            markup += "<table>" + "".join("<tr>" + "".join(f"<td>{m}</td>" for m, _ in row) + "</tr>" for row in cells) + "</table>"
+            cells = [[spaced(text) for _, text in row] for row in cells]
+            widths = [max(len(x) for row in cells if len(row) > k for x in row[k]) for k in range(max(map(len, cells)))]
+            drawn = []
+            for row in cells:
+                for n in range(max(map(len, row))):
+                    parts = [(text[n] if n < len(text) else "").ljust(widths[k]) for k, text in enumerate(row)]
+                    drawn.append("  ".join(parts).rstrip())
+            lines += [None, *drawn, None]
+    return markup, lines
+
+
+def spaced(lines):
+    out, owed = [], False
+    for line in lines:
+        if line is None:
+            owed = bool(out)
+        else:
+            out += ([""] if owed else []) + [line]
+            owed = False
+    return out
+
+
+def test_against_plain_recursion():
+    rng = random.Random(11)
+    for _ in range(300):
+        markup, lines = block_page(rng, rng.randint(0, 4))
+        padded = markup + "<!--" + " " * 3000 + "-->"  # room enough for all layout
+        assert page_text(padded) == "\n".join(spaced(lines)), markup
+
+
 class Plain(HTMLParser):
     def __init__(self):
         super().__init__()
