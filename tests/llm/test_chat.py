@@ -50,6 +50,19 @@ def test_masks_hold_what_the_speaker_says(spark):
         assert [r.text[a:b] for a, b in r["mask"]] == [{"ann": "hello", "bob": "you"}[r.perspective] + "<|im_end|>\n"]
 
 
+@pytest.mark.parametrize("part", [3, 64])
+def test_parts_join_to_the_whole(spark, part):
+    table = spark.createDataFrame([(*r, "clash", 7) for r in rows()], SCHEMA).repartition(5)
+    whole = {(c, who): (n, text, mask) for c, who, _, n, text, mask in plain(rows(), 10**6)}
+    got = sorted(chat.perspectives(table, part=part).collect(), key=lambda r: r.part)
+    for key, (n, text, mask) in whole.items():
+        own = [r for r in got if (r.conv_id, r.perspective) == key]
+        assert "".join(r.text for r in own) == text and sum(r.n_messages for r in own) == n
+        assert [r.message_offset for r in own] == [sum(q.n_messages for q in own[:k]) for k in range(len(own))]
+        assert [(a + r.text_offset, b + r.text_offset) for r in own for a, b in r["mask"]] == mask
+    assert len({(r.conv_id, r.perspective) for r in got}) == len(whole)
+
+
 def test_empty_table(spark):
     assert chat.perspectives(spark.createDataFrame([], SCHEMA)).count() == 0
 
