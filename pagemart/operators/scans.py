@@ -11,7 +11,7 @@ The functions write to the shared folder when they are called (``session.materia
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -38,17 +38,21 @@ def _plain_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return (df.withColumns(added) if added else df), list(added)
 
 
+def _dealt(df: DataFrame, keys: list[str], order: str, tie: str, parts: int | None, place: str | None) -> DataFrame:
+    ranges = [*keys, F.col(order).asc_nulls_last(), F.col(tie).asc_nulls_first()]
+    dealt = df.repartitionByRange(parts, *ranges) if parts else df.repartitionByRange(*ranges)
+    if place:
+        dealt = dealt.sortWithinPartitions(*ranges).withColumn(place, F.monotonically_increasing_id())
+    return dealt.withColumn(CHUNK, F.spark_partition_id())
+
+
 def chunked(df: DataFrame, keys: list[str], order: str, tie: str, parts: int | None = None, place: str | None = None) -> DataFrame:
     """The rows, written, with ``_chunk``: a number that never falls along (order, tie) within a key.
 
     NULL orders come last, NULL ties first. ``parts`` is the number of ranges, by default that of shuffles. With ``place``
     the ranges are sorted, and that column numbers the rows: those of a key follow each other without a gap.
     """
-    ranges = [*keys, F.col(order).asc_nulls_last(), F.col(tie).asc_nulls_first()]
-    dealt = df.repartitionByRange(parts, *ranges) if parts else df.repartitionByRange(*ranges)
-    if place:
-        dealt = dealt.sortWithinPartitions(*ranges).withColumn(place, F.monotonically_increasing_id())
-    return materialise(dealt.withColumn(CHUNK, F.spark_partition_id()), "scan")
+    return materialise(_dealt(df, keys, order, tie, parts, place), "scan")
 
 
 class _Layout:
@@ -154,3 +158,46 @@ def streak(df: DataFrame, keys: list[str], order: str, tie: str, hit: Column, ou
     local = layout.rows.withColumns({"_base": F.max(miss).over(layout.within), "_from": F.min("_at").over(layout.within)})
     since = F.col("_at") - F.coalesce(F.col("_base"), F.col("_from") - 1 - F.coalesce("_carried", F.lit(0)))
     return local.join(before, layout.group, "left").select(*df.columns, since.alias(out))
+
+
+class SortedRows:
+    """Rows sorted once and stored by range, with an index of the rows of a key before each range.
+
+    A batch (skip some, take some) looks up its ranges in the index, which has one row per key and range, and reads the
+    files of these ranges only. The folder holds ``rows``, one folder per range, ``index`` and ``schema``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def store(self, df: DataFrame, keys: list[str], order: str, tie: str, parts: int | None = None) -> SortedRows:
+        """Sort and write the rows. NULL keys are a key like others; ``tie`` must be unique within the keys."""
+        plain_df, plain = _plain_keys(df, keys)
+        dealt = _dealt(plain_df, plain, order, tie, parts, "_at").drop(*plain)
+        dealt.limit(0).write.parquet(f"{self.path}/schema")  # an empty table has no files of rows
+        dealt.write.partitionBy(CHUNK).parquet(f"{self.path}/rows")
+        rows, plain = _plain_keys(self._rows(), keys)
+        runs = rows.groupBy(*plain, CHUNK).agg(
+            *[F.first(k).alias(k) for k in keys], F.count(F.lit(1)).alias("_all"), F.min("_at").alias("_from")
+        )
+        earlier = Window.partitionBy(*plain).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        index = runs.withColumn("_before", F.coalesce(F.sum("_all").over(earlier), F.lit(0)))
+        index.select(*keys, CHUNK, "_all", "_from", "_before").write.parquet(f"{self.path}/index")
+        return self
+
+    def _rows(self) -> DataFrame:
+        schema = self.spark.read.parquet(f"{self.path}/schema").schema
+        return self.spark.read.schema(schema).parquet(f"{self.path}/rows")
+
+    def batch(self, skip: int, take: int, out: str = "place", **key) -> DataFrame:
+        """The rows of a key at the places ``skip + 1`` to ``skip + take``, with their place; none beyond the last."""
+        same = F.lit(True)
+        for name, value in key.items():
+            same &= F.col(name).eqNullSafe(F.lit(value))
+        reached = (F.col("_before") < skip + take) & (F.col("_before") + F.col("_all") > skip)
+        # Each of these ranges holds a row of the batch, so there are at most as many as rows taken.
+        ranges = self.spark.read.parquet(f"{self.path}/index").where(same & reached).select(CHUNK, "_from", "_before").collect()
+        rows = self._rows().where(same & F.col(CHUNK).isin([r[CHUNK] for r in ranges]))
+        starts = F.create_map(*[F.lit(v) for r in ranges for v in (r[CHUNK], r["_from"] - r["_before"] - 1)]) if ranges else None
+        placed = rows.withColumn(out, F.col("_at") - starts[F.col(CHUNK)] if ranges else F.lit(None).cast("long"))
+        return placed.where((F.col(out) > skip) & (F.col(out) <= skip + take)).drop("_at", CHUNK)

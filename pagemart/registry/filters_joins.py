@@ -443,6 +443,18 @@ def _(spark, sf):
     return reviews.batch_numbers(rows, ["role"], "turn", "conv_id", 100).select("conv_id", "turn", "place", "batch")
 
 
+@query(
+    "ord2_one_batch",
+    """SELECT conv_id, turn, place FROM (
+      SELECT conv_id, turn, row_number() OVER (ORDER BY turn, conv_id) AS place FROM conversations WHERE role = 'user')
+    WHERE place > 100 AND place <= 150""",
+)
+def _(spark, sf):
+    rows = table(spark, sf, "conversations", "conv_id", "turn", "role")
+    stored = scans.SortedRows(spark, scratch_path(spark, "sorted")).store(rows, ["role"], "turn", "conv_id")
+    return stored.batch(100, 50, role="user").select("conv_id", "turn", "place")
+
+
 @query(
     "ord3_first_of_sorted",
     "SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_review FROM orders GROUP BY o_custkey",

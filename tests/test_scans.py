@@ -197,3 +197,31 @@ def test_positions_need_no_window_over_the_rows(spark):
     placed = scans.row_number(spark.createDataFrame(make_rows(50, 1), SCHEMA), ["k"], "at", "id", "n")
     plan = placed._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 1 and "Aggregate" in plan.split("Window [")[1]
+
+
+def test_a_batch_reads_its_ranges_only(spark, tmp_path):
+    rng = random.Random(5)
+    data = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([None, *range(40)]), n) for n in range(600)]
+    df = spark.createDataFrame(data, "k string, o int, tie long").repartition(7)
+    stored = scans.SortedRows(spark, str(tmp_path / "sorted")).store(df, ["k"], "o", "tie", parts=8)
+    for key in ("a", "b", None, "missing"):
+        own = sorted((r for r in data if r[0] == key), key=lambda r: (r[1] is None, r[1] or 0, r[2]))
+        for skip, take in ((0, 10), (37, 50), (0, 1000), (590, 30), (5, 0)):
+            got = sorted((r.place, r.tie) for r in stored.batch(skip, take, k=key).collect())
+            assert got == [(skip + n + 1, r[2]) for n, r in enumerate(own[skip : skip + take])]
+    every = spark.read.parquet(str(tmp_path / "sorted" / "rows")).select("_chunk").distinct().count()
+    plan = stored.batch(0, 10, k="a")._jdf.queryExecution().optimizedPlan().toString()
+    assert every > 4 and "_chunk" in plan
+    read = {r.f for r in stored.batch(0, 10, k="a").select(F.input_file_name().alias("f")).collect()}
+    assert len(read) <= 2
+    files = stored.batch(0, 10, k="a")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in files and "_chunk" in files.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_sorted_rows_without_keys_and_empty(spark, tmp_path):
+    df = spark.range(100).select(F.col("id").alias("tie"), (F.col("id") % 7).alias("o"))
+    stored = scans.SortedRows(spark, str(tmp_path / "all")).store(df, [], "o", "tie", parts=5)
+    own = sorted(range(100), key=lambda n: (n % 7, n))
+    assert sorted((r.place, r.tie) for r in stored.batch(20, 30).collect()) == [(n + 1, own[n]) for n in range(20, 50)]
+    empty = scans.SortedRows(spark, str(tmp_path / "none")).store(df.limit(0), [], "o", "tie")
+    assert empty.batch(0, 5).count() == 0
