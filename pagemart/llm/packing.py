@@ -8,6 +8,7 @@ it in a logarithmic number of steps. A group's size bounds the memory of a task;
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -30,6 +31,8 @@ class Vocabulary:
     """A tokenizer file with byte-level splitting; pre-tokens met before are not encoded again."""
 
     def __init__(self, path: str):
+        # A task has one core: threads of the library's own would only take turns on it.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.special = {str(t): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.memory = PieceMemory()

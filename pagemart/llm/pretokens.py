@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 
@@ -23,9 +24,9 @@ WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0
 
 
 def _classes() -> np.ndarray:
-    table = np.fromiter(
-        ({"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000
-    )
+    kinds, table = {"L": LETTER, "N": NUMBER}, np.zeros(0x110000, np.uint8)  # OTHER
+    # Planes 4 to 16 have no letters and no numbers: they are empty, or hold tags, variants and private signs.
+    table[:0x40000] = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x40000)), np.uint8, 0x40000)
     table[WHITE] = SPACE
     return table
 
@@ -141,7 +142,7 @@ class PieceMemory:
             spelt = spell(np.concatenate([first, odd]))
             counts = np.fromiter(map(len, spelt), np.int64, len(spelt))
             starts_at = len(self.ids) + np.cumsum(counts) - counts
-            self.ids = np.concatenate([self.ids, np.fromiter((i for ids in spelt for i in ids), np.int32, int(counts.sum()))])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(spelt), np.int32, int(counts.sum()))])
             offsets[unknown], lengths[unknown] = starts_at[back], counts[back]
             offsets[odd], lengths[odd] = starts_at[len(new) :], counts[len(new) :]
             keep = np.flatnonzero(sizes[first] <= self.longest)

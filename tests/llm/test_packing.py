@@ -1,4 +1,6 @@
+import os
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -6,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from pagemart.llm import packing
+from pagemart.llm import packing, pretokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [
@@ -97,3 +99,17 @@ def test_words_with_equal_keys_and_a_very_long_text(spark):
     texts = [(1, one), (2, other), (3, f"{other} {one} {other}"), (4, "some words, one's own.\n" * 30_000)]
     rows = packing.pack_documents(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), PATH).collect()
     check(rows, texts, 2048)
+
+
+def test_a_task_encodes_on_its_own_core(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    packing.Vocabulary(PATH)
+    assert os.environ.pop("TOKENIZERS_PARALLELISM") == "false"
+
+
+def test_classes_of_all_code_points():
+    kinds = {"L": pretokens.LETTER, "N": pretokens.NUMBER}
+    wanted = [kinds.get(unicodedata.category(chr(c))[0], pretokens.OTHER) for c in range(0x110000)]
+    for c in pretokens.WHITE:
+        wanted[c] = pretokens.SPACE
+    assert pretokens.classes().tolist() == wanted
