@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagemart.session import materialise
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -27,10 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return source.select(*columns) if columns else source
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str, *columns: str) -> DataFrame:
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str, *columns: str, written: bool = False) -> DataFrame:
     """A table whose rows become pages to parse; dealt over all cores if it would be read in fewer tasks.
 
-    Parsing a page costs far more than moving it, and one small file would be one task.
+    Parsing a page costs far more than moving it, and one small file would be one task. With ``written`` the dealt rows
+    are written to the shared folder: a filter on what is made of them would else move below the dealing, where the
+    bodies it reads would be made in the few tasks that read the table.
     """
     rows, cores = table(spark, sf_dir, name, key, *columns), spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    dealt = rows.repartition(cores, key)
+    return materialise(dealt, "dealt") if written else dealt

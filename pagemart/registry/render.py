@@ -48,8 +48,8 @@ def products(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFram
         .otherwise(price)
     )
     word = F.when(key % 3 == 0, "отзыв").when(key % 3 == 1, "отзыва").otherwise("отзывов")
-    source = spread_table if spread else table
-    part = source(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+    columns = ["p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"]
+    part = spread_table(spark, sf_dir, "part", *columns, written=True) if spread else table(spark, sf_dir, "part", *columns)
     return part.withColumns(
         {
             "page_no": (F.floor(key / BLOCK) + 1).cast("int"),

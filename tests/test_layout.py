@@ -171,3 +171,18 @@ def test_workers_need_no_installed_package(tmp_path):
         [sys.executable, "-c", AWAY, root, SF], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
     )
     assert "rows " in done.stdout, done.stderr[-2000:]
+
+
+def test_bodies_are_not_made_in_the_tasks_that_read_the_table(spark, tmp_path):
+    """A filter on the body stays above the dealing: one file must not become one task of rendering."""
+    from pagemart.operators import links
+    from pagemart.registry import render
+
+    rows = [(i, f"name {i}", "Brand#1", "KIND", float(i)) for i in range(400)]
+    part = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double")
+    part.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    pages = render.product_pages(spark, str(tmp_path))
+    own, _ = links.resolve_canonical(pages, links.canonical_href(pages["body"]))
+    assert own.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert "Exchange" not in own._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.page_id for r in own.select("page_id").collect()) == [i for i in range(400) if i % 9 != 4]
