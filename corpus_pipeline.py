@@ -40,7 +40,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share 0.8 or more of their five-word shingles, directly or over others, one stays."""
+    """Of documents that share 0.8 or more of their five-word shingles, directly or over others, one stays. Found by SimHash anchors."""
     return one_of_each(docs)
 
 
