@@ -41,6 +41,13 @@ def once(key, build: Callable):
     return store[key]
 
 
+def let_go(*kinds: str) -> None:
+    """Drop what ``once`` keeps under these first words of its keys: tables that the work at hand does not need."""
+    store = sys.__dict__.get("_pagemart_llm", {})
+    for key in [k for k in store if isinstance(k, tuple) and k[0] in kinds]:
+        del store[key]
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Row ranges of the batches with about ``most`` bytes of text each, or a single longer row."""
     for batch in batches:
@@ -62,6 +69,7 @@ def text_filter(keep: Callable[[str | None], bool], column: str) -> Column:
     """A boolean column: ``keep`` of each text. Only texts go to Python and only booleans come back."""
 
     def run(texts: pa.Array) -> pa.Array:
+        let_go("vocabulary", "codec", "word lengths")  # of a packing or counting job that this worker served before
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
         return pa.array([keep(t.as_py()) for part in slices([batch], "text") for t in part.column(0)], pa.bool_())
 
