@@ -11,6 +11,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -106,10 +107,12 @@ class Codec:
         whole[hits] = same_spans(points, begins[hits], (ends - begins)[hits], self.points, self.places[found[hits]], self.sizes[found[hits]])
         rest = np.flatnonzero(~whole)
 
-        def spell(rows: np.ndarray) -> list[list[int]]:
+        def spell(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             at = rest[rows]
             words = (joined[a:b].encode("utf-8", "surrogatepass") for a, b in zip(begins[at].tolist(), ends[at].tolist(), strict=True))
-            return [merged(word, self.single, self.pairs) for word in words]
+            spelt = [merged(word, self.single, self.pairs) for word in words]
+            counts = np.fromiter(map(len, spelt), np.int64, len(spelt))
+            return np.fromiter(chain.from_iterable(spelt), np.int32, int(counts.sum())), counts
 
         offsets, lengths = np.zeros(len(keys), np.int64), np.ones(len(keys), np.int64)
         offsets[rest], lengths[rest] = self.memory.look_up(keys[rest], points, begins[rest], ends[rest], spell)

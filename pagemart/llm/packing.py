@@ -17,7 +17,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from pagemart.llm.base import once, query, slices, table, text_kept
 from pagemart.llm.pretokens import LONG, PieceMemory, code_points, cut_long, gathered, span_keys, starts
@@ -27,14 +27,31 @@ WINDOW = 2048
 GROUP = 8192
 
 
+def _byte_signs() -> np.ndarray:
+    """The sign that stands for each byte in a byte-level vocabulary: itself where it can be printed, else one from 256 on."""
+    signs = np.sort(np.fromiter(map(ord, pre_tokenizers.ByteLevel.alphabet()), np.uint32))
+    table = np.arange(256, dtype="<u4")
+    table[~np.isin(table, signs)] = signs[signs > 255]
+    return table
+
+
 class Vocabulary:
     """A tokenizer file with byte-level splitting; pre-tokens met before are not encoded again."""
 
     def __init__(self, path: str):
         # A task has one core: threads of the library's own would only take turns on it.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = {str(t): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        tokenizer = Tokenizer.from_file(path)
+        self.special = {str(t): i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.normalizer = tokenizer.normalizer
+        # Pre-tokens are handed over as signs of their bytes with blanks between, which are no such signs: one call for many.
+        self.tokenizer = Tokenizer(tokenizer.model)
+        self.tokenizer.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.signs = _byte_signs()
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        if all(chr(sign) in vocabulary for sign in self.signs):  # else some bytes have no id of their own
+            self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
         self.memory = PieceMemory()
 
     def encode(self, text: str) -> np.ndarray:
@@ -54,6 +71,8 @@ class Vocabulary:
 
     def together(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of several texts that hold no special token and are not long."""
+        if self.normalizer is not None:
+            texts = [self.normalizer.normalize_str(t) for t in texts]
         joined = "".join(texts)
         points = code_points(joined)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -62,9 +81,18 @@ class Vocabulary:
         ends = np.append(begins[1:], len(points))
         keys = span_keys(points, begins, ends)
 
-        def spell(rows: np.ndarray) -> list[list[int]]:
-            words = [joined[a:b] for a, b in zip(begins[rows].tolist(), ends[rows].tolist(), strict=True)]
-            return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        def spell(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            words, bounds = gathered(points, begins[rows], ends[rows] - begins[rows])
+            raw = np.frombuffer(words.tobytes().decode("utf-32-le").encode(), np.uint8)
+            at = np.flatnonzero(raw & 0xC0 != 0x80)[bounds[1:-1]]  # the first byte of each word after the first
+            signs = np.insert(self.signs[raw], at, 0x20).tobytes().decode("utf-32-le")
+            ids = np.array(self.tokenizer.encode_batch_fast([signs], add_special_tokens=False)[0].ids, np.int32)
+            ends_at = np.cumsum(self.sizes[ids])
+            if len(ids) and ends_at[-1] == len(raw):
+                return ids, np.diff(np.searchsorted(ends_at, np.append(at, len(raw)), "right"), prepend=0)
+            # Pieces are not the bytes they stand for: the library tells which word each is of.
+            found = self.tokenizer.encode(signs, add_special_tokens=False)
+            return np.array(found.ids, np.int32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(rows))
 
         offsets, lengths = self.memory.look_up(keys, points, begins, ends, spell)
         ids, bounds = gathered(self.memory.ids, offsets, lengths)

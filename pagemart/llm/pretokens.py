@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 
@@ -123,9 +122,11 @@ class PieceMemory:
         self.ids, self.points = np.zeros(0, np.int32), np.zeros(0, np.uint32)
 
     def look_up(
-        self, keys: np.ndarray, points: np.ndarray, begins: np.ndarray, ends: np.ndarray, spell: Callable[[np.ndarray], list[list[int]]]
+        self, keys: np.ndarray, points: np.ndarray, begins: np.ndarray, ends: np.ndarray,
+        spell: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]],
     ) -> tuple[np.ndarray, np.ndarray]:
-        """(offset, length) into ``ids`` for each span; ``spell`` gives the ids of spans not held, by their place."""
+        """(offset, length) into ``ids`` for each span; ``spell`` gives the ids of spans not held, by
+        their place: all ids one after another, and how many are of each span."""
         if len(self.ids) > self.most or len(self.points) > 2 * self.most:
             self.sizes[:], self.ids, self.points = 0, np.zeros(0, np.int32), np.zeros(0, np.uint32)
         slots, sizes = (keys >> self.shift).astype(np.int64), ends - begins
@@ -139,10 +140,9 @@ class PieceMemory:
             first = unknown[first]
             like = first[back]
             odd = unknown[~same_spans(points, begins[unknown], sizes[unknown], points, begins[like], sizes[like])]
-            spelt = spell(np.concatenate([first, odd]))
-            counts = np.fromiter(map(len, spelt), np.int64, len(spelt))
+            spelt, counts = spell(np.concatenate([first, odd]))
             starts_at = len(self.ids) + np.cumsum(counts) - counts
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(spelt), np.int32, int(counts.sum()))])
+            self.ids = np.concatenate([self.ids, spelt])
             offsets[unknown], lengths[unknown] = starts_at[back], counts[back]
             offsets[odd], lengths[odd] = starts_at[len(new) :], counts[len(new) :]
             keep = np.flatnonzero(sizes[first] <= self.longest)

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
 
 from pagemart.llm import packing, pretokens
 
@@ -113,3 +113,49 @@ def test_classes_of_all_code_points():
     for c in pretokens.WHITE:
         wanted[c] = pretokens.SPACE
     assert pretokens.classes().tolist() == wanted
+
+
+class Counted:
+    """Stands for a tokenizer and counts the sequences given to it."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def encode_batch_fast(self, sequences, **options):
+        self.given += len(sequences)
+        return self.tokenizer.encode_batch_fast(sequences, **options)
+
+
+ODD = ["", "a", "one two  three\n\n", "it's 'they'll", "\0 \0", "Ġ Ü日本\U0001f600 ²³", " \xa0\x85\u2003x", "<|endoftext|> <| endoftext|>", "x" * 300]
+
+
+def test_new_words_of_many_texts_go_to_the_tokenizer_in_one_call():
+    """An encoding per word was most of the time: words met for the first time go together."""
+    own, plain = packing.Vocabulary(PATH), Tokenizer.from_file(PATH)
+    own.tokenizer = Counted(own.tokenizer)
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abcdeü", k=rng.randint(1, 12))) for _ in range(50)) for _ in range(40)]
+    assert [i.tolist() for i in own.encode_each(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert own.tokenizer.given == 1
+
+
+def test_odd_texts_one_by_one_and_together():
+    own, plain = packing.Vocabulary(PATH), Tokenizer.from_file(PATH)
+    wanted = [plain.encode(t, add_special_tokens=False).ids for t in ODD]
+    assert [i.tolist() for t in ODD for i in own.encode_each([t])] == wanted
+    assert [i.tolist() for i in packing.Vocabulary(PATH).encode_each(ODD)] == wanted
+
+
+@pytest.mark.parametrize("options", [{}, {"unk_token": "<unk>"}, {"unk_token": "<unk>", "fuse_unk": True}, {"continuing_subword_prefix": "##"}])
+@pytest.mark.parametrize("normalizer", [None, normalizers.Lowercase()])
+def test_other_files(tmp_path, options, normalizer):
+    """Bytes without an id, pieces that are longer than their bytes, and a normalizer."""
+    prefix = options.get("continuing_subword_prefix", "")
+    pieces = ["<unk>", *"abcdxyĠÃ", *(prefix + c for c in "abcdxyĠÃ" if prefix), f"a{prefix}b".replace("##", ""), f"{prefix}cd"]
+    vocabulary = {piece: i for i, piece in enumerate(dict.fromkeys(pieces))}
+    file = Tokenizer(models.BPE(vocabulary, [("a", prefix + "b"), (prefix + "c", prefix + "d")], **options))
+    file.normalizer, file.pre_tokenizer = normalizer, pre_tokenizers.ByteLevel(add_prefix_space=False)
+    file.save(str(tmp_path / "file.json"))
+    texts = ["ab abcd", "", "zzab Üqcd ABCD", "q", "ab" * 20 + " x"]
+    own = packing.Vocabulary(str(tmp_path / "file.json"))
+    assert [i.tolist() for i in own.encode_each(texts)] == [file.encode(t, add_special_tokens=False).ids for t in texts]
